@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -94,3 +95,9 @@ def spread(table: DataFrame, *keys: str) -> DataFrame:
     """Spread a table that comes in fewer splits than there are cores over all of them, by key; large inputs pass."""
     cores = table.sparkSession.sparkContext.defaultParallelism
     return table.repartition(2 * cores, *keys) if table.rdd.getNumPartitions() < cores else table
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder next to the checkpoints, on storage that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/wordtrawl-{uuid.uuid4().hex}"
