@@ -5,7 +5,6 @@ Every function works on narrow key tables (seq, url, sig). Page contents are joi
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -56,15 +55,17 @@ def simhash64(docs: DataFrame, key: str = "seq") -> DataFrame:
     counts = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(two_bits)).alias(f"c{i}") for i in range(32)]
     votes = hashes.groupBy(key).agg(F.count("h").alias("n"), *counts)
 
-    def bits(i: int) -> Column:
-        low = F.col(f"c{i}").bitwiseAND(F.lit(0xFFFFFFFF))
-        high = F.shiftrightunsigned(f"c{i}", 32)
-        one = F.lit(1).cast("bigint")
-        low_bit = F.when(low * 2 > F.col("n"), F.shiftleft(one, i)).otherwise(F.lit(0))
-        high_bit = F.when(high * 2 > F.col("n"), F.shiftleft(one, i + 32)).otherwise(F.lit(0))
-        return low_bit.bitwiseOR(high_bit)
+    def bits(count: Column, i: Column) -> Column:
+        def bit(votes_for: Column, place: Column) -> Column:
+            won = (votes_for * 2 > F.col("n")).cast("bigint")
+            return F.call_function("shiftleft", won, place)
 
-    return votes.select(key, reduce(lambda a, b: a.bitwiseOR(b), map(bits, range(32))).alias("sig"))
+        return bit(count.bitwiseAND(F.lit(0xFFFFFFFF)), i).bitwiseOR(bit(F.shiftrightunsigned(count, 32), i + 32))
+
+    # As array functions: 64 written-out terms would outgrow the generated code of a stage.
+    votes = votes.select(key, "n", F.array(*[F.coalesce(f"c{i}", F.lit(0)) for i in range(32)]).alias("counts"))
+    signature = F.aggregate(F.transform("counts", bits), F.lit(0).cast("bigint"), lambda sig, b: sig.bitwiseOR(b))
+    return votes.select(key, signature.alias("sig"))
 
 
 def _flip_masks(up_to: int) -> list[int]:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
-from wordtrawl.session import Pinned, pin, prune_to_keys
+from wordtrawl.operators.postings import doc_frequency
+from wordtrawl.session import Pinned, literal_rows, pin, prune_to_keys
 
 CANDIDATE_ROWS = 1_000_000
 
@@ -53,7 +54,7 @@ def narrow_to_rarest(
     candidates = sum(rarest["df"].to_pylist())
     if candidates > max_rows or rarest.num_rows == known.rows.num_rows:
         return hits
-    wanted = pin(known.df.filter("rarest"))
+    wanted = literal_rows(postings.sparkSession, rarest, known.df.schema)
     candidates = lookup_terms(wanted, postings).select("qid", "doc_id")
     return hits.join(F.broadcast(candidates), ["qid", "doc_id"], "left_semi")
 
@@ -64,14 +65,17 @@ def boolean_and(hits: DataFrame) -> DataFrame:
     return counted.filter("hit = n_known").select("qid", "doc_id")
 
 
-def lookup_bigrams(pairs: DataFrame, frequencies: DataFrame, postings: DataFrame) -> DataFrame:
+def lookup_bigrams(pairs: DataFrame, postings: DataFrame) -> DataFrame:
     """(qid, ord, t1, t2, doc_id, tf, df): postings of the adjacent query pairs.
 
-    Of a pair that a query repeats only the last place counts, since the last pair of a query decides.
+    Of a pair that a query repeats only the last place counts, since the last pair of a query decides. Frequencies are
+    counted on the lists of the wanted pairs, which are read anyway.
     """
     wanted = pin(pairs.groupBy("qid", "t1", "t2").agg(F.max("ord").alias("ord")))
-    known = pin(prune_to_keys(frequencies, wanted, "t1").join(wanted.df, ["t1", "t2"]))
-    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), known, "t1")
+    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), wanted, "t1")
+    narrow = prune_to_keys(narrow, wanted, "t2")
+    matched = narrow.select("t1", "t2").join(wanted.df.select("t1", "t2"), ["t1", "t2"], "left_semi")
+    known = pin(doc_frequency(matched, "t1", "t2").join(wanted.df, ["t1", "t2"]))
     hits = narrow.join(known.df, ["t1", "t2"])
     return hits.select("qid", "ord", "t1", "t2", "doc_id", "tf", "df")
 

@@ -5,29 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtrawl.operators.tokens import explode_bigrams, explode_positions
+from wordtrawl.functions.tokens import bigrams
 
 BLOCK_DOCS = 16_384
 
 
-def _collect_positions(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys, "doc_id").agg(
-        F.count(F.lit(1)).cast("int").alias("tf"), F.sort_array(F.collect_list("pos")).alias("positions")
+def _postings(docs: DataFrame, grams: Column, *keys: str) -> DataFrame:
+    """Group the grams of each document where they are: sort (gram, position), cut at the changes, one row per run.
+
+    Everything happens inside a row, so building postings needs no shuffle and knows no hot term.
+    """
+    runs = docs.filter(F.size("tokens") > 1 if len(keys) > 1 else F.size("tokens") > 0).select(
+        "doc_id", F.sort_array(F.transform(grams, lambda gram, pos: F.struct(gram.alias("gram"), pos.alias("pos")))).alias("run")
     )
+    changes = F.filter(
+        F.sequence(F.lit(0), F.size("run") - 1),
+        lambda i: (i == 0) | (F.get("run", i)["gram"] != F.get("run", i - 1)["gram"]),
+    )
+    runs = runs.select("doc_id", "run", changes.alias("starts"))
 
+    def posting(start: Column, n: Column) -> Column:
+        length = F.coalesce(F.get("starts", n + 1), F.size("run")) - start
+        return F.struct(F.get("run", start)["gram"].alias("gram"), F.slice("run", start + 1, length)["pos"].alias("positions"))
 
-def unigram_postings(docs: DataFrame) -> DataFrame:
-    """(term, doc_id, tf, positions) with ascending positions.
+    rows = runs.select("doc_id", F.inline(F.transform("starts", posting)))
+    names = [F.col("gram").alias(keys[0])] if len(keys) == 1 else [F.col("gram")[k].alias(k) for k in keys]
+    return rows.select(*names, "doc_id", F.size("positions").alias("tf"), "positions")
 
-    Documents are spread by ``doc_id`` while they are still one compact row each; exploding and grouping by (term,
-    doc_id) then happen in place, so token rows are never shuffled and a frequent term is spread like any other.
-    """
-    return _collect_positions(explode_positions(docs.select("doc_id", "tokens").repartition("doc_id")), "term")
+
+def unigram_postings(docs: DataFrame) -> DataFrame:
+    """(term, doc_id, tf, positions) with ascending positions."""
+    return _postings(docs, F.col("tokens"), "term")
 
 
 def bigram_postings(docs: DataFrame) -> DataFrame:
     """(t1, t2, doc_id, tf, positions); a position is the ordinal of the left token."""
-    return _collect_positions(explode_bigrams(docs.select("doc_id", "tokens").repartition("doc_id")), "t1", "t2")
+    return _postings(docs, bigrams(F.col("tokens")), "t1", "t2")
 
 
 def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordtrawl.functions.markup import page_text
@@ -51,14 +51,26 @@ def index_documents(tokenized: DataFrame, near_threshold: float | None = 0.98) -
     return assign_doc_ids(kept_signatures(signatures, near_threshold).select("seq"))
 
 
+def _kept_tokens(tokenized: DataFrame, kept: DataFrame) -> DataFrame:
+    """(doc_id, tokens) of the kept pages, joined and stored once for the two indexes that read them."""
+    return cut_lineage(tokenized.select("seq", "tokens").join(kept.select("seq", "doc_id"), "seq").select("doc_id", "tokens"))
+
+
+def _docs(tokenized: DataFrame, kept: DataFrame) -> DataFrame:
+    return tokenized.select("seq", "url", "disk_loc").join(kept, "seq").select("doc_id", "url", "disk_loc", "seq")
+
+
 def assemble_index(tokenized: DataFrame, near_threshold: float | None = 0.98) -> SearchIndex:
     """An index as lazy tables over ``tokenized``, for use within one job; large corpora take ``build_index``."""
     kept = cut_lineage(index_documents(tokenized, near_threshold))
-    docs = tokenized.select("seq", "url", "disk_loc").join(kept, "seq").select("doc_id", "url", "disk_loc", "seq")
-    tokens = cut_lineage(tokenized.select("seq", "tokens").join(kept, "seq").select("doc_id", "tokens"))
-    postings, bigrams = unigram_postings(tokens), bigram_postings(tokens)
+    tokens = _kept_tokens(tokenized, kept)
+    postings = unigram_postings(tokens)
     return SearchIndex(
-        docs, postings, bigrams, doc_frequency(postings), doc_frequency(bigrams, "t1", "t2"), kept.count()
+        docs=_docs(tokenized, kept),
+        postings=postings,
+        bigrams=bigram_postings(tokens),
+        terms=doc_frequency(postings),
+        n_docs=kept.count(),
     )
 
 
@@ -72,23 +84,13 @@ def build_index(tokenized: DataFrame, path: str, near_threshold: float | None =
     tokenized.write.mode("overwrite").parquet(f"{path}/tokens")
     stored = spark.read.parquet(f"{path}/tokens")
 
-    kept = index_documents(stored, near_threshold)
-    docs = stored.select("seq", "url", "disk_loc").join(kept, "seq").select("doc_id", "url", "disk_loc", "seq")
-    index_store.write_docs(docs, f"{path}/docs")
-    kept = index_store.read_docs(spark, f"{path}/docs").select("seq", "doc_id")
-
-    tokens = stored.select("seq", "tokens").join(kept, "seq").select("doc_id", "tokens")
+    kept = cut_lineage(index_documents(stored, near_threshold))
+    index_store.write_docs(_docs(stored, kept), f"{path}/docs")
+    tokens = _kept_tokens(stored, kept)
     index_store.write_postings(unigram_postings(tokens), f"{path}/postings")
     index_store.write_bigrams(bigram_postings(tokens), f"{path}/bigrams")
-    return _finish(spark, path, kept.count())
-
-
-def _finish(spark: SparkSession, path: str, n_docs: int) -> SearchIndex:
-    postings = spark.read.parquet(f"{path}/postings").select("term")
-    bigrams = spark.read.parquet(f"{path}/bigrams").select("t1", "t2")
-    index_store.write_frequencies(doc_frequency(postings), f"{path}/terms", ["term"])
-    index_store.write_frequencies(doc_frequency(bigrams, "t1", "t2"), f"{path}/bigram_terms", ["t1", "t2"])
-    index_store.write_manifest(spark, path, n_docs)
+    index_store.write_terms(doc_frequency(index_store.read_postings(spark, f"{path}/postings")), f"{path}/terms")
+    index_store.write_manifest(spark, path, kept.count())
     return index_store.read_index(spark, path)
 
 
@@ -100,6 +102,5 @@ def merge_segments(first: SearchIndex, second: SearchIndex) -> SearchIndex:
         postings=merge_postings(first.postings, second.postings, first.n_docs),
         bigrams=merge_postings(first.bigrams, second.bigrams, first.n_docs),
         terms=merge_frequencies(first.terms, second.terms),
-        bigram_terms=merge_frequencies(first.bigram_terms, second.bigram_terms, "t1", "t2"),
         n_docs=first.n_docs + second.n_docs,
     )

@@ -19,8 +19,15 @@ from wordtrawl.sources.result_pages import result_pages
 REPORT_QUERIES = ("cristina lopes", "machine learning", "ACM", "master of software engineering")
 
 
+def prepare_queries(queries: DataFrame | Pinned, stop_words: Iterable[str] = STOP_WORDS, **token_options) -> Pinned:
+    """(qid, query, tokens) of a batch of (qid, query); prepared queries pass."""
+    if isinstance(queries, Pinned):
+        return queries
+    return pin(process_queries(queries, stop_words=list(stop_words), **token_options))
+
+
 def score_documents(
-    queries: DataFrame,
+    queries: DataFrame | Pinned,
     index: SearchIndex,
     stop_words: Iterable[str] = STOP_WORDS,
     budget: float | None = None,
@@ -34,7 +41,7 @@ def score_documents(
     ``cap_postings``.
     """
     words = list(stop_words)
-    processed = pin(process_queries(queries, stop_words=words, **token_options)).df
+    processed = prepare_queries(queries, words, **token_options).df
     terms = query_terms(processed)
     known = pin(matching.known_terms(terms, index.terms))
     hits = matching.lookup_terms(known, index.postings)
@@ -44,16 +51,26 @@ def score_documents(
         hits = matching.cap_postings(hits, matching.term_budget(terms, budget, stop_words=words), budget)
     unigrams = scoring.unigram_tfidf(hits, index.n_docs)
 
-    pair_hits = matching.lookup_bigrams(query_pairs(processed), index.bigram_terms, index.bigrams)
+    pair_hits = matching.lookup_bigrams(query_pairs(processed), index.bigrams)
     pairs = scoring.last_bigram_wins(scoring.bigram_tfidf(pair_hits, index.n_docs, words))
     return scoring.combine_scores(unigrams, pairs, unigram_weight, bigram_weight)
 
 
-def retrieve(queries: DataFrame | Pinned, index: SearchIndex, k: int = scoring.TOP_K, **options) -> DataFrame:
+def retrieve(
+    queries: DataFrame | Pinned,
+    index: SearchIndex,
+    k: int = scoring.TOP_K,
+    stop_words: Iterable[str] = STOP_WORDS,
+    budget: float | None = None,
+    unigram_weight: float = scoring.UNIGRAM_WEIGHT,
+    bigram_weight: float = scoring.BIGRAM_WEIGHT,
+    **token_options,
+) -> DataFrame:
     """(qid, rank, doc_id, score, url, disk_loc): the k best documents of each query of (qid, query)."""
-    queries = pin(queries)
-    ranked = scoring.rank_top_k(score_documents(queries.df, index, **options), k)
-    return scoring.resolve_docs(ranked, index.docs, small=few_results(queries, k))
+    words = list(stop_words)
+    prepared = prepare_queries(queries, words, **token_options)
+    scores = score_documents(prepared, index, words, budget, unigram_weight, bigram_weight)
+    return scoring.resolve_docs(scoring.rank_top_k(scores, k), index.docs, small=few_results(prepared, k))
 
 
 def few_results(queries: Pinned, k: int) -> bool:
@@ -62,13 +79,20 @@ def few_results(queries: Pinned, k: int) -> bool:
 
 
 def search(
-    queries: DataFrame, index: SearchIndex, pages: DataFrame, k: int = scoring.TOP_K, result_dir: str = RESULT_DIR, **options
+    queries: DataFrame,
+    index: SearchIndex,
+    pages: DataFrame,
+    k: int = scoring.TOP_K,
+    result_dir: str = RESULT_DIR,
+    stop_words: Iterable[str] = STOP_WORDS,
+    budget: float | None = None,
+    **token_options,
 ) -> tuple[DataFrame, DataFrame]:
     """Result lists (qid, query, rank, url, rel_path) and highlighted pages (qid, rank, rel_path, html)."""
-    queries = pin(queries)
-    results = retrieve(queries, index, k, **options)
-    rendered = result_pages(results, pages, queries.df, result_dir, small=few_results(queries, k))
-    return assemble_results(results, queries.df, result_dir), rendered
+    prepared = prepare_queries(queries, stop_words, **token_options)
+    results = retrieve(prepared, index, k, stop_words, budget)
+    rendered = result_pages(results, pages, prepared.df, result_dir, small=few_results(prepared, k))
+    return assemble_results(results, prepared.df, result_dir), rendered
 
 
 def report_queries(spark: SparkSession, texts: Iterable[str] = REPORT_QUERIES) -> DataFrame:
@@ -78,7 +102,8 @@ def report_queries(spark: SparkSession, texts: Iterable[str] = REPORT_QUERIES) -
     return spark.range(1).select(table)
 
 
-def query_batch_report(index: SearchIndex, queries: DataFrame | None = None, k: int = 5, **options) -> DataFrame:
+def query_batch_report(index: SearchIndex, queries: DataFrame | None = None, k: int = 5, **token_options) -> DataFrame:
     """Results of the fixed query batch, or of another one."""
-    queries = pin(report_queries(index.docs.sparkSession) if queries is None else queries)
-    return assemble_results(retrieve(queries, index, k, **options), queries.df)
+    queries = report_queries(index.docs.sparkSession) if queries is None else queries
+    prepared = prepare_queries(queries, **token_options)
+    return assemble_results(retrieve(prepared, index, k), prepared.df)

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PINNED_ROWS = 100_000
 PINNED_BYTES = 32 * 1024 * 1024
@@ -67,6 +68,11 @@ class Pinned:
         return distinct.to_pylist() if len(distinct) <= PUSHDOWN_VALUES else None
 
 
+def literal_rows(spark: SparkSession, rows: pa.Table, schema: StructType) -> Pinned:
+    """Rows at hand as a table marked for broadcast."""
+    return Pinned(F.broadcast(spark.createDataFrame(rows, schema)), rows)
+
+
 def pin(table: DataFrame | Pinned, max_rows: int = PINNED_ROWS, max_bytes: int = PINNED_BYTES) -> Pinned:
     """Measure a query-sized table and, if it is small, turn it into literal rows marked for broadcast.
 
@@ -77,7 +83,7 @@ def pin(table: DataFrame | Pinned, max_rows: int = PINNED_ROWS, max_bytes: int =
     rows = table.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows or rows.nbytes > max_bytes:
         return Pinned(table, None)
-    return Pinned(F.broadcast(table.sparkSession.createDataFrame(rows, table.schema)), rows)
+    return literal_rows(table.sparkSession, rows, table.schema)
 
 
 def prune_to_keys(table: DataFrame, keys: Pinned, column: str) -> DataFrame:

@@ -20,14 +20,13 @@ class SearchIndex:
     """The tables of one index.
 
     docs(doc_id, url, disk_loc, seq), postings(term, doc_id, tf, positions), bigrams(t1, t2, doc_id, tf, positions),
-    terms(term, df), bigram_terms(t1, t2, df); ``n_docs`` counts every indexed document.
+    terms(term, df); ``n_docs`` counts every indexed document.
     """
 
     docs: DataFrame
     postings: DataFrame
     bigrams: DataFrame
     terms: DataFrame
-    bigram_terms: DataFrame
     n_docs: int
 
 
@@ -63,8 +62,8 @@ def read_bigrams(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_frequencies(frequencies: DataFrame, path: str, keys: list[str]) -> None:
-    _write_sorted(frequencies, path, keys)
+def write_terms(terms: DataFrame, path: str) -> None:
+    _write_sorted(terms, path, ["term"])
 
 
 def write_manifest(spark: SparkSession, path: str, n_docs: int) -> None:
@@ -78,8 +77,7 @@ def write_index(index: SearchIndex, path: str) -> None:
     write_docs(index.docs, f"{path}/docs")
     write_postings(index.postings, f"{path}/postings")
     write_bigrams(index.bigrams, f"{path}/bigrams")
-    write_frequencies(index.terms, f"{path}/terms", ["term"])
-    write_frequencies(index.bigram_terms, f"{path}/bigram_terms", ["t1", "t2"])
+    write_terms(index.terms, f"{path}/terms")
     write_manifest(index.docs.sparkSession, path, index.n_docs)
 
 
@@ -91,6 +89,5 @@ def read_index(spark: SparkSession, path: str) -> SearchIndex:
         postings=read_postings(spark, f"{path}/postings"),
         bigrams=read_bigrams(spark, f"{path}/bigrams"),
         terms=spark.read.parquet(f"{path}/terms"),
-        bigram_terms=spark.read.parquet(f"{path}/bigram_terms"),
         n_docs=n_docs,
     )
