@@ -1,0 +1,153 @@
+import pytest
+from pyspark.sql import functions as F
+
+from wordtrawl.functions import markup, urls
+from wordtrawl.functions import tokens as tok
+from wordtrawl.functions.stopwords import STOP_WORDS, is_common
+from wordtrawl.functions.stemming import stem_tokens
+from wordtrawl.operators import tokens as rows
+from wordtrawl.operators.results import highlight_pages
+
+
+def apply(spark, function, values, kind="string"):
+    frame = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+    return [r[0] for r in frame.orderBy("i").select(function(F.col("v"))).collect()]
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ("<li>a</li><li>b</li>", "ab"),
+        ("<!DOCTYPE html><p class='x'>a</p>", "a"),
+        ("a<!-- <b>gone</b> -->b", "ab"),
+        ("a<SCRIPT>var t='</p>';</Script >b", "ab"),
+        ("<style>p{}</style>x<template><p>t</p></template>", "x"),
+        ("1 < 2 &lt;b&gt; &amp;lt; &copy;&nbsp;&#233;&#x20AC; &unknown; &#xD800; AT&T", "1 < 2 <b> &lt; ©\xa0é€ &unknown; � AT&T"),
+        ("<p\nid=a>line</p\n>", "line"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_page_text(spark, html, text):
+    assert apply(spark, markup.page_text, [html]) == [text]
+
+
+def test_page_text_separator(spark):
+    assert apply(spark, lambda c: markup.page_text(c, "$1"), ["<li>a</li>"]) == ["$1a$1"]
+
+
+def test_keep_alnum(spark):
+    given = [["été", "éé", "٣", "...", "a."]]
+    assert apply(spark, tok.keep_alnum, given, "array<string>") == [["été", "٣", "a."]]
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("Good muffins cost $3.88 in New York.", "Good muffins cost $ 3.88 in New York ."),
+        ("They'll save and invest more.", "They 'll save and invest more ."),
+        ("hi, my name can't hello,", "hi , my name ca n't hello ,"),
+        ("It's e.g. about 3.14 or 1,000: yes", "It 's e.g. about 3.14 or 1,000 : yes"),
+        ("I cannot go. We're gonna stay! Wanna?", "I can not go . We 're gon na stay ! Wan na ?"),
+        ("One end. Two end.\nThree", "One end . Two end . Three"),
+        ("A. B. C. d. e", "A . B . C. d. e"),
+        ("He said \"no.\" Then left... quickly--now", "He said \" no . \" Then left ... quickly -- now"),
+        ("(see [1]) {x} <y>", "( see [ 1 ] ) { x } < y >"),
+        ("the dogs' bowls and the dog's", "the dogs ' bowls and the dog 's"),
+        ("don’t «quote»", "don ’ t « quote »"),
+        ("'tis 'twas", "'t is 't was"),
+        ("a@b #c 50% d&e f*g; h", "a @ b # c 50 % d & e f * g ; h"),
+        ("   ", ""),
+        ("", ""),
+    ],
+)
+def test_word_tokenize(spark, text, expected):
+    assert apply(spark, tok.word_tokenize, [text])[0] == expected.split()
+
+
+def test_treebank_keeps_words_only(spark):
+    assert apply(spark, tok.treebank_tokenize, ["\"It's DONE,\" they said..."]) == [["it", "'s", "done", "they", "said"]]
+
+
+def test_regex_tokenize(spark):
+    assert apply(spark, tok.regex_tokenize, ["Don't mail A@B.com, été #1*&2"]) == [
+        ["don't", "mail", "a@b", "com", "t", "#1*&2"]
+    ]
+
+
+def test_regex_tokenize_with_separators(spark):
+    tokens = apply(spark, lambda c: tok.regex_tokenize(c, include_separator=True), ["Ab, c\td é|\n"])
+    assert tokens == [["ab", ",", "c", "\t", "d", "|", "\n"]]
+
+
+def test_split_comes_before_lowering(spark):
+    assert apply(spark, tok.regex_tokenize, ["aİb K9"]) == [["a", "b", "9"]]
+
+
+def test_options(spark):
+    def chain(c):
+        return tok.tokenize(c, "regex", stem=True, drop_stop_words=True)
+
+    assert apply(spark, chain, ["The running dogs", None, ""]) == [["run", "dog"], [], []]
+    with pytest.raises(ValueError):
+        tok.tokenize(F.lit(""), "other")
+
+
+def test_stem_tokens(spark):
+    given = [["consigned", "cries", "consigned"], [], ["hoping"]]
+    assert apply(spark, stem_tokens, given, "array<string>") == [["consign", "cri", "consign"], [], ["hope"]]
+
+
+def test_stop_words(spark):
+    assert len(set(STOP_WORDS)) == 127
+    assert apply(spark, is_common, ["the", "lopes"]) == [True, False]
+    assert apply(spark, lambda c: is_common(c, []), ["the"]) == [False]
+
+
+@pytest.mark.parametrize(
+    "url,clean",
+    [
+        ("HTTP://A.com/x?#top", "http://A.com/x"),
+        ("HTTP://A.com/x?", "HTTP://A.com/x?"),
+        ("http://a.com/x#a#b", "http://a.com/x"),
+        ("http://a.com/x?q=1#f", "http://a.com/x?q=1"),
+        ("page#f", "page"),
+        ("#f", ""),
+    ],
+)
+def test_defragment(spark, url, clean):
+    assert apply(spark, urls.defragment, [url]) == [clean]
+
+
+def test_positions_count_kept_tokens_and_pairs_cross_punctuation(spark):
+    docs = spark.createDataFrame([(0, "a, b -- a"), (1, "solo"), (2, "")], "doc_id int, text string")
+    docs = docs.select("doc_id", tok.treebank_tokenize(F.col("text")).alias("tokens"))
+    positions = rows.explode_positions(docs).orderBy("doc_id", "pos").collect()
+    assert [tuple(r) for r in positions] == [(0, 0, "a"), (0, 1, "b"), (0, 2, "a"), (1, 0, "solo")]
+    pairs = rows.explode_bigrams(docs).orderBy("pos").collect()
+    assert [tuple(r) for r in pairs] == [(0, 0, "a", "b"), (0, 1, "b", "a")]
+
+
+@pytest.mark.parametrize(
+    "html,query,marked",
+    [
+        (
+            "<p>Foo bar foo foo</p><b>food</b> a&amp;foo",
+            "foo",
+            "<p><mark>Foo</mark> bar <mark>foo</mark> foo</p><b>food</b> a&amp;<mark>foo</mark>",
+        ),
+        ("amp &amp; x", "amp", "<mark>amp</mark> &amp; x"),
+        ("foo &amp; foo", "foo", "<mark>foo</mark> &amp; foo"),
+        ("<a href='foo'>x</a> <!-- foo -->", "foo", "<a href='foo'>x</a> <!-- foo -->"),
+        ("a b c", "b a b", "<mark>a</mark> <mark>b</mark> c"),
+        ("1+1 is (a|b)", "(a|b) 1+1", "<mark>1+1</mark> is (a|b)"),
+        ("cost $5", "$5", "cost $5".replace("$5", "<mark>$5</mark>")),
+        ("x", "", "x"),
+        ("x", None, "x"),
+        ("mark this mark", "mark", "<mark>mark</mark> this <mark>mark</mark>"),
+    ],
+)
+def test_highlight(spark, html, query, marked):
+    frame = spark.createDataFrame([(html, query)], "content string, query string")
+    expected = marked.replace("(a|b)", "<mark>(a|b)</mark>") if query and "(a|b)" in query else marked
+    assert highlight_pages(frame).first()["content"] == expected

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
+from wordtrawl.sources.index_store import doc_block
 
 UNIGRAM_WEIGHT = 0.4
 BIGRAM_WEIGHT = 0.6
@@ -66,8 +67,11 @@ def rank_top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def resolve_docs(ranked: DataFrame, docs: DataFrame, small: bool = False) -> DataFrame:
-    """Add url and disk_loc. ``small`` says that ``ranked`` is known to be bounded and may be broadcast."""
-    hits = F.broadcast(ranked) if small else ranked
-    return docs.select("doc_id", "url", "disk_loc").join(hits, "doc_id").select(
-        "qid", "rank", "doc_id", "score", "url", "disk_loc"
-    )
+    """Add url and disk_loc. ``small`` says that ``ranked`` is known to be bounded and may be broadcast.
+
+    A stored document map is joined by block as well, so that only the blocks with hits are read.
+    """
+    keys = [key for key in ("doc_block", "doc_id") if key in docs.columns]
+    hits = ranked.withColumn("doc_block", doc_block(F.col("doc_id"))) if "doc_block" in keys else ranked
+    joined = docs.select(*keys, "url", "disk_loc").join(F.broadcast(hits) if small else hits, keys)
+    return joined.select("qid", "rank", "doc_id", "score", "url", "disk_loc")

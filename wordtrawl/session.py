@@ -73,15 +73,15 @@ def literal_rows(spark: SparkSession, rows: pa.Table, schema: StructType) -> Pin
     return Pinned(F.broadcast(spark.createDataFrame(rows, schema)), rows)
 
 
-def pin(table: DataFrame | Pinned, max_rows: int = PINNED_ROWS, max_bytes: int = PINNED_BYTES) -> Pinned:
+def pin(table: DataFrame | Pinned) -> Pinned:
     """Measure a query-sized table and, if it is small, turn it into literal rows marked for broadcast.
 
-    No more than ``max_rows`` + 1 rows are read. A larger table stays a plan, its joins shuffle, and AQE splits skew.
+    No more than ``PINNED_ROWS`` + 1 rows are read. A larger table stays a plan, its joins shuffle, and AQE splits skew.
     """
     if isinstance(table, Pinned):
         return table
-    rows = table.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+    rows = table.limit(PINNED_ROWS + 1).toArrow()
+    if rows.num_rows > PINNED_ROWS or rows.nbytes > PINNED_BYTES:
         return Pinned(table, None)
     return literal_rows(table.sparkSession, rows, table.schema)
 

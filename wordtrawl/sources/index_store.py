@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOC_BLOCK = 10_000_000
@@ -30,13 +30,18 @@ class SearchIndex:
     n_docs: int
 
 
+def doc_block(doc_id: Column) -> Column:
+    """The partition of the stored document map that holds an id."""
+    return F.floor(doc_id / F.lit(DOC_BLOCK)).cast("int")
+
+
 def _write_sorted(table: DataFrame, path: str, range_keys: list[str]) -> None:
     table.repartitionByRange(*range_keys).sortWithinPartitions(*range_keys).write.mode("overwrite").parquet(path)
 
 
 def write_docs(docs: DataFrame, path: str) -> None:
     """Write the document map in blocks of ids, which a join with a result list prunes at run time."""
-    blocked = docs.withColumn("doc_block", F.floor(F.col("doc_id") / F.lit(DOC_BLOCK)))
+    blocked = docs.withColumn("doc_block", doc_block(F.col("doc_id")))
     blocked = blocked.repartitionByRange("doc_block", "doc_id").sortWithinPartitions("doc_block", "doc_id")
     blocked.write.mode("overwrite").partitionBy("doc_block").parquet(path)
 
