@@ -7,7 +7,7 @@ from tests import plain
 from wordtrawl import session
 from wordtrawl.functions.stopwords import STOP_WORDS
 from wordtrawl.operators import matching, postings, reports, scoring
-from wordtrawl.operators.tokens import process_queries, query_pairs, query_terms
+from wordtrawl.operators.tokens import process_queries, query_terms
 from wordtrawl.plans import build, search
 from wordtrawl.sources import index_store
 
@@ -123,11 +123,22 @@ def test_query_tables_too_large_to_pin_give_the_same(spark, docs, index, monkeyp
     assert ranking(search.retrieve(queries(spark), index, **REGEX)) == expected(docs)
 
 
-def test_many_candidates_give_the_same(spark, docs, index, monkeypatch):
+@pytest.mark.parametrize("gain", [0, 10**6])
+def test_every_lookup_strategy_gives_the_same(spark, docs, index, monkeypatch, gain):
+    """Candidates shuffled, and none at all; the other tests broadcast them."""
     monkeypatch.setattr(matching, "CANDIDATE_ROWS", 0)
+    monkeypatch.setattr(matching, "PROBE_GAIN", gain)
     assert ranking(search.retrieve(queries(spark), index, **REGEX)) == expected(docs)
 
 
+def test_candidates_are_found_by_frequency(spark, index):
+    known = matching.known_terms(process_queries(queries(spark, ["rare the of"]), **REGEX), index.terms)
+    candidates = matching.find_candidates(known, index.postings)
+    assert candidates.small and {r.doc_id for r in candidates.df.collect()} == {5, 9}
+    single = matching.known_terms(process_queries(queries(spark, ["the", "of"]), **REGEX), index.terms)
+    assert matching.find_candidates(single, index.postings) is None
+
+
 def test_rebuild_from_shuffled_input(spark, docs, index):
     again = build.assemble_index(tokenized(spark, docs).orderBy(F.hash("url")).repartition(5), None)
     assert ranking(search.retrieve(queries(spark), again, **REGEX)) == ranking(search.retrieve(queries(spark), index, **REGEX))
@@ -140,7 +151,7 @@ def test_unknown_words_are_ignored_and_empty_queries_find_nothing(spark, index):
 
 def test_last_pair_wins(spark, docs, index):
     processed = process_queries(queries(spark, ["to the to"]), **REGEX)
-    weights = scoring.bigram_tfidf(matching.lookup_bigrams(query_pairs(processed), index.bigrams), index.n_docs)
+    weights = scoring.bigram_tfidf(matching.lookup_bigrams(processed, index.bigrams), index.n_docs)
     rows = {(r.doc_id, r.t1): r.weight for r in weights.collect()}
     for row in scoring.last_bigram_wins(weights).collect():
         assert row.bi == rows.get((row.doc_id, "the"), rows.get((row.doc_id, "to")))

@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
 from wordtrawl.operators.postings import doc_frequency
-from wordtrawl.session import Pinned, literal_rows, pin, prune_to_keys
+from wordtrawl.operators.tokens import query_pairs
+from wordtrawl.session import Pinned, derived, literal_rows, pin, prune_to_keys
 
 CANDIDATE_ROWS = 1_000_000
+PROBE_GAIN = 4
 
 
-def known_terms(terms: DataFrame, frequencies: DataFrame) -> DataFrame:
+def known_terms(processed: DataFrame | Pinned, frequencies: DataFrame) -> DataFrame:
     """(qid, term, df, n_known, rarest): the distinct query terms that the index knows.
 
     Unknown words drop out here, so they neither empty the AND nor count in ``n_known``.
     """
-    wanted = pin(terms.select("qid", "term").distinct())
-    known = prune_to_keys(frequencies, wanted, "term").join(wanted.df, "term")
+    processed = pin(processed)
+    wanted = processed.df.select("qid", F.explode(F.array_distinct("tokens")).alias("term"))
+    known = prune_to_keys(frequencies, processed, "term", "tokens").join(derived(wanted, processed), "term")
     per_query = Window.partitionBy("qid")
     return known.select(
         "qid",
@@ -32,31 +37,57 @@ def known_terms(terms: DataFrame, frequencies: DataFrame) -> DataFrame:
     )
 
 
-def lookup_terms(known: DataFrame | Pinned, postings: DataFrame) -> DataFrame:
-    """(qid, doc_id, term, tf, df, n_known, rarest): postings of the known query terms; positions are not read."""
-    known = pin(known)
-    narrow = prune_to_keys(postings.select("term", "doc_id", "tf"), known, "term")
-    return narrow.join(known.df, "term").select("qid", "doc_id", "term", "tf", "df", "n_known", "rarest")
+@dataclass(frozen=True)
+class Candidates:
+    """(qid, doc_id) of the documents that hold the rarest term of each query; ``small`` if their probes may be broadcast."""
 
+    df: DataFrame
+    small: bool
 
-def narrow_to_rarest(
-    hits: DataFrame, known: DataFrame | Pinned, postings: DataFrame, max_rows: int = CANDIDATE_ROWS
-) -> DataFrame:
-    """Keep only hits in documents of each query's rarest term, before anything is shuffled.
 
-    The number of those documents is known from the frequencies. Beyond ``max_rows``, or where no query has a second
-    term, hits pass unchanged and the AND decides alone.
+def _load(known: Pinned) -> tuple[int, int]:
+    """Rows that a full lookup of the terms gives, and rows if every term is only looked up in candidate documents."""
+    if known.rows is None:
+        per_query = known.df.groupBy("qid").agg(F.sum("df").alias("hits"), (F.min("df") * F.count("df")).alias("probes"))
+        hits, probes = per_query.agg(F.sum("hits"), F.sum("probes")).first()
+    else:
+        per_query = known.rows.group_by("qid").aggregate([("df", "sum"), ("df", "min"), ("df", "count")])
+        hits = pc.sum(per_query["df_sum"]).as_py()
+        probes = pc.sum(pc.multiply(per_query["df_min"], per_query["df_count"])).as_py()
+    return hits or 0, probes or 0
+
+
+def find_candidates(known: DataFrame | Pinned, postings: DataFrame) -> Candidates | None:
+    """Documents of each query's rarest term, or None where a full lookup costs about as much.
+
+    The choice rests on the document frequencies alone. With candidates a frequent term costs one pass over its postings
+    for the whole batch, however many queries ask for it; without them it gives one row per query and posting.
     """
     known = pin(known)
+    hits, probes = _load(known)
+    small = probes <= CANDIDATE_ROWS
+    if probes >= hits or (not small and probes * PROBE_GAIN > hits):
+        return None
     if known.rows is None:
-        return hits
-    rarest = known.rows.filter(known.rows["rarest"])
-    candidates = sum(rarest["df"].to_pylist())
-    if candidates > max_rows or rarest.num_rows == known.rows.num_rows:
-        return hits
-    wanted = literal_rows(postings.sparkSession, rarest, known.df.schema)
-    candidates = lookup_terms(wanted, postings).select("qid", "doc_id")
-    return hits.join(F.broadcast(candidates), ["qid", "doc_id"], "left_semi")
+        rarest = Pinned(known.df.filter("rarest"), None)
+    else:
+        rarest = literal_rows(postings.sparkSession, known.rows.filter(known.rows["rarest"]), known.df.schema)
+    return Candidates(lookup_terms(rarest, postings).select("qid", "doc_id"), small)
+
+
+def _matches(postings: DataFrame, known: Pinned, keys: list[str], candidates: Candidates | None) -> DataFrame:
+    """Join postings with the query side: by key, or by key and document within the candidates."""
+    if candidates is None:
+        return postings.join(known.df, keys)
+    probes = candidates.df.join(known.df, "qid")
+    return postings.join(F.broadcast(probes) if candidates.small else probes, [*keys, "doc_id"])
+
+
+def lookup_terms(known: DataFrame | Pinned, postings: DataFrame, candidates: Candidates | None = None) -> DataFrame:
+    """(qid, doc_id, term, tf, df, n_known): postings of the known query terms; positions are not read."""
+    known = pin(known)
+    narrow = prune_to_keys(postings.select("term", "doc_id", "tf"), known, "term")
+    return _matches(narrow, known, ["term"], candidates).select("qid", "doc_id", "term", "tf", "df", "n_known")
 
 
 def boolean_and(hits: DataFrame) -> DataFrame:
@@ -65,18 +96,22 @@ def boolean_and(hits: DataFrame) -> DataFrame:
     return counted.filter("hit = n_known").select("qid", "doc_id")
 
 
-def lookup_bigrams(pairs: DataFrame, postings: DataFrame) -> DataFrame:
+def lookup_bigrams(
+    processed: DataFrame | Pinned, postings: DataFrame, candidates: Candidates | None = None
+) -> DataFrame:
     """(qid, ord, t1, t2, doc_id, tf, df): postings of the adjacent query pairs.
 
     Of a pair that a query repeats only the last place counts, since the last pair of a query decides. Frequencies are
     counted on the lists of the wanted pairs, which are read anyway.
     """
-    wanted = pin(pairs.groupBy("qid", "t1", "t2").agg(F.max("ord").alias("ord")))
-    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), wanted, "t1")
-    narrow = prune_to_keys(narrow, wanted, "t2")
-    matched = narrow.select("t1", "t2").join(wanted.df.select("t1", "t2"), ["t1", "t2"], "left_semi")
-    known = pin(doc_frequency(matched, "t1", "t2").join(wanted.df, ["t1", "t2"]))
-    hits = narrow.join(known.df, ["t1", "t2"])
+    processed = pin(processed)
+    wanted = query_pairs(processed.df).groupBy("qid", "t1", "t2").agg(F.max("ord").alias("ord"))
+    wanted = derived(wanted, processed)
+    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), processed, "t1", "tokens")
+    narrow = prune_to_keys(narrow, processed, "t2", "tokens")
+    matched = narrow.select("t1", "t2").join(wanted.select("t1", "t2"), ["t1", "t2"], "left_semi")
+    known = pin(doc_frequency(matched, "t1", "t2").join(wanted, ["t1", "t2"]))
+    hits = _matches(prune_to_keys(narrow, known, "t1"), known, ["t1", "t2"], candidates)
     return hits.select("qid", "ord", "t1", "t2", "doc_id", "tf", "df")
 
 

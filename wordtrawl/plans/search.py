@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wordtrawl.functions.stopwords import STOP_WORDS
 from wordtrawl.operators import matching, scoring
 from wordtrawl.operators.results import RESULT_DIR, assemble_results
-from wordtrawl.operators.tokens import process_queries, query_pairs, query_terms
+from wordtrawl.operators.tokens import process_queries, query_terms
 from wordtrawl.session import PINNED_ROWS, Pinned, pin
 from wordtrawl.sources.index_store import SearchIndex
 from wordtrawl.sources.result_pages import result_pages
@@ -41,17 +41,16 @@ def score_documents(
     ``cap_postings``.
     """
     words = list(stop_words)
-    processed = prepare_queries(queries, words, **token_options).df
-    terms = query_terms(processed)
-    known = pin(matching.known_terms(terms, index.terms))
-    hits = matching.lookup_terms(known, index.postings)
-    if budget is None:
-        hits = matching.narrow_to_rarest(hits, known, index.postings)
-    else:
-        hits = matching.cap_postings(hits, matching.term_budget(terms, budget, stop_words=words), budget)
+    processed = prepare_queries(queries, words, **token_options)
+    known = pin(matching.known_terms(processed, index.terms))
+    candidates = matching.find_candidates(known, index.postings) if budget is None else None
+    hits = matching.lookup_terms(known, index.postings, candidates)
+    if budget is not None:
+        budgets = matching.term_budget(query_terms(processed.df), budget, stop_words=words)
+        hits = matching.cap_postings(hits, budgets, budget)
     unigrams = scoring.unigram_tfidf(hits, index.n_docs)
 
-    pair_hits = matching.lookup_bigrams(query_pairs(processed), index.bigrams)
+    pair_hits = matching.lookup_bigrams(processed, index.bigrams, candidates)
     pairs = scoring.last_bigram_wins(scoring.bigram_tfidf(pair_hits, index.n_docs, words))
     return scoring.combine_scores(unigrams, pairs, unigram_weight, bigram_weight)
 

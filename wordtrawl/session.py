@@ -61,10 +61,11 @@ class Pinned:
     rows: pa.Table | None
 
     def values(self, column: str) -> list | None:
-        """Distinct values of a column, or None if they are unknown or too many for a literal list."""
+        """Distinct values of a column or of its arrays, or None if they are unknown or too many for a literal list."""
         if self.rows is None:
             return None
-        distinct = pc.unique(self.rows[column])
+        values = self.rows[column]
+        distinct = pc.unique(pc.list_flatten(values) if pa.types.is_list(values.type) else values)
         return distinct.to_pylist() if len(distinct) <= PUSHDOWN_VALUES else None
 
 
@@ -86,12 +87,17 @@ def pin(table: DataFrame | Pinned) -> Pinned:
     return literal_rows(table.sparkSession, rows, table.schema)
 
 
-def prune_to_keys(table: DataFrame, keys: Pinned, column: str) -> DataFrame:
-    """Filter ``table`` to the key values of a pinned table, so that the scan skips row groups.
+def derived(side: DataFrame, source: Pinned) -> DataFrame:
+    """Mark for broadcast what is computed from a pinned table and cannot have more rows than it has values."""
+    return side if source.rows is None else F.broadcast(side)
+
+
+def prune_to_keys(table: DataFrame, keys: Pinned, column: str, key: str | None = None) -> DataFrame:
+    """Filter ``table`` to the values of a pinned table's ``key`` column, so that the scan skips row groups.
 
     Where the keys are not at hand the table is returned as it is, and the join that follows does the work alone.
     """
-    values = keys.values(column)
+    values = keys.values(key or column)
     if values is None:
         return table
     return table.filter(F.col(column).isin(values) if values else F.lit(False))
