@@ -6,6 +6,7 @@ Statements share CTEs: ``doc`` (documents with token lists), ``tok`` (one row pe
 
 from __future__ import annotations
 
+from oracle.stemmer import STEMS
 from wordtrawl.functions.stopwords import STOP_WORDS
 
 WORD = "[a-zA-Z0-9@#*&'']+"
@@ -299,6 +300,10 @@ STATEMENTS: dict[str, str] = {
     "no_stop_words": with_ctes(
         DOC, select=f"SELECT doc_id, array_to_string(list_filter(tokens, lambda x: x NOT IN {STOP}), ' ') AS tokens FROM doc"
     ),
+    "stem_terms": with_ctes(
+        DOC, TOK, *STEMS,
+        select="SELECT doc_id, coalesce(s.tokens, '') AS tokens, coalesce(n, 0) AS n FROM doc LEFT JOIN stemmed s USING (doc_id)",
+    ),
     "token_positions": with_ctes(DOC, TOK, select="SELECT doc_id, pos, term FROM tok"),
     "bigrams": with_ctes(DOC, TOK, BI, select="SELECT doc_id, pos, t1, t2 FROM bi"),
     "query_terms": with_ctes(Q, QT, select="SELECT qid, ord, term FROM qt"),
