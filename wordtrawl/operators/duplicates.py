@@ -169,10 +169,8 @@ def assign_doc_ids(keys: DataFrame, seq: str = "seq") -> DataFrame:
     Keys are range-partitioned and sorted once; partition number and place in the partition are written down in a
     checkpoint. The id is the place plus the size of all earlier partitions, a table of one row per partition.
     """
-    spark = keys.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = keys.repartitionByRange(partitions, seq).sortWithinPartitions(seq)
+    placed = keys.repartitionByRange(seq).sortWithinPartitions(seq)
     placed = cut_lineage(placed.select("*", F.spark_partition_id().alias("_part"), place.alias("_place")))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
