@@ -23,8 +23,8 @@ from wordtrawl.llm.common import small_or_shuffled
 #: Hash buckets of the two multinomials, and so the bound of what is collected and sent along.
 BUCKETS = 8192
 SMOOTHING = 1.0
-#: Nats per n-gram. Ordinary text lies within a few tenths of 0; text made of other words than trusted text lies far below.
-THRESHOLD = -0.7
+#: Nats per n-gram. Trusted text lies within a few hundredths of 0, text made of other words lies below.
+THRESHOLD = -0.05
 MIN_WORDS = 10
 WINDOW = 5
 WHITE = "[\\x20\\x09-\\x0D]+"
