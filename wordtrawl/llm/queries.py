@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import common, language_id, quality_classifier, quality_rules
+from wordtrawl.llm import common, language_id, neighbours, packing, quality_classifier, quality_rules, sentencepieces, url_filter
 from wordtrawl.session import spread
 
 
@@ -14,6 +15,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
     return spread(read, *keys) if keys else read
 
 
+RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op1_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id"), F.col("id") % 50 == 0)
+
+
+def op2_urls(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", "url")
+    model = url_filter.fit(url_filter.default_table(spark))
+    return pages.select("page_id", url_filter.judge(pages, RULES, model).alias("x")).select("page_id", "x.*")
+
+
+def op3_sentencepieces(spark, sf_dir):
+    model = sentencepieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepieces.encode(table(spark, sf_dir, "documents", "doc_id"), model, digests=True)
+
+
 def op4_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     docs = common.stored(docs.select("doc_id", quality_classifier.statistics(docs).alias("stats")))
@@ -33,6 +52,11 @@ def op5_language(spark, sf_dir):
     return judged.select("doc_id", "held_out", "x.lang_pred", "x.score", "x.rejected")
 
 
+def op6_packing(spark, sf_dir):
+    ranks = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
+
+
 def op8_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
@@ -40,8 +64,12 @@ def op8_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
+    "op2_urls": op2_urls,
+    "op3_sentencepieces": op3_sentencepieces,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
+    "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
 }
 
