@@ -18,11 +18,19 @@ from wordtrawl.session import scratch_folder
 #: Largest number of ids (8 bytes each) that is broadcast; beyond it the same join shuffles.
 BROADCAST_IDS = 2_000_000
 
+BATCH_ROWS = 500
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package once per application, so that they need no copy of the repository on their path."""
+    """Give executors this package once per application, so that they need no copy of the repository on their path.
+
+    Also keep the Arrow batches of this session at ``BATCH_ROWS``: whole texts are long, and a worker holds a batch at a time.
+    """
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

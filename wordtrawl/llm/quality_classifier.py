@@ -145,6 +145,7 @@ def statistics(docs: DataFrame, text: str = "text") -> Column:
 
 def fit(rows: DataFrame) -> QualityModel:
     """Fit on (stats, y): all labelled rows, three passes, fixed-size sums to the driver."""
+    ship(rows.sparkSession)
     moments = rows.select(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.avg("y"), F.lit(0.5)).alias("y"),
