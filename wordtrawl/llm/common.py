@@ -51,10 +51,14 @@ def fold(key: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a table next to the checkpoints and read it back: later jobs reread files instead of running it again."""
+def stored(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
+    """Write a table next to the checkpoints and read it back: later jobs reread files instead of running it again.
+
+    ``rows_a_file`` is for tables of few but large rows: it keeps what a reader or writer holds at a time small.
+    """
     path = scratch_folder(df.sparkSession)
-    df.write.parquet(path)
+    few = {"maxRecordsPerFile": rows_a_file, "parquet.block.size.row.check.min": 4, "parquet.page.size.row.check.min": 4}
+    df.write.options(**(few if rows_a_file else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import common, language_id, neighbours, packing, quality_classifier, quality_rules, sentencepieces, url_filter
+from wordtrawl.llm import common, language_id, language_model, neighbours, packing, quality_classifier, quality_rules, sentencepieces, url_filter
 from wordtrawl.session import spread
 
 
@@ -63,6 +63,12 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(docs, trusted)
 
 
+def op9_language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+    scored = language_model.score(docs, common.fold("doc_id", 5) != 1)
+    return scored.withColumn("held_out", common.fold("doc_id", 5) == 1)
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_urls": op2_urls,
@@ -71,6 +77,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_model": op9_language_model,
 }
 
 STATEMENTS: dict[str, str] = {}
