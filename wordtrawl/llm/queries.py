@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import common, language_id, language_model, neighbours, packing, quality_classifier, quality_rules, sentencepieces, url_filter
+from wordtrawl.llm import common, language_id, language_model, neighbours, packing, quality_classifier, quality_rules, sentencepieces, toxicity, url_filter
 from wordtrawl.session import spread
 
 
@@ -69,6 +69,14 @@ def op9_language_model(spark, sf_dir):
     return scored.withColumn("held_out", common.fold("doc_id", 5) == 1)
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", "lang")
+    train = docs.filter(common.fold("doc_id", 5) != 0)
+    model = toxicity.fit(train, common.labels_of(table(spark, sf_dir, "labels"), "toxic"), language_id.fit(train))
+    scored = docs.select("doc_id", (common.fold("doc_id", 5) == 0).alias("held_out"), toxicity.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_urls": op2_urls,
@@ -78,6 +86,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_model": op9_language_model,
+    "op10_toxicity": op10_toxicity,
 }
 
 STATEMENTS: dict[str, str] = {}
