@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import common, language_id, language_model, neighbours, packing, quality_classifier, quality_rules, sentencepieces, toxicity, url_filter
+from wordtrawl.llm import common, jaccard_join, language_id, language_model, neighbours, packing, quality_classifier, quality_rules, sentencepieces, toxicity, url_filter
 from wordtrawl.session import spread
 
 
@@ -57,6 +57,10 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
@@ -84,6 +88,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_packing": op6_packing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_model": op9_language_model,
     "op10_toxicity": op10_toxicity,
