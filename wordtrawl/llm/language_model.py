@@ -3,9 +3,11 @@
 1. Documents become chunks of about ``CHUNK`` tokens, stored once: local token numbers, and a 64-bit hash per distinct word.
 2. Every chunk sends its distinct words and word pairs with their training counts to hash ranges, sorted and packed; a range
    adds up what all chunks sent and answers each chunk in the same order. So a word pair moves once per chunk however often
-   it occurs, and no key gathers more than one entry per chunk.
-3. With its answers a chunk knows all counts it needs. Every training token, its own occurrence deleted from the counts, falls
-   into a bin of (bucket of the context's frequency, pair estimate, word estimate); the bins are added up over all chunks.
+   it occurs, and no key gathers more than one entry per chunk. Within a range, words are told apart by 48 further bits of
+   their hash and pairs by 40, sent as differences of 32 bits; about one pair in a million is taken for another.
+3. The answers are stored with their chunks, so all that follows moves no tokens. Every training token, its own occurrence
+   deleted from the counts, falls into a bin of (bucket of the context's frequency, pair estimate, word estimate); the bins
+   are added up over all chunks.
 4. Expectation-maximisation over the bins finds, for each bucket of context frequencies, the weights of the pair estimate
    c(h, w) / c(h), the word estimate c(w) / N and the uniform 1 / (V + 1).
 5. Each chunk scores its documents. The context of a first word is the end token.
@@ -34,6 +36,14 @@ ROUNDS = 40
 _END = xxhash.xxh64_intdigest(b" ")
 
 
+def squeezed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(3).compress(numbers.astype("<u4").tobytes())
+
+
+def unsqueezed(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u4").astype(np.int64)
+
+
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """64-bit hash of pairs of hashes."""
     x = left * np.uint64(0x9E3779B97F4A7C15) + right
@@ -67,7 +77,7 @@ def chunked(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_
                 "keys": pa.ListArray.from_arrays([0, len(keys)], keys),
                 "train": pa.array([flags], pa.list_(pa.bool_())),
                 "lengths": pa.array([lengths], pa.list_(pa.int32())),
-                "tokens": pa.array([zstandard.ZstdCompressor(3).compress(np.array(tokens, "<u4").tobytes())], pa.binary()),
+                "tokens": pa.array([squeezed(np.array(tokens, "<u4"))], pa.binary()),
                 "words": pa.array([np.append(np.uint64(_END), hashes).astype("<u8").tobytes()], pa.binary()),
             }
             return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
@@ -95,39 +105,57 @@ def chunked(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_
     return stored(rows.mapInArrow(cut, _CHUNK_TYPE.format(key=key_type)), rows_a_file=16)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending 40-bit keys as differences of 32 bits, or as they are if a difference is larger."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return (steps.astype("<u4") if steps.max() < 2**32 else keys.astype("<u8")).tobytes()
+
+
+def unpacked_keys(packed: bytes, count: int) -> np.ndarray:
+    if len(packed) == 8 * count:
+        return np.frombuffer(packed, "<u8")
+    return np.cumsum(np.frombuffer(packed, "<u4"), dtype=np.uint64)
+
+
 class Chunk:
-    """A chunk's tokens and the keys of its words and pairs."""
+    """A chunk's tokens, their contexts, and the place of each token's pair among the distinct pairs."""
 
     def __init__(self, row: dict):
-        self.tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), "<u4").astype(np.int64)
-        self.words = np.frombuffer(row["words"], "<u8")
+        self.tokens = unsqueezed(row["tokens"])
         self.lengths = np.array(row["lengths"], np.int64)
         self.train = np.repeat(np.array(row["train"], bool), self.lengths)
         self.context = np.append(np.int64(0), self.tokens[:-1])
-        codes = self.context << 32 | self.tokens
-        pairs, self.pair = np.unique(codes, return_inverse=True)
-        self.keys = self.words, _mixed(self.words[pairs >> 32], self.words[pairs & 0xFFFFFFFF])
+        self.pairs, self.pair = np.unique(self.context << 32 | self.tokens, return_inverse=True)
         self.places = self.tokens, self.pair
 
-    def sent(self, kind: int, bits: int):
+    def keys(self, words: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the distinct words and pairs."""
+        words = np.frombuffer(words, "<u8")
+        return words, _mixed(words[self.pairs >> 32], words[self.pairs & 0xFFFFFFFF])
+
+    def sent(self, kind: int, keys: np.ndarray, bits: int):
         """(range, packed keys, packed training counts) of the chunk's words (0) or pairs (1), by ascending key."""
-        keys = self.keys[kind]
         counts = np.bincount(self.places[kind][self.train], minlength=len(keys))
         order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype("<u4")
+        keys, counts = keys[order], counts[order]
         ranges = (keys >> np.uint64(64 - bits)).astype(np.int64)
         starts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
-        # The range holds the first bits of a key; its last 48 are sent.
-        low = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+        # The range holds the first bits of a key; of the others 48 or 40 are sent.
+        rest = keys << np.uint64(bits) >> np.uint64(16 if kind == 0 else 24)
         for a, b in zip(starts.tolist(), np.append(starts[1:], len(keys)).tolist()):
-            yield int(ranges[a]), low[a:b].tobytes(), counts[a:b].tobytes()
+            if kind == 0:
+                low = np.ascontiguousarray(rest[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+            else:
+                low = packed_keys(rest[a:b])
+            yield int(ranges[a]), low, squeezed(counts[a:b])
+
 
-    def answered(self, kind: int, rows: list[tuple[int, bytes]]) -> np.ndarray:
-        """Corpus counts in the order of the chunk's own keys."""
-        counts = np.concatenate([np.frombuffer(c, "<u4") for _, c in sorted(rows)]).astype(np.int64)
-        out = np.empty_like(counts)
-        out[np.argsort(self.keys[kind])] = counts
-        return out
+def answered(keys: np.ndarray, rows: list[tuple[int, bytes]]) -> np.ndarray:
+    """Corpus counts in the order of a chunk's own keys."""
+    counts = np.concatenate([unsqueezed(c) for _, c in sorted(rows)])
+    out = np.empty_like(counts)
+    out[np.argsort(keys)] = counts
+    return out
 
 
 def counted(chunks: DataFrame) -> DataFrame:
@@ -144,27 +172,31 @@ def counted(chunks: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row)
-                for kind in (0, 1):
-                    rows = [(kind, r, row["chunk"], k, c) for r, k, c in chunk.sent(kind, bits)]
+                for kind, keys in enumerate(chunk.keys(row["words"])):
+                    rows = [(kind, r, row["chunk"], k, c) for r, k, c in chunk.sent(kind, keys, bits)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def add(table: pa.Table) -> pa.Table:
         packed = table.column("keys").to_pylist()
-        sizes = np.array([len(k) // 6 for k in packed])
-        wide = np.zeros((sizes.sum(), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
-        distinct, place = np.unique(wide.view("<u8").ravel(), return_inverse=True)
-        sums = np.bincount(place, counts, len(distinct)).astype(np.int64)
-        answers = np.split(np.minimum(sums, 2**32 - 1).astype("<u4")[place], np.cumsum(sizes)[:-1])
-        first = [1] + [0] * (len(packed) - 1)
+        counts = [unsqueezed(c) for c in table.column("counts").to_pylist()]
+        sizes = np.array([len(c) for c in counts])
         words = table.column("kind")[0].as_py() == 0
+        if words:
+            wide = np.zeros((sizes.sum(), 8), np.uint8)
+            wide[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
+            keys = wide.view("<u8").ravel()
+        else:
+            keys = np.concatenate([unpacked_keys(k, n) for k, n in zip(packed, sizes.tolist())])
+        distinct, place = np.unique(keys, return_inverse=True)
+        sums = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
+        answers = np.split(np.minimum(sums, 2**32 - 1)[place], np.cumsum(sizes)[:-1])
+        first = [1] + [0] * (len(packed) - 1)
         return pa.table(
             {
                 "chunk": table.column("chunk"),
                 "kind": table.column("kind"),
                 "range": table.column("range"),
-                "counts": pa.array([a.tobytes() for a in answers], pa.binary()),
+                "counts": pa.array([squeezed(a) for a in answers], pa.binary()),
                 "n_types": pa.array([x * words * int((sums > 0).sum()) for x in first], pa.int64()),
                 "n_tokens": pa.array([x * words * int(sums.sum()) for x in first], pa.int64()),
             }
@@ -206,18 +238,35 @@ def mixture_weights(bins: np.ndarray, n_types: int) -> np.ndarray:
     return weights
 
 
-def _grouped(chunks: DataFrame, answers: DataFrame, body, schema: str) -> DataFrame:
-    """``body(row, chunk, word counts, pair counts)`` of every chunk and its answers."""
+def with_counts(chunks: DataFrame, answers: DataFrame, key_type: str) -> DataFrame:
+    """Chunks with the corpus counts of their words and pairs in place of the words, stored."""
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        chunk = Chunk(row)
-        rows = right.to_pylist()
-        counts = [chunk.answered(kind, [(r["range"], r["counts"]) for r in rows if r["kind"] == kind]) for kind in (0, 1)]
-        return body(row, left, chunk, *counts)
+        row, rows = left.to_pylist()[0], right.to_pylist()
+        keys = Chunk(row).keys(row["words"])
+        counts = [answered(keys[kind], [(r["range"], r["counts"]) for r in rows if r["kind"] == kind]) for kind in (0, 1)]
+        table = left.select(["keys", "train", "lengths", "tokens"])
+        for name, found in zip(("word_counts", "pair_counts"), counts):
+            table = table.append_column(name, pa.array([squeezed(found)], pa.binary()))
+        return table
 
     answers = answers.select("chunk", "kind", "range", "counts")
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(both, schema)
+    columns = f"keys array<{key_type}>, train array<boolean>, lengths array<int>, tokens binary, word_counts binary, pair_counts binary"
+    return stored(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(both, columns), rows_a_file=16)
+
+
+def _each(body):
+    """A function over Arrow batches that gives ``body(keys, chunk, word counts, pair counts)`` of every chunk."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                row = one.select(["train", "lengths", "tokens", "word_counts", "pair_counts"]).to_pylist()[0]
+                keys = one.column("keys").flatten()
+                yield body(keys, Chunk(row), unsqueezed(row["word_counts"]), unsqueezed(row["pair_counts"]))
+
+    return run
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -225,18 +274,21 @@ def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id
 
     ``base_score`` is the smoothed unigram log10 probability, ``score`` that of the interpolated model.
     """
+    key_type = docs.schema[key].dataType.simpleString()
     chunks = chunked(docs, train, text, key)
     answers = counted(chunks)
     sums = answers.agg(F.sum("n_types").alias("types"), F.sum("n_tokens").alias("tokens")).first()
     n_types, n_tokens = sums["types"] or 0, sums["tokens"] or 0
 
-    def deleted(row, left, chunk, words, pairs):
+    chunks = with_counts(chunks, answers, key_type)
+
+    def deleted(keys, chunk, words, pairs):
         own = chunk.train
         word, pair, context = words[chunk.tokens[own]] - 1, pairs[chunk.pair[own]] - 1, words[chunk.context[own]] - 1
         place = context_bucket(context) * (PAIR_BINS * WORD_BINS)
         place += _bins(pair / np.maximum(context, 1), PAIR_BINS) * WORD_BINS + _bins(word / max(n_tokens - 1, 1), WORD_BINS)
         found, times = np.unique(place, return_counts=True)
-        return pa.table({"bin": pa.array(found, pa.int64()), "times": pa.array(times, pa.int64())})
+        return pa.RecordBatch.from_pydict({"bin": pa.array(found, pa.int64()), "times": pa.array(times, pa.int64())})
 
     def added(batches):
         total = np.zeros(CONTEXTS * PAIR_BINS * WORD_BINS)
@@ -244,11 +296,11 @@ def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id
             total[batch["bin"].to_numpy()] += batch["times"].to_numpy()
         return total
 
-    held = _grouped(chunks, answers, deleted, "bin bigint, times bigint").groupBy("bin").agg(F.sum("times").alias("times"))
+    held = chunks.mapInArrow(_each(deleted), "bin bigint, times bigint").groupBy("bin").agg(F.sum("times").alias("times"))
     bins = summed(held, added, CONTEXTS * PAIR_BINS * WORD_BINS).reshape(CONTEXTS, PAIR_BINS, WORD_BINS)
     weights = mixture_weights(bins, n_types)
 
-    def scored(row, left, chunk, words, pairs):
+    def scored(keys, chunk, words, pairs):
         word, context = words[chunk.tokens], words[chunk.context]
         base = np.log10((words + 0.5) / (n_tokens + 0.5 * (n_types + 1)))[chunk.tokens]
         mix = weights[context_bucket(context)]
@@ -257,7 +309,6 @@ def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id
         if not n_tokens:
             model = np.full(len(word), 1.0)
         starts = np.append(0, np.cumsum(chunk.lengths)[:-1])
-        keys = left.column("keys").combine_chunks().flatten()
         out = {
             "n_tokens": pa.array(chunk.lengths, pa.int64()),
             "n_known": pa.array(np.add.reduceat((word > 0).astype(np.int64), starts), pa.int64()),
@@ -265,8 +316,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", key: str = "doc_id
             "base_score": pa.array(np.add.reduceat(base, starts), pa.float64()),
             "score": pa.array(np.add.reduceat(np.log10(model), starts), pa.float64()),
         }
-        return pa.table({"key": keys} | out)
+        return pa.RecordBatch.from_pydict({"key": keys} | out)
 
-    key_type = docs.schema[key].dataType.simpleString()
     columns = f"key {key_type}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return _grouped(chunks, answers, scored, columns).withColumnRenamed("key", key)
+    return chunks.mapInArrow(_each(scored), columns).withColumnRenamed("key", key)
