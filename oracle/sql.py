@@ -51,6 +51,8 @@ LITERAL_QUERIES = (
     "de la que",
 )
 LITERAL_BASE = 1_000_000
+# Document ids per block of the registered block lists: so few that every corpus fills several.
+SMALL_BLOCK = 64
 _VALUES = ",".join(f"({LITERAL_BASE + i}, '{t}')" for i, t in enumerate(LITERAL_QUERIES))
 Q = f"q AS (SELECT item_id AS qid, text AS query FROM benchmark UNION ALL SELECT * FROM (VALUES {_VALUES}) v(qid, query))"
 QT = (
@@ -116,7 +118,7 @@ def page_text(html: str) -> str:
     text = f"regexp_replace({html}, '(?s)<!--.*?-->', '', 'g')"
     for element in ("script", "style", "template"):
         text = f"regexp_replace({text}, '(?is)<{element}\\b.*?</{element}\\s*>', '', 'g')"
-    text = f"regexp_replace({text}, '(?s)<[!/?a-zA-Z][^>]*>', '', 'g')"
+    text = f"regexp_replace({text}, '(?s)<[!/?a-zA-Z](?:[^>=]|=\\s*(?:\"[^\"]*\"|''[^'']*'')?)*>', '', 'g')"
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
                          ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         text = f"replace({text}, '{entity}', '{char}')"
@@ -160,7 +162,7 @@ def mark(html: str, word: str) -> str:
     """One word marked in text pieces; references stand as single private characters meanwhile."""
     pattern = f"(?i)(^|[^a-zA-Z\\p{{Nd}}]+)({word})($|[^a-zA-Z\\p{{Nd}}]+)"
     replaced = f"regexp_replace(p, '{pattern}', '\\1<mark>\\2</mark>\\3', 'g')"
-    pieces = f"regexp_extract_all({html}, '(?s)<[^>]*>|[^<]+|<')"
+    pieces = f"regexp_extract_all({html}, '(?s)<!--.*?-->|<[!/?a-zA-Z](?:[^>=]|=\\s*(?:\"[^\"]*\"|''[^'']*'')?)*>|[^<]+|<')"
     return (
         f"array_to_string(list_transform({pieces}, lambda p: CASE WHEN starts_with(p, '<') THEN p ELSE {replaced} END), '')"
     )
@@ -230,18 +232,6 @@ BUDGET = (
     "budget AS (SELECT qid, term, is_common, (CASE WHEN is_common THEN 50.0 WHEN same = total THEN 250.0 ELSE 200.0 END)::DOUBLE"
     " / same AS budget FROM qn)",
 )
-CAPPED = (
-    "capped0 AS (SELECT k.qid, p.doc_id, p.term, p.tf, b.budget FROM known k JOIN post p USING (term) JOIN budget b"
-    " ON b.qid = k.qid AND b.term = k.term QUALIFY row_number() OVER (PARTITION BY k.qid, p.term ORDER BY p.doc_id) <= floor(b.budget))",
-    "capped AS (SELECT c.qid, doc_id, term, tf, count(*) OVER (PARTITION BY c.qid, term) AS df, m.n_known FROM capped0 c JOIN"
-    " (SELECT qid, count(DISTINCT term) AS n_known FROM capped0 GROUP BY qid) m ON m.qid = c.qid)",
-)
-CAPPED_RANKED = (
-    "uni AS (SELECT qid, doc_id, sum((1 + log10(tf)) * log10(n.n / df)) AS uni FROM capped, n GROUP BY qid, doc_id"
-    " HAVING count(*) = max(n_known))",
-    BIHITS, BIW, LAST, SCORE, RANKED,
-)
-
 # The kept documents under dense ids, in place of the plain documents.
 KEPT_INDEX = (
     "ids AS (SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS doc_id FROM kept)",
@@ -280,11 +270,31 @@ TURNS = (
     "turn AS (SELECT row_number() OVER (ORDER BY conv_id * 100000 + turn) - 1 AS doc_id, " + tokens("text") + " AS tokens"
     " FROM conversations)",
     "ctok AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) - 1 AS pos FROM turn)",
-    "cbi AS (SELECT * FROM (SELECT doc_id, term AS t1, lead(term) OVER (PARTITION BY doc_id ORDER BY pos) AS t2 FROM ctok)"
+    "cbi AS (SELECT * FROM (SELECT doc_id, pos, term AS t1, lead(term) OVER (PARTITION BY doc_id ORDER BY pos) AS t2 FROM ctok)"
     " WHERE t2 IS NOT NULL)",
 )
 
+# Markup that is easily misread, and, written by hand, its text and what it is with "que" marked.
+HARD_HTML = (
+    "<p title=\"a > que\">que</p><!-- b > que -->1 < 2 que<a onclick='x => que'>&apos;&#0000000065;&copy 2020</a>"
+    "<script>if (a<b) '</p>'</script>"
+)
+HARD_TEXT = "que1 < 2 que'A© 2020"
+HARD_MARKED = (
+    "<p title=\"a > que\"><mark>que</mark></p><!-- b > que -->1 < 2 <mark>que</mark><a onclick='x => que'>&apos;&#0000000065;&copy 2020</a>"
+    "<script>if (a<b) '</p>'</script>"
+)
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 STATEMENTS: dict[str, str] = {
+    "page_text_hard": f"SELECT page_id, {quoted(HARD_TEXT)} || {page_text('html')} || {quoted(HARD_TEXT)} AS text FROM pages",
+    "highlight_hard": (
+        f"SELECT page_id, {quoted(HARD_MARKED)} || {highlight('html', ['que'])} || {quoted(HARD_MARKED)} AS html FROM pages"
+    ),
     "page_text": f"SELECT page_id, {page_text('html')} AS text FROM pages",
     "tokens_regex": with_ctes(DOC, select="SELECT doc_id, array_to_string(tokens, ' ') AS tokens, len(tokens) AS n FROM doc"),
     "tokens_with_separators": (
@@ -315,11 +325,6 @@ STATEMENTS: dict[str, str] = {
         + defragment("url") + " ORDER BY seq) = 1",
     ),
     "dedupe_url_exact": with_ctes(
-        PAGES3,
-        select="SELECT seq, url, row_number() OVER (ORDER BY seq) - 1 AS n, md5(content) AS content_md5 FROM (SELECT * FROM pages3"
-        " QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1) ORDER BY seq LIMIT 4",
-    ),
-    "dedupe_url_exact_all": with_ctes(
         PAGES3,
         select="SELECT seq, url, row_number() OVER (ORDER BY seq) - 1 AS n, md5(content) AS content_md5 FROM (SELECT * FROM pages3"
         " QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1)",
@@ -362,12 +367,12 @@ STATEMENTS: dict[str, str] = {
     "bigram_postings": with_ctes(DOC, TOK, BI, BIPOST, select="SELECT t1, t2, doc_id, tf, positions FROM bipost"),
     "posting_lists": with_ctes(
         DOC, TOK, POST,
-        select="SELECT term, doc_id // 16384 AS block, string_agg(doc_id || ':' || tf || ':' || positions, ';' ORDER BY doc_id) AS postings"
+        select=f"SELECT term, doc_id // {SMALL_BLOCK} AS block, string_agg(doc_id || ':' || tf || ':' || positions, ';' ORDER BY doc_id) AS postings"
         " FROM post GROUP BY ALL",
     ),
     "doc_only_index": with_ctes(
         DOC, TOK,
-        select="SELECT term, doc_id // 16384 AS block, string_agg(DISTINCT doc_id::VARCHAR, ' ' ORDER BY lpad(doc_id::VARCHAR, 12, '0')) AS docs"
+        select=f"SELECT term, doc_id // {SMALL_BLOCK} AS block, string_agg(DISTINCT doc_id::VARCHAR, ' ' ORDER BY lpad(doc_id::VARCHAR, 12, '0')) AS docs"
         " FROM (SELECT DISTINCT term, doc_id FROM tok) GROUP BY ALL".replace("DISTINCT doc_id::VARCHAR", "doc_id::VARCHAR"),
     ),
     "doc_frequency": with_ctes(DOC, TOK, POST, DF, select="SELECT term, df FROM df"),
@@ -380,13 +385,15 @@ STATEMENTS: dict[str, str] = {
     ),
     "merge_bigram_segments": with_ctes(
         DOC, TOK, BI, BIPOST, N, *TURNS,
-        select="SELECT t1, t2, doc_id, tf FROM bipost UNION ALL SELECT t1, t2, doc_id + n.n, count(*) FROM cbi, n GROUP BY t1, t2, doc_id, n.n",
+        select="SELECT t1, t2, doc_id, tf, positions FROM bipost UNION ALL SELECT t1, t2, doc_id + n.n, count(*),"
+        " string_agg(pos::VARCHAR, ' ' ORDER BY pos) FROM cbi, n GROUP BY t1, t2, doc_id, n.n",
     ),
     "merge_frequencies": with_ctes(
         DOC, TOK, *TURNS[:2],
         select="SELECT term, count(*) AS df FROM (SELECT DISTINCT term, doc_id FROM tok UNION ALL SELECT DISTINCT term, -1 - doc_id FROM ctok)"
         " GROUP BY term",
     ),
+    "pair_dictionary": with_ctes(DOC, TOK, BI, BIPOST, BIDF, select="SELECT t1, t2, df FROM bidf"),
     "index_stats": with_ctes(
         DOC, TOK, POST,
         select="SELECT 'documents' AS metric, count(*) AS value FROM doc UNION ALL SELECT 'unique_tokens', count(DISTINCT term) FROM post"
@@ -395,10 +402,6 @@ STATEMENTS: dict[str, str] = {
     "lookup_terms": with_ctes(*INDEX, *QUERY, select="SELECT qid, term, doc_id, tf FROM hits"),
     "lookup_bigrams": with_ctes(*INDEX, *QUERY, BIHITS, select="SELECT qid, ord, t1, t2, doc_id, tf, df FROM bihits"),
     "term_budget": with_ctes(Q, QT, *BUDGET, select="SELECT qid, term, is_common, round(budget, 6) AS budget FROM budget"),
-    "cap_postings": with_ctes(*INDEX, *QUERY, *BUDGET, *CAPPED, select="SELECT qid, doc_id, term, tf, df, n_known FROM capped"),
-    "retrieve_capped": with_ctes(
-        *INDEX, *QUERY, *BUDGET, *CAPPED, *CAPPED_RANKED, select="SELECT qid, rank, doc_id, round(score, 6) AS score FROM ranked"
-    ),
     "boolean_and": with_ctes(*INDEX, *QUERY, CAND, select="SELECT qid, doc_id FROM cand"),
     "unigram_tfidf": with_ctes(*INDEX, *QUERY, UNI, select="SELECT qid, doc_id, round(uni, 6) AS uni FROM uni"),
     "restrict_to_candidates": with_ctes(
@@ -433,7 +436,12 @@ STATEMENTS: dict[str, str] = {
         "q AS (SELECT * FROM (VALUES (0, 'cristina lopes'), (1, 'machine learning'), (2, 'ACM'),"
         " (3, 'master of software engineering')) v(qid, query))",
         *QUERY[1:], UNI, BIHITS, BIW, LAST, SCORE, RANKED,
-        select="SELECT qid, query, rank, 'doc:' || doc_id AS url, printf('generated_results/result_%02d.html', rank - 1) AS rel_path"
+        select="SELECT qid, query, rank, 'doc:' || doc_id AS url, printf('generated_results/%d/result_%02d.html', qid, rank - 1) AS rel_path"
+        " FROM ranked JOIN q USING (qid)",
+    ),
+    "query_batch_report_all": with_ctes(
+        *FULL,
+        select="SELECT qid, query, rank, 'doc:' || doc_id AS url, printf('generated_results/%d/result_%02d.html', qid, rank - 1) AS rel_path"
         " FROM ranked JOIN q USING (qid)",
     ),
     "highlight": f"SELECT page_id, {highlight('html', ['que', 'de', 'The'])} AS html FROM pages",
@@ -445,13 +453,13 @@ STATEMENTS: dict[str, str] = {
     "search_results": greedy(
         *PAGE_DOC, TOK, *signature_ctes(),
         select=", ".join([""] + [c.replace(" AS (", " AS MATERIALIZED (", 1) for c in PAGE_RANKING])
-        + " SELECT r.qid, q.query, r.rank, d.url, printf('generated_results/result_%02d.html', r.rank - 1) AS rel_path"
+        + " SELECT r.qid, q.query, r.rank, d.url, printf('generated_results/%d/result_%02d.html', r.qid, r.rank - 1) AS rel_path"
         " FROM ranked r JOIN doc2 d USING (doc_id) JOIN q USING (qid)",
     ),
     "result_pages": greedy(
         *PAGE_DOC, TOK, *signature_ctes(),
         select=", ".join([""] + [c.replace(" AS (", " AS MATERIALIZED (", 1) for c in PAGE_RANKING])
-        + " SELECT r.qid, r.rank, printf('generated_results/result_%02d.html', r.rank - 1) AS rel_path, CASE r.qid"
+        + " SELECT r.qid, r.rank, printf('generated_results/%d/result_%02d.html', r.qid, r.rank - 1) AS rel_path, CASE r.qid"
         + " ".join([""] + [f"WHEN {i} THEN {highlight('p.content', t.split())}" for i, t in enumerate(PAGE_QUERIES)])
         + " END AS html FROM ranked r JOIN doc2 d USING (doc_id) JOIN pages2 p ON p.seq = d.seq",
     ),

@@ -9,7 +9,9 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_a_statement():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """Queries of the optional package that SQL cannot express have none."""
+    optional = {name for name in contract.queries() if name.startswith("op") and name[2].isdigit()} | {"pipeline"}
+    assert set(contract.oracle_sql()) - optional == set(contract.queries()) - optional
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")

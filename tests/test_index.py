@@ -101,7 +101,7 @@ def test_merging_halves_equals_building_whole(spark, docs, index):
     halves = [{d: t for d, t in docs.items() if low <= d < low + 40} for low in (0, 40)]
     merged = build.merge_segments(*[build.assemble_index(tokenized(spark, h), None) for h in halves])
     assert merged.n_docs == index.n_docs
-    for name in ("docs", "postings", "bigrams", "terms"):
+    for name in ("docs", "postings", "bigrams", "terms", "pairs"):
         whole = getattr(index, name).drop("doc_block")
         part = getattr(merged, name).select(whole.columns)
         assert sorted(map(repr, part.collect())) == sorted(map(repr, whole.collect()))
@@ -134,7 +134,7 @@ def test_every_lookup_strategy_gives_the_same(spark, docs, index, monkeypatch, g
 def test_candidates_are_found_by_frequency(spark, index):
     known = matching.known_terms(process_queries(queries(spark, ["rare the of"]), **REGEX), index.terms)
     candidates = matching.find_candidates(known, index.postings)
-    assert candidates.small and {r.doc_id for r in candidates.df.collect()} == {5, 9}
+    assert candidates.small(known) and {r.doc_id for r in candidates.df.collect()} == {5, 9}
     single = matching.known_terms(process_queries(queries(spark, ["the", "of"]), **REGEX), index.terms)
     assert matching.find_candidates(single, index.postings) is None
 
@@ -151,7 +151,7 @@ def test_unknown_words_are_ignored_and_empty_queries_find_nothing(spark, index):
 
 def test_last_pair_wins(spark, docs, index):
     processed = process_queries(queries(spark, ["to the to"]), **REGEX)
-    weights = scoring.bigram_tfidf(matching.lookup_bigrams(processed, index.bigrams), index.n_docs)
+    weights = scoring.bigram_tfidf(matching.lookup_bigrams(processed, index.bigrams, index.pairs), index.n_docs)
     rows = {(r.doc_id, r.t1): r.weight for r in weights.collect()}
     for row in scoring.last_bigram_wins(weights).collect():
         assert row.bi == rows.get((row.doc_id, "the"), rows.get((row.doc_id, "to")))
@@ -176,27 +176,23 @@ def test_term_budget(spark, text, use_full, budgets):
     assert {r.term: r.budget for r in matching.term_budget(terms, 250, use_full=use_full).collect()} == budgets
 
 
-def test_capped_retrieval(spark, docs, index):
-    """A budget of 20: common terms share 4 postings, the others 16; a list cut to nothing is unknown."""
-    texts = ["the alpha", "the of and to is alpha", "alpha beta"]
-    budgets = []
-    for text in texts:
-        terms = set(text.split())
-        common = {t for t in terms if t in STOP_WORDS}
-        rest = terms - common
-        budgets.append({t: 4 / len(common) if t in common else (16 if common else 20) / len(rest) for t in terms})
-    want = {
-        q: [(d, round(s, 6)) for d, s in plain.rank(t.split(), docs, STOP_WORDS, budget=b)]
-        for q, (t, b) in enumerate(zip(texts, budgets))
-    }
-    got = ranking(search.retrieve(queries(spark, texts), index, budget=20, **REGEX))
-    assert got == {q: hits for q, hits in want.items() if hits}
-
-
 def test_batch_report(spark, docs, index):
     assert search.query_batch_report(index).columns == ["qid", "query", "rank", "url", "rel_path"]
     rows = search.query_batch_report(index, queries(spark, ["the alpha"])).orderBy("rank").collect()
-    assert [r.rel_path for r in rows] == [f"generated_results/result_0{i}.html" for i in range(5)]
+    assert [r.rel_path for r in rows] == [f"generated_results/0/result_0{i}.html" for i in range(5)]
+
+
+def test_pair_dictionary(docs, index):
+    pairs = {(r.t1, r.t2): r.df for r in index.pairs.collect()}
+    assert pairs == {p: sum(p in set(zip(t, t[1:])) for t in docs.values()) for p in pairs} and ("rare", "the") in pairs
+
+
+def test_few_but_huge_rows_are_measured_and_not_fetched(spark, monkeypatch):
+    monkeypatch.setattr(session, "PINNED_BYTES", 1_000_000)
+    huge = spark.range(20).select("id", F.expr("repeat('x', 100000)").alias("query"))
+    assert session.pin(huge).rows is None
+    assert session.pin(huge.limit(5)).rows.num_rows == 5
+    assert session.pin(huge, session.pin(huge)).rows is None
 
 
 def test_unfinished_index_does_not_open(spark, index, tmp_path):
@@ -212,4 +208,4 @@ def test_stored_index_round_trip(spark, index, tmp_path):
     assert sorted(map(repr, again.postings.collect())) == sorted(map(repr, index.postings.collect()))
     assert "positions" not in index_store.read_postings(spark, str(tmp_path / "postings"), with_positions=False).columns
     sizes = {r.metric: r.value for r in reports.stored_sizes(spark, str(tmp_path)).collect()}
-    assert set(sizes) == {"docs_kb", "postings_kb", "bigrams_kb", "terms_kb"} and min(sizes.values()) > 0
+    assert set(sizes) == {"docs_kb", "postings_kb", "bigrams_kb", "terms_kb", "pairs_kb"} and min(sizes.values()) > 0

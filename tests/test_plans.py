@@ -2,12 +2,16 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
-from wordtrawl.operators import duplicates, postings, scoring
+from wordtrawl.operators import duplicates, matching, postings, scoring
+from wordtrawl.operators.tokens import process_queries
 from wordtrawl.plans import build, search
+from wordtrawl.session import pin, prune_to_keys
 from wordtrawl.sources import crawl
+from wordtrawl.sources.result_pages import fetch_result_pages
 
 
 def plan(frame):
@@ -62,3 +66,38 @@ def test_url_dedupe_shuffles_keys_before_contents(spark, tmp_path):
     assert "ReadSchema: struct<seq:bigint,url:string>" in text and "partial_min" in text.lower()
     latest = plan(crawl.latest_pages(spark.read.parquet(str(tmp_path / "pages"))))
     assert "ReadSchema: struct<seq:bigint,url:string>" in latest
+
+
+def test_result_pages_are_fetched_by_key(spark, tmp_path):
+    pages = spark.range(100).selectExpr("id AS page_id", "concat('u', id) AS url", "concat('<p>', id) AS html")
+    pages.write.parquet(str(tmp_path / "pages"))
+    pages = crawl.pages_from_table(spark.read.parquet(str(tmp_path / "pages")))
+    results = spark.createDataFrame([(0, 1, 7), (0, 2, 9)], "qid bigint, rank int, seq bigint")
+    fetched = fetch_result_pages(results, pages)
+    text = plan(fetched)
+    assert "In(page_id, [7,9])" in text
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+    assert sorted((r.rank, r.content) for r in fetched.collect()) == [(1, "<p>7"), (2, "<p>9")]
+
+
+def test_large_batches_still_prune(spark, index):
+    words = " ".join(f"w{i}" for i in range(5_000))
+    queries = spark.createDataFrame([(0, words), (1, "the of")], "qid bigint, query string")
+    processed = pin(process_queries(queries, tokenizer="regex"))
+    known = matching.known_terms(processed, index.terms)
+    assert {r.term for r in known.df.collect()} == {"the", "of", *(f"w{i}" for i in range(7))}
+    pruned = plan(prune_to_keys(index.postings, processed, "term", "tokens"))
+    assert any("Or(" in p or "In(term" in p for p in re.findall(r"PushedFilters: \[(.*)", pruned))
+
+
+def test_a_search_takes_few_jobs(spark, index):
+    context, group = spark.sparkContext, "jobs of one search"
+    queries = spark.createDataFrame([(0, "the w1 of")], "qid bigint, query string")
+    search.retrieve(queries, index, tokenizer="regex").collect()
+    context.setJobGroup(group, group)
+    try:
+        search.retrieve(queries, index, tokenizer="regex").collect()
+        jobs = len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setJobGroup("other", "other")
+    assert jobs <= 13

@@ -5,7 +5,7 @@ import pytest
 
 from wordtrawl.plans import build, search
 from wordtrawl.sources import crawl
-from wordtrawl.sources.result_pages import result_pages, write_result_files, write_result_pages
+from wordtrawl.sources.result_pages import result_pages, write_result_pages
 
 PAGES = {
     "a.example/p1": ("http://a.example/1", "<p>Alpha beta</p><p>gamma</p>"),
@@ -69,11 +69,23 @@ def test_crawl_to_result_files(spark, tree, tmp_path):
 
     paths = write_result_pages(rendered, str(tmp_path / "pages"))
     assert sorted(r.rel_path for r in paths.collect()) == [r.rel_path for r in rows]
-    write_result_files(rendered, str(tmp_path / "static"))
-    folder = tmp_path / "static" / "generated_results"
-    assert sorted(os.listdir(folder)) == ["result_00.html", "result_01.html"]
-    texts = {(folder / name).read_text() for name in os.listdir(folder)}
+    texts = {r.html for r in rendered.collect()}
     assert "<p><mark>Alpha</mark> beta</p><p>gamma</p>" in texts
 
-    plain = result_pages(search.retrieve(queries, index), pages, None)
+    plain = result_pages(search.retrieve(queries, index, with_seq=True), pages, None)
     assert {r.html for r in plain.collect()} == {PAGES["a.example/p1"][1], PAGES["b.example/p4"][1]}
+
+
+def test_queries_of_a_batch_have_paths_of_their_own(spark, tree, tmp_path):
+    pages = crawl.read_pages(spark, tree)
+    index = build.build_index(build.tokenize_pages(pages, sep=" "), str(tmp_path / "index"))
+    queries = spark.createDataFrame([(0, "beta"), (1, "delta")], "qid bigint, query string")
+    listed, rendered = search.search(queries, index, pages)
+    paths = {r.rel_path: r.url for r in listed.collect()}
+    assert paths == {
+        "generated_results/0/result_00.html": "http://a.example/1",
+        "generated_results/1/result_00.html": "http://b.example/3",
+    }
+    html = {r.rel_path: r.html for r in rendered.collect()}
+    assert "<mark>beta</mark>" in html["generated_results/0/result_00.html"]
+    assert "<mark>delta</mark>" in html["generated_results/1/result_00.html"]

@@ -24,6 +24,15 @@ def apply(spark, function, values, kind="string"):
         ("<style>p{}</style>x<template><p>t</p></template>", "x"),
         ("1 < 2 &lt;b&gt; &amp;lt; &copy;&nbsp;&#233;&#x20AC; &unknown; &#xD800; AT&T", "1 < 2 <b> &lt; ©\xa0é€ &unknown; � AT&T"),
         ("<p\nid=a>line</p\n>", "line"),
+        ("<a title=\"x > y\">t</a>", "t"),
+        ("<a onclick = 'f(a => b)' id=\"2\">t</a>", "t"),
+        ("<p title=don't>a</p>'b'<i>c</i>", "a'b'c"),
+        ("<p title=\"open>a</p>", "a"),
+        ("it&apos;s &copy 2020 &copyright; &ampx &#0000000065;&#x000041; &#65 &#99999999999999999999;", "it's © 2020 ©right; &x AA A \ufffd"),
+        ("a<script>if (a<b) x='", "a"),
+        ("a<!-- <script> -->b<script>'<!--'</script>c", "abc"),
+        ("a<!-- open <b>x</b>", "a"),
+        ("<b" + " a='>'" * 20000 + ">x</b>", "x"),
         ("", ""),
         (None, None),
     ],
@@ -140,6 +149,9 @@ def test_positions_count_kept_tokens_and_pairs_cross_punctuation(spark):
         ("amp &amp; x", "amp", "<mark>amp</mark> &amp; x"),
         ("foo &amp; foo", "foo", "<mark>foo</mark> &amp; foo"),
         ("<a href='foo'>x</a> <!-- foo -->", "foo", "<a href='foo'>x</a> <!-- foo -->"),
+        ("<!-- a > foo -->bar foo", "foo", "<!-- a > foo -->bar <mark>foo</mark>"),
+        ("1 < 2 foo <b>x</b>", "foo", "1 < 2 <mark>foo</mark> <b>x</b>"),
+        ("<a title='p>q foo'>foo</a>", "foo", "<a title='p>q foo'><mark>foo</mark></a>"),
         ("a b c", "b a b", "<mark>a</mark> <mark>b</mark> c"),
         ("1+1 is (a|b)", "(a|b) 1+1", "<mark>1+1</mark> is (a|b)"),
         ("cost $5", "$5", "cost $5".replace("$5", "<mark>$5</mark>")),

@@ -5,6 +5,7 @@ Every function works on narrow key tables (seq, url, sig). Page contents are joi
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -30,16 +31,10 @@ def dedupe_url_first(pages: DataFrame, url: Column | str = "url", seq: str = "se
     return pages.join(winners, seq, "left_semi")
 
 
-def dedupe_url_exact(pages: DataFrame, limit: int | None = 4) -> DataFrame:
-    """First page per raw URL, the first ``limit`` of them, numbered 0, 1, ... in ``n`` (None: all, numbered densely)."""
+def dedupe_url_exact(pages: DataFrame) -> DataFrame:
+    """First page per raw URL, numbered densely in ``n``."""
     firsts = pages.groupBy("url").agg(F.min("seq").alias("seq")).select("seq")
-    if limit is None:
-        numbered = assign_doc_ids(firsts).withColumnRenamed("doc_id", "n")
-    else:
-        # limit rows only, so the window over one partition is bounded by it.
-        numbered = firsts.orderBy("seq").limit(limit)
-        numbered = numbered.select("seq", (F.row_number().over(Window.orderBy("seq")) - 1).cast("bigint").alias("n"))
-    return pages.join(numbered, "seq")
+    return pages.join(assign_doc_ids(firsts).withColumnRenamed("doc_id", "n"), "seq")
 
 
 def simhash64(docs: DataFrame, key: str = "seq") -> DataFrame:
@@ -81,8 +76,6 @@ def signature_edges(firsts: DataFrame, bits: int) -> DataFrame:
     With one bit, every signature only offers itself with one set bit cleared, at most 64 rows, against a side that
     holds each signature once. No join key gathers more rows than that, whatever the data.
     """
-    if bits > MAX_BITS:
-        raise ValueError(f"signatures more than {MAX_BITS} bits apart are out of reach; raise the threshold")
     if bits == 1:
         set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("sig", i) == 1)
         left = firsts.select(F.col("seq").alias("seq_l"), F.col("sig").alias("sig_l"), F.explode(set_bits).alias("bit"))
@@ -105,12 +98,25 @@ def signature_edges(firsts: DataFrame, bits: int) -> DataFrame:
     return pairs if bits <= 1 else pairs.distinct()
 
 
+def allowed_bits(threshold: float) -> int:
+    """Differing bits that a threshold allows; the public operators check it here before any work starts.
+
+    Thresholds of 60/64 and less (four bits and more) are not supported: the offers of a signature grow with the cube of the
+    bits.
+    """
+    bits = max_differing_bits(threshold)
+    if bits > MAX_BITS:
+        raise ValueError(f"the threshold must exceed {1 - (MAX_BITS + 1) / 64}: at most {MAX_BITS} differing bits are supported")
+    return bits
+
+
 def near_duplicate_pairs(signatures: DataFrame, threshold: float = 0.98) -> DataFrame:
     """(earlier, later, distance): what makes pages near-duplicates, in a number of rows linear in the pages.
 
     Copies with equal signatures are paired with the first page of their signature (distance 0), never with each other;
     different signatures within the threshold are paired through their first pages.
     """
+    bits = allowed_bits(threshold)
     firsts = cut_lineage(signatures.groupBy("sig").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("copies")))
     repeated = firsts.filter("copies > 1").select("sig", F.col("seq").alias("earlier"), "copies")
     # The most repeated signatures, a fixed number of them, are broadcast; the others are small enough to shuffle.
@@ -125,7 +131,6 @@ def near_duplicate_pairs(signatures: DataFrame, threshold: float = 0.98) -> Data
         .filter("earlier != later")
     )
     copies = copies.withColumn("distance", F.lit(0))
-    bits = max_differing_bits(threshold)
     return copies if bits == 0 else copies.unionByName(signature_edges(firsts, bits))
 
 
@@ -135,15 +140,16 @@ def kept_signatures(signatures: DataFrame, threshold: float = 0.98) -> DataFrame
     The rule is greedy in ``seq`` order: a page falls if it is within the threshold of an earlier page that was kept.
     Equal signatures leave their first page. Among those, only pages with a neighbour take part in the rounds: a page
     that is nobody's later neighbour is kept for good, its later neighbours fall, and what is decided leaves the graph.
-    A round is a few joins on page ids; its result is checkpointed, so the plan does not grow with the rounds.
+    A round is a few joins on page ids; what falls and what is left of the graph are checkpointed, so neither the plan nor a
+    round grows with the rounds before. Short chains need a few rounds; a chain of n dependent pages needs n / 2.
     """
-    bits = max_differing_bits(threshold)
+    bits = allowed_bits(threshold)
     firsts = signatures.groupBy("sig").agg(F.min("seq").alias("seq")).select("seq", "sig")
     if bits == 0:
         return firsts
     firsts = cut_lineage(firsts)
     edges = cut_lineage(signature_edges(firsts, bits).select("earlier", "later"))
-    fallen = None
+    fallen = []
     while not edges.isEmpty():
         settled = edges.select("earlier").distinct().join(
             edges.select(F.col("later").alias("earlier")), "earlier", "left_anti"
@@ -152,10 +158,11 @@ def kept_signatures(signatures: DataFrame, threshold: float = 0.98) -> DataFrame
         edges = cut_lineage(
             edges.join(falls, "later", "left_anti").join(falls.select(F.col("later").alias("earlier")), "earlier", "left_anti")
         )
-        fallen = falls if fallen is None else cut_lineage(fallen.unionByName(falls))
-    if fallen is None:
+        fallen.append(falls)
+    if not fallen:
         return firsts
-    return firsts.join(fallen.select(F.col("later").alias("seq")), "seq", "left_anti")
+    fallen = reduce(DataFrame.unionByName, fallen).select(F.col("later").alias("seq"))
+    return firsts.join(fallen, "seq", "left_anti")
 
 
 def drop_near_duplicates(pages: DataFrame, signatures: DataFrame, threshold: float = 0.98) -> DataFrame:

@@ -8,41 +8,85 @@ from dataclasses import dataclass
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
-from wordtrawl.operators.postings import doc_frequency
 from wordtrawl.operators.tokens import query_pairs
-from wordtrawl.session import Pinned, derived, literal_rows, pin, prune_to_keys
+from wordtrawl.session import Pinned, derived, literal_rows, pin, pinned_rows, prune_to_keys
 
+#: Rows and bytes of probes that may be broadcast, and by how much fewer probes must be to be worth a shuffle.
 CANDIDATE_ROWS = 1_000_000
+CANDIDATE_BYTES = 64 * 1024 * 1024
 PROBE_GAIN = 4
+#: Words whose pairs are fetched by IN lists alone: at most this number squared.
+FEW_WORDS = 200
 
 
-def known_terms(processed: DataFrame | Pinned, frequencies: DataFrame) -> DataFrame:
+def known_terms(processed: DataFrame | Pinned, frequencies: DataFrame) -> Pinned:
     """(qid, term, df, n_known, rarest): the distinct query terms that the index knows.
 
-    Unknown words drop out here, so they neither empty the AND nor count in ``n_known``.
+    Unknown words drop out here, so they neither empty the AND nor count in ``n_known``. For a batch that is at hand one scan
+    of the dictionary fetches the frequencies of its words; the rest is put together from the rows at hand.
     """
     processed = pin(processed)
+    qid = processed.df.schema["qid"].dataType.simpleString()
+    schema = f"qid {qid}, term string, df bigint, n_known bigint, rarest boolean"
+    pruned = prune_to_keys(frequencies.select("term", "df"), processed, "term", "tokens")
+    if processed.values("tokens") is not None:
+        df = dict(zip(*pruned.toArrow().to_pydict().values()))
+        known = []
+        for row in processed.rows.select(["qid", "tokens"]).to_pylist():
+            terms = [t for t in dict.fromkeys(row["tokens"] or ()) if t in df]
+            rarest = min(terms, key=lambda t: (df[t], t), default=None)
+            known += [(row["qid"], t, df[t], len(terms), t == rarest) for t in terms]
+        return pinned_rows(frequencies.sparkSession, known, schema)
     wanted = processed.df.select("qid", F.explode(F.array_distinct("tokens")).alias("term"))
-    known = prune_to_keys(frequencies, processed, "term", "tokens").join(derived(wanted, processed), "term")
+    known = pruned.join(derived(wanted, processed), "term")
     per_query = Window.partitionBy("qid")
-    return known.select(
+    known = known.select(
         "qid",
         "term",
         "df",
         F.count(F.lit(1)).over(per_query).alias("n_known"),
         (F.row_number().over(per_query.orderBy("df", "term")) == 1).alias("rarest"),
     )
+    return pin(known, processed)
 
 
 @dataclass(frozen=True)
 class Candidates:
-    """(qid, doc_id) of the documents that hold the rarest term of each query; ``small`` if their probes may be broadcast."""
+    """The documents that hold the rarest term of each query.
 
-    df: DataFrame
-    small: bool
+    ``postings`` are the lists of the rarest terms (term, doc_id); ``rarest`` says which term is whose, and how frequent (n).
+    """
+
+    postings: DataFrame
+    rarest: Pinned
+
+    @property
+    def df(self) -> DataFrame:
+        """(qid, doc_id)"""
+        return self.postings.join(self.rarest.df, "term").select("qid", "doc_id")
+
+    def probes(self, known: Pinned) -> DataFrame:
+        """Every candidate with every row of ``known`` of its query."""
+        if known.rows is None or self.rarest.rows is None:
+            return self.df.join(known.df, "qid")
+        keys = known.rows.join(self.rarest.rows.select(["qid", "term"]).rename_columns(["qid", "rarest_term"]), "qid", join_type="inner")
+        fields = [known.df.schema[name] if name in known.df.columns else StructField(name, StringType()) for name in keys.column_names]
+        asked = literal_rows(self.postings.sparkSession, keys, StructType(fields)).df
+        return self.postings.withColumnRenamed("term", "rarest_term").join(asked, "rarest_term").drop("rarest_term")
+
+    def small(self, known: Pinned) -> bool:
+        """Whether every candidate with every known key of its query makes a table that may be broadcast."""
+        if known.rows is None or self.rarest.rows is None:
+            return False
+        keys = known.rows.group_by("qid").aggregate([([], "count_all")])
+        joined = keys.join(self.rarest.rows.select(["qid", "n"]), "qid", join_type="inner")
+        probes = pc.sum(pc.multiply(joined["count_all"], joined["n"])).as_py() or 0
+        row_bytes = 16 + known.rows.nbytes / max(1, known.rows.num_rows)
+        return probes <= CANDIDATE_ROWS and probes * row_bytes <= CANDIDATE_BYTES
 
 
 def _load(known: Pinned) -> tuple[int, int]:
@@ -65,22 +109,23 @@ def find_candidates(known: DataFrame | Pinned, postings: DataFrame) -> Candidate
     """
     known = pin(known)
     hits, probes = _load(known)
-    small = probes <= CANDIDATE_ROWS
-    if probes >= hits or (not small and probes * PROBE_GAIN > hits):
+    if probes >= hits or (probes > CANDIDATE_ROWS and probes * PROBE_GAIN > hits):
         return None
     if known.rows is None:
-        rarest = Pinned(known.df.filter("rarest"), None)
+        rarest = Pinned(known.df.filter("rarest").select("qid", "term", F.col("df").alias("n")), None)
     else:
-        rarest = literal_rows(postings.sparkSession, known.rows.filter(known.rows["rarest"]), known.df.schema)
-    return Candidates(lookup_terms(rarest, postings).select("qid", "doc_id"), small)
+        rows = known.rows.filter(known.rows["rarest"]).select(["qid", "term", "df"]).rename_columns(["qid", "term", "n"])
+        schema = StructType([known.df.schema["qid"], known.df.schema["term"], StructField("n", LongType())])
+        rarest = literal_rows(postings.sparkSession, rows, schema)
+    return Candidates(prune_to_keys(postings.select("term", "doc_id"), rarest, "term"), rarest)
 
 
 def _matches(postings: DataFrame, known: Pinned, keys: list[str], candidates: Candidates | None) -> DataFrame:
     """Join postings with the query side: by key, or by key and document within the candidates."""
     if candidates is None:
         return postings.join(known.df, keys)
-    probes = candidates.df.join(known.df, "qid")
-    return postings.join(F.broadcast(probes) if candidates.small else probes, [*keys, "doc_id"])
+    probes = candidates.probes(known)
+    return postings.join(F.broadcast(probes) if candidates.small(known) else probes, [*keys, "doc_id"])
 
 
 def lookup_terms(known: DataFrame | Pinned, postings: DataFrame, candidates: Candidates | None = None) -> DataFrame:
@@ -96,23 +141,37 @@ def boolean_and(hits: DataFrame) -> DataFrame:
     return counted.filter("hit = n_known").select("qid", "doc_id")
 
 
-def lookup_bigrams(
-    processed: DataFrame | Pinned, postings: DataFrame, candidates: Candidates | None = None
-) -> DataFrame:
-    """(qid, ord, t1, t2, doc_id, tf, df): postings of the adjacent query pairs.
+def known_pairs(processed: DataFrame | Pinned, pairs: DataFrame) -> Pinned:
+    """(qid, ord, t1, t2, df): the adjacent query pairs that the pair dictionary (t1, t2, df) knows.
 
-    Of a pair that a query repeats only the last place counts, since the last pair of a query decides. Frequencies are
-    counted on the lists of the wanted pairs, which are read anyway.
+    Of a pair that a query repeats only the last place counts, since the last pair of a query decides.
     """
     processed = pin(processed)
+    qid = processed.df.schema["qid"].dataType.simpleString()
+    stored = prune_to_keys(prune_to_keys(pairs.select("t1", "t2", "df"), processed, "t1", "tokens"), processed, "t2", "tokens")
+    if processed.values("tokens") is not None:
+        last = {}
+        for row in processed.rows.select(["qid", "tokens"]).to_pylist():
+            tokens = row["tokens"] or []
+            last |= {(row["qid"], *pair): place for place, pair in enumerate(zip(tokens, tokens[1:]))}
+        if len(processed.values("tokens")) > FEW_WORDS:
+            distinct = pinned_rows(pairs.sparkSession, sorted({(t1, t2) for _, t1, t2 in last}), "t1 string, t2 string")
+            stored = stored.join(distinct.df, ["t1", "t2"], "left_semi")
+        found = stored.toArrow().to_pydict()
+        df = dict(zip(zip(found["t1"], found["t2"]), found["df"]))
+        known = [(q, place, t1, t2, df[t1, t2]) for (q, t1, t2), place in last.items() if (t1, t2) in df]
+        return pinned_rows(pairs.sparkSession, known, f"qid {qid}, ord int, t1 string, t2 string, df bigint")
     wanted = query_pairs(processed.df).groupBy("qid", "t1", "t2").agg(F.max("ord").alias("ord"))
-    wanted = derived(wanted, processed)
-    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), processed, "t1", "tokens")
-    narrow = prune_to_keys(narrow, processed, "t2", "tokens")
-    matched = narrow.select("t1", "t2").join(wanted.select("t1", "t2"), ["t1", "t2"], "left_semi")
-    known = pin(doc_frequency(matched, "t1", "t2").join(wanted, ["t1", "t2"]))
-    hits = _matches(prune_to_keys(narrow, known, "t1"), known, ["t1", "t2"], candidates)
-    return hits.select("qid", "ord", "t1", "t2", "doc_id", "tf", "df")
+    return pin(stored.join(derived(wanted, processed), ["t1", "t2"]).select("qid", "ord", "t1", "t2", "df"), processed)
+
+
+def lookup_bigrams(
+    processed: DataFrame | Pinned, postings: DataFrame, pairs: DataFrame, candidates: Candidates | None = None
+) -> DataFrame:
+    """(qid, ord, t1, t2, doc_id, tf, df): postings of the adjacent query pairs; frequencies come from the dictionary."""
+    known = known_pairs(processed, pairs)
+    narrow = prune_to_keys(prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), known, "t1"), known, "t2")
+    return _matches(narrow, known, ["t1", "t2"], candidates).select("qid", "ord", "t1", "t2", "doc_id", "tf", "df")
 
 
 def restrict_to_candidates(bigram_hits: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -141,25 +200,3 @@ def term_budget(
     return flagged.select(
         "qid", "term", "is_common", (F.when(F.col("is_common"), common_total).otherwise(rest_total) / group).alias("budget")
     )
-
-
-def cap_postings(hits: DataFrame, budgets: DataFrame, total: float = 250) -> DataFrame:
-    """Cut each posting list to the first ``floor(budget)`` postings in document order.
-
-    The cut list also is the term's ``df``, and terms left with nothing no longer count as known. No list can exceed the
-    whole budget, and that constant lets Spark prune every list map-side before it ranks it.
-    """
-    in_order = Window.partitionBy("qid", "term").orderBy("doc_id")
-    ranked = hits.select("qid", "doc_id", "term", "tf").withColumn("place", F.row_number().over(in_order))
-    ranked = ranked.filter(F.col("place") <= int(total))
-    capped = ranked.join(budgets.select("qid", "term", "budget"), ["qid", "term"]).filter("place <= floor(budget)")
-    per_term = Window.partitionBy("qid", "term")
-    per_query = Window.partitionBy("qid")
-    return capped.select(
-        "qid",
-        "doc_id",
-        "term",
-        "tf",
-        F.count(F.lit(1)).over(per_term).alias("df"),
-        F.sum((F.col("place") == 1).cast("bigint")).over(per_query).alias("n_known"),
-    )

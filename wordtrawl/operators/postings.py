@@ -65,11 +65,6 @@ def doc_frequency(postings: DataFrame, *keys: str) -> DataFrame:
     return postings.groupBy(*(keys or ("term",))).agg(F.count(F.lit(1)).alias("df"))
 
 
-def corpus_size(docs: DataFrame) -> int:
-    """Number of indexed documents, empty ones included."""
-    return docs.count()
-
-
 def posting_size(tf: Column) -> Column:
     """Approximate size of a posting."""
     return (F.lit(3) * (F.lit(2) + tf)).cast("bigint")

@@ -27,7 +27,7 @@ def index_stats(docs: DataFrame, postings: DataFrame, frequencies: DataFrame) ->
 def stored_sizes(spark, path: str) -> DataFrame:
     """(metric, value): kilobytes of the tables of a stored index, from the file listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    table = F.regexp_extract("path", r"/(docs|postings|bigrams|terms)/", 1)
+    table = F.regexp_extract("path", r"/(docs|postings|bigrams|terms|pairs)/", 1)
     sizes = files.filter(F.col("path").endswith(".parquet")).groupBy(table.alias("table"))
     sizes = sizes.agg((F.sum("length") / 1024).alias("value")).filter("table != ''")
     return sizes.select(F.concat("table", F.lit("_kb")).alias("metric"), F.round("value", 4).alias("value"))

@@ -16,8 +16,8 @@ def highlight_pages(hits: DataFrame, query: str = "query", html: str = "content"
 
 
 def result_path(result_dir: str = RESULT_DIR):
-    """Relative path of a result page, counted from 00 in rank order."""
-    return F.format_string("%s/result_%02d.html", F.lit(result_dir), F.col("rank") - 1)
+    """Relative path of a result page: a folder per query, pages counted from 00 in rank order."""
+    return F.format_string("%s/%s/result_%02d.html", F.lit(result_dir), F.col("qid").cast("string"), F.col("rank") - 1)
 
 
 def assemble_results(results: DataFrame, queries: DataFrame, result_dir: str = RESULT_DIR) -> DataFrame:

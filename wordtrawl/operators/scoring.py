@@ -45,14 +45,30 @@ def last_bigram_wins(weights: DataFrame) -> DataFrame:
 
 
 def combine_scores(
-    unigrams: DataFrame,
-    bigrams: DataFrame,
+    hits: DataFrame,
+    weights: DataFrame,
+    n_docs: int,
     unigram_weight: float = UNIGRAM_WEIGHT,
     bigram_weight: float = BIGRAM_WEIGHT,
 ) -> DataFrame:
-    """(qid, doc_id, score): the weighted sum; 0 for a document without a pair. Both sides share their partitioning."""
+    """(qid, doc_id, score) from term hits and pair weights: AND, unigram score, last pair and weighted sum.
+
+    Both kinds of rows meet in one aggregate, so a document's hits are shuffled once and nothing is joined. A document
+    without a pair gets 0 for it; one without all known terms is left out, whatever its pairs.
+    """
+    none = F.lit(None)
+    terms = hits.select(
+        "qid", "doc_id", tfidf(F.col("tf"), F.col("df"), n_docs).alias("uni"), "n_known",
+        none.cast("double").alias("weight"), none.cast("int").alias("ord"),
+    )
+    pairs = weights.select(
+        "qid", "doc_id", none.cast("double").alias("uni"), none.cast("bigint").alias("n_known"), "weight", F.col("ord").cast("int").alias("ord")
+    )
+    scored = terms.unionByName(pairs).groupBy("qid", "doc_id").agg(
+        F.sum("uni").alias("uni"), F.count("uni").alias("hit"), F.max("n_known").alias("n_known"), F.max_by("weight", "ord").alias("bi")
+    )
     score = F.lit(unigram_weight) * F.col("uni") + F.lit(bigram_weight) * F.coalesce("bi", F.lit(0.0))
-    return unigrams.join(bigrams, ["qid", "doc_id"], "left").select("qid", "doc_id", score.alias("score"))
+    return scored.filter("hit = n_known").select("qid", "doc_id", score.alias("score"))
 
 
 def rank_top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -66,12 +82,13 @@ def rank_top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     return ranked.select("qid", "rank", "doc_id", "score")
 
 
-def resolve_docs(ranked: DataFrame, docs: DataFrame, small: bool = False) -> DataFrame:
-    """Add url and disk_loc. ``small`` says that ``ranked`` is known to be bounded and may be broadcast.
+def resolve_docs(ranked: DataFrame, docs: DataFrame, small: bool = False, with_seq: bool = False) -> DataFrame:
+    """Add url and disk_loc, and the page's seq if asked. ``small`` says that ``ranked`` is known to be bounded and may be broadcast.
 
     A stored document map is joined by block as well, so that only the blocks with hits are read.
     """
     keys = [key for key in ("doc_block", "doc_id") if key in docs.columns]
     hits = ranked.withColumn("doc_block", doc_block(F.col("doc_id"))) if "doc_block" in keys else ranked
-    joined = docs.select(*keys, "url", "disk_loc").join(F.broadcast(hits) if small else hits, keys)
-    return joined.select("qid", "rank", "doc_id", "score", "url", "disk_loc")
+    columns = ["url", "disk_loc", *(["seq"] if with_seq else [])]
+    joined = docs.select(*keys, *columns).join(F.broadcast(hits) if small else hits, keys)
+    return joined.select("qid", "rank", "doc_id", "score", *columns)

@@ -47,7 +47,7 @@ def index_documents(tokenized: DataFrame, near_threshold: float | None = 0.98) -
     firsts = tokenized.groupBy("url").agg(F.min("seq").alias("seq")).select("seq")
     if near_threshold is None:
         return assign_doc_ids(firsts)
-    signatures = simhash64(tokenized).join(firsts, "seq", "left_semi")
+    signatures = simhash64(tokenized.select("seq", "tokens").join(firsts, "seq", "left_semi"))
     return assign_doc_ids(kept_signatures(signatures, near_threshold).select("seq"))
 
 
@@ -64,12 +64,13 @@ def assemble_index(tokenized: DataFrame, near_threshold: float | None = 0.98) ->
     """An index as lazy tables over ``tokenized``, for use within one job; large corpora take ``build_index``."""
     kept = cut_lineage(index_documents(tokenized, near_threshold))
     tokens = _kept_tokens(tokenized, kept)
-    postings = unigram_postings(tokens)
+    postings, bigrams = unigram_postings(tokens), bigram_postings(tokens)
     return SearchIndex(
         docs=_docs(tokenized, kept),
         postings=postings,
-        bigrams=bigram_postings(tokens),
+        bigrams=bigrams,
         terms=doc_frequency(postings),
+        pairs=doc_frequency(bigrams, "t1", "t2"),
         n_docs=kept.count(),
     )
 
@@ -90,6 +91,8 @@ def build_index(tokenized: DataFrame, path: str, near_threshold: float | None =
     index_store.write_postings(unigram_postings(tokens), f"{path}/postings")
     index_store.write_bigrams(bigram_postings(tokens), f"{path}/bigrams")
     index_store.write_terms(doc_frequency(index_store.read_postings(spark, f"{path}/postings")), f"{path}/terms")
+    pairs = doc_frequency(index_store.read_bigrams(spark, f"{path}/bigrams"), "t1", "t2")
+    index_store.write_pairs(pairs, f"{path}/pairs")
     index_store.write_manifest(spark, path, kept.count())
     return index_store.read_index(spark, path)
 
@@ -102,5 +105,6 @@ def merge_segments(first: SearchIndex, second: SearchIndex) -> SearchIndex:
         postings=merge_postings(first.postings, second.postings, first.n_docs),
         bigrams=merge_postings(first.bigrams, second.bigrams, first.n_docs),
         terms=merge_frequencies(first.terms, second.terms),
+        pairs=merge_frequencies(first.pairs, second.pairs, "t1", "t2"),
         n_docs=first.n_docs + second.n_docs,
     )

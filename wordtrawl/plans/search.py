@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from wordtrawl.functions.stopwords import STOP_WORDS
 from wordtrawl.operators import matching, scoring
 from wordtrawl.operators.results import RESULT_DIR, assemble_results
-from wordtrawl.operators.tokens import process_queries, query_terms
-from wordtrawl.session import PINNED_ROWS, Pinned, pin
+from wordtrawl.operators.tokens import process_queries
+from wordtrawl.session import PINNED_ROWS, Pinned, cut_lineage, pin
 from wordtrawl.sources.index_store import SearchIndex
 from wordtrawl.sources.result_pages import result_pages
 
@@ -30,29 +30,22 @@ def score_documents(
     queries: DataFrame | Pinned,
     index: SearchIndex,
     stop_words: Iterable[str] = STOP_WORDS,
-    budget: float | None = None,
     unigram_weight: float = scoring.UNIGRAM_WEIGHT,
     bigram_weight: float = scoring.BIGRAM_WEIGHT,
     **token_options,
 ) -> DataFrame:
     """(qid, doc_id, score) of every document that matches a query of (qid, query).
 
-    All queries run in one plan with one shuffle of hits per index. ``budget`` caps the posting lists as in
-    ``cap_postings``.
+    All queries run in one plan with one shuffle of hits.
     """
     words = list(stop_words)
     processed = prepare_queries(queries, words, **token_options)
-    known = pin(matching.known_terms(processed, index.terms))
-    candidates = matching.find_candidates(known, index.postings) if budget is None else None
+    known = matching.known_terms(processed, index.terms)
+    candidates = matching.find_candidates(known, index.postings)
     hits = matching.lookup_terms(known, index.postings, candidates)
-    if budget is not None:
-        budgets = matching.term_budget(query_terms(processed.df), budget, stop_words=words)
-        hits = matching.cap_postings(hits, budgets, budget)
-    unigrams = scoring.unigram_tfidf(hits, index.n_docs)
-
-    pair_hits = matching.lookup_bigrams(processed, index.bigrams, candidates)
-    pairs = scoring.last_bigram_wins(scoring.bigram_tfidf(pair_hits, index.n_docs, words))
-    return scoring.combine_scores(unigrams, pairs, unigram_weight, bigram_weight)
+    pair_hits = matching.lookup_bigrams(processed, index.bigrams, index.pairs, candidates)
+    weights = scoring.bigram_tfidf(pair_hits, index.n_docs, words)
+    return scoring.combine_scores(hits, weights, index.n_docs, unigram_weight, bigram_weight)
 
 
 def retrieve(
@@ -60,16 +53,16 @@ def retrieve(
     index: SearchIndex,
     k: int = scoring.TOP_K,
     stop_words: Iterable[str] = STOP_WORDS,
-    budget: float | None = None,
     unigram_weight: float = scoring.UNIGRAM_WEIGHT,
     bigram_weight: float = scoring.BIGRAM_WEIGHT,
+    with_seq: bool = False,
     **token_options,
 ) -> DataFrame:
-    """(qid, rank, doc_id, score, url, disk_loc): the k best documents of each query of (qid, query)."""
+    """(qid, rank, doc_id, score, url, disk_loc[, seq]): the k best documents of each query of (qid, query)."""
     words = list(stop_words)
     prepared = prepare_queries(queries, words, **token_options)
-    scores = score_documents(prepared, index, words, budget, unigram_weight, bigram_weight)
-    return scoring.resolve_docs(scoring.rank_top_k(scores, k), index.docs, small=few_results(prepared, k))
+    scores = score_documents(prepared, index, words, unigram_weight, bigram_weight)
+    return scoring.resolve_docs(scoring.rank_top_k(scores, k), index.docs, few_results(prepared, k), with_seq)
 
 
 def few_results(queries: Pinned, k: int) -> bool:
@@ -84,14 +77,16 @@ def search(
     k: int = scoring.TOP_K,
     result_dir: str = RESULT_DIR,
     stop_words: Iterable[str] = STOP_WORDS,
-    budget: float | None = None,
     **token_options,
 ) -> tuple[DataFrame, DataFrame]:
-    """Result lists (qid, query, rank, url, rel_path) and highlighted pages (qid, rank, rel_path, html)."""
+    """Result lists (qid, query, rank, url, rel_path) and highlighted pages (qid, rank, rel_path, html).
+
+    Retrieval runs once; both tables read its results.
+    """
     prepared = prepare_queries(queries, stop_words, **token_options)
-    results = retrieve(prepared, index, k, stop_words, budget)
-    rendered = result_pages(results, pages, prepared.df, result_dir, small=few_results(prepared, k))
-    return assemble_results(results, prepared.df, result_dir), rendered
+    results = retrieve(prepared, index, k, stop_words, with_seq=True)
+    results = pin(results, prepared) if few_results(prepared, k) else Pinned(cut_lineage(results), None)
+    return assemble_results(results.df, prepared.df, result_dir), result_pages(results, pages, prepared.df, result_dir)
 
 
 def report_queries(spark: SparkSession, texts: Iterable[str] = REPORT_QUERIES) -> DataFrame:

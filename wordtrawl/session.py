@@ -5,16 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 PINNED_ROWS = 100_000
 PINNED_BYTES = 32 * 1024 * 1024
+#: Values of one pushed IN list, and of all lists for one column.
 PUSHDOWN_VALUES = 1_000
+PUSHDOWN_TOTAL = 20_000
 
 
 def local_session(app: str = "wordtrawl", cores: str = "*", **conf: str) -> SparkSession:
@@ -66,7 +70,7 @@ class Pinned:
             return None
         values = self.rows[column]
         distinct = pc.unique(pc.list_flatten(values) if pa.types.is_list(values.type) else values)
-        return distinct.to_pylist() if len(distinct) <= PUSHDOWN_VALUES else None
+        return distinct.to_pylist() if len(distinct) <= PUSHDOWN_TOTAL else None
 
 
 def literal_rows(spark: SparkSession, rows: pa.Table, schema: StructType) -> Pinned:
@@ -74,17 +78,32 @@ def literal_rows(spark: SparkSession, rows: pa.Table, schema: StructType) -> Pin
     return Pinned(F.broadcast(spark.createDataFrame(rows, schema)), rows)
 
 
-def pin(table: DataFrame | Pinned) -> Pinned:
+def pinned_rows(spark: SparkSession, rows: list[tuple], schema: str) -> Pinned:
+    """Rows that were put together on the driver, held there and marked for broadcast."""
+    struct = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(struct)
+    types = [to_arrow_type(field.dataType) for field in struct]
+    return literal_rows(spark, pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=struct.names), struct)
+
+
+def pin(table: DataFrame | Pinned, source: Pinned | None = None) -> Pinned:
     """Measure a query-sized table and, if it is small, turn it into literal rows marked for broadcast.
 
-    No more than ``PINNED_ROWS`` + 1 rows are read. A larger table stays a plan, its joins shuffle, and AQE splits skew.
+    With a ``source`` that bounds it (no more rows than the source has values) the table needs no measuring: it is fetched
+    if the source is at hand, and left as it is otherwise.
+
+    Rows and bytes are added up on the executors first; only a table within both limits is fetched. A larger one stays a
+    plan, its joins shuffle, and AQE splits skew.
     """
     if isinstance(table, Pinned):
         return table
-    rows = table.limit(PINNED_ROWS + 1).toArrow()
-    if rows.num_rows > PINNED_ROWS or rows.nbytes > PINNED_BYTES:
+    if source is not None:
+        return Pinned(table, None) if source.rows is None else literal_rows(table.sparkSession, table.toArrow(), table.schema)
+    size = F.octet_length(F.to_json(F.struct("*")))
+    measured = table.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    if measured["rows"] > PINNED_ROWS or measured["bytes"] > PINNED_BYTES:
         return Pinned(table, None)
-    return literal_rows(table.sparkSession, rows, table.schema)
+    return literal_rows(table.sparkSession, table.toArrow(), table.schema)
 
 
 def derived(side: DataFrame, source: Pinned) -> DataFrame:
@@ -95,12 +114,15 @@ def derived(side: DataFrame, source: Pinned) -> DataFrame:
 def prune_to_keys(table: DataFrame, keys: Pinned, column: str, key: str | None = None) -> DataFrame:
     """Filter ``table`` to the values of a pinned table's ``key`` column, so that the scan skips row groups.
 
-    Where the keys are not at hand the table is returned as it is, and the join that follows does the work alone.
+    Many values become several IN lists, each short enough to be pushed down exactly. Where the keys are not at hand, or so
+    many that a scan finds some in every row group, the table is returned as it is, and the join that follows does the work.
     """
     values = keys.values(key or column)
     if values is None:
         return table
-    return table.filter(F.col(column).isin(values) if values else F.lit(False))
+    values = sorted(v for v in values if v is not None)
+    lists = [F.col(column).isin(values[i : i + PUSHDOWN_VALUES]) for i in range(0, len(values), PUSHDOWN_VALUES)]
+    return table.filter(reduce(Column.__or__, lists, F.lit(False)) if len(lists) != 1 else lists[0])
 
 
 def spread(table: DataFrame, *keys: str) -> DataFrame:

@@ -20,13 +20,14 @@ class SearchIndex:
     """The tables of one index.
 
     docs(doc_id, url, disk_loc, seq), postings(term, doc_id, tf, positions), bigrams(t1, t2, doc_id, tf, positions),
-    terms(term, df); ``n_docs`` counts every indexed document.
+    terms(term, df), pairs(t1, t2, df); ``n_docs`` counts every indexed document.
     """
 
     docs: DataFrame
     postings: DataFrame
     bigrams: DataFrame
     terms: DataFrame
+    pairs: DataFrame
     n_docs: int
 
 
@@ -71,6 +72,10 @@ def write_terms(terms: DataFrame, path: str) -> None:
     _write_sorted(terms, path, ["term"])
 
 
+def write_pairs(pairs: DataFrame, path: str) -> None:
+    _write_sorted(pairs, path, ["t1", "t2"])
+
+
 def write_manifest(spark: SparkSession, path: str, n_docs: int) -> None:
     """Write the manifest; it comes last and makes the index readable."""
     row = spark.range(1).select(F.lit(n_docs).cast("bigint").alias("n_docs"))
@@ -83,6 +88,7 @@ def write_index(index: SearchIndex, path: str) -> None:
     write_postings(index.postings, f"{path}/postings")
     write_bigrams(index.bigrams, f"{path}/bigrams")
     write_terms(index.terms, f"{path}/terms")
+    write_pairs(index.pairs, f"{path}/pairs")
     write_manifest(index.docs.sparkSession, path, index.n_docs)
 
 
@@ -94,5 +100,6 @@ def read_index(spark: SparkSession, path: str) -> SearchIndex:
         postings=read_postings(spark, f"{path}/postings"),
         bigrams=read_bigrams(spark, f"{path}/bigrams"),
         terms=spark.read.parquet(f"{path}/terms"),
+        pairs=spark.read.parquet(f"{path}/pairs"),
         n_docs=n_docs,
     )

@@ -1,28 +1,32 @@
-"""Contents of result pages: fetch, write as a table, write as HTML files."""
+"""Contents of result pages: fetch and write as a table."""
 
 from __future__ import annotations
 
-import os
-import uuid
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordtrawl.operators.results import RESULT_DIR, highlight_pages, result_path
+from wordtrawl.session import Pinned, pin, prune_to_keys
+
 
+def fetch_result_pages(results: DataFrame | Pinned, pages: DataFrame) -> DataFrame:
+    """Add the page ``content`` of each hit, by ``seq``.
 
-def fetch_result_pages(results: DataFrame, pages: DataFrame, small: bool = False) -> DataFrame:
-    """Add the page ``content`` of each hit, by disk location."""
-    hits = F.broadcast(results) if small else results
-    return pages.select("disk_loc", "content").join(hits, "disk_loc")
+    Few hits are pushed into the scan of the pages as IN lists, which skips row groups of a table and files of a crawl tree,
+    and are broadcast. More hits than can be at hand are joined by key; a filter on the hits' keys then runs before any
+    content is moved, so what moves are the pages asked for.
+    """
+    results = pin(results)
+    narrow = prune_to_keys(pages.select("seq", "content"), results, "seq")
+    if results.rows is None:
+        wanted = results.df.select("seq").distinct()
+        narrow = narrow.join(wanted, "seq", "left_semi")
+    return narrow.join(results.df, "seq")
 
 
-def result_pages(
-    results: DataFrame, pages: DataFrame, queries: DataFrame | None, result_dir: str = RESULT_DIR, small: bool = False
-) -> DataFrame:
-    """(qid, rank, rel_path, html) of every hit, highlighted where ``queries`` are given."""
-    hits = fetch_result_pages(results, pages, small)
+def result_pages(results: DataFrame | Pinned, pages: DataFrame, queries: DataFrame | None, result_dir: str = RESULT_DIR) -> DataFrame:
+    """(qid, rank, rel_path, html) of every hit with a ``seq``, highlighted where ``queries`` are given."""
+    hits = fetch_result_pages(results, pages)
     if queries is not None:
         hits = highlight_pages(hits.join(queries.select("qid", "query"), "qid"))
     return hits.select("qid", "rank", result_path(result_dir).alias("rel_path"), F.col("content").alias("html"))
@@ -32,21 +36,3 @@ def write_result_pages(rendered: DataFrame, path: str) -> DataFrame:
     """Write result pages as a table, replacing those of the search before; returns (qid, rank, rel_path)."""
     rendered.select("qid", "rank", "rel_path", "html").write.mode("overwrite").parquet(path)
     return rendered.sparkSession.read.parquet(path).select("qid", "rank", "rel_path")
-
-
-def write_result_files(rendered: DataFrame, static_dir: str) -> None:
-    """Write the result pages of one query as HTML files under a folder that all executors share.
-
-    Each file is written aside and then moved into place, so a repeated task leaves the same file.
-    """
-
-    def write(rows: Iterator[Row]) -> None:
-        for row in rows:
-            target = os.path.join(static_dir, row["rel_path"])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            aside = f"{target}.{uuid.uuid4().hex}"
-            with open(aside, "w", encoding="utf8") as f:
-                f.write(row["html"])
-            os.replace(aside, target)
-
-    rendered.select("rel_path", "html").foreachPartition(write)
