@@ -2,7 +2,7 @@
 
 Everything here is a DataFrame expression. Words are runs of anything but ASCII white space. Unigrams and bigrams fall into
 ``BUCKETS`` hash buckets; two multinomials over the buckets are counted, one over the trusted texts and one over all texts,
-both with add-``SMOOTHING``. A text's score is the mean over its n-grams of log(trusted / all), and it passes from
+the latter scaled to the size of the former, both with add-``SMOOTHING``. A text's score is the mean over its n-grams of log(trusted / all), and it passes from
 ``THRESHOLD`` on.
 
 Defined cases: a null text counts as empty; a text without words scores 0 and fails the base rules; without any trusted
@@ -22,7 +22,9 @@ from wordtrawl.llm.common import small_or_shuffled
 
 #: Hash buckets of the two multinomials, and so the bound of what is collected and sent along.
 BUCKETS = 8192
-SMOOTHING = 1.0
+#: Added to the trusted count of a bucket and to the one expected from the corpus. A text's own n-grams are in the corpus
+#: counts, which in a small corpus would speak against every text that is not trusted itself.
+SMOOTHING = 30.0
 #: Nats per n-gram. Trusted text lies within a few hundredths of 0, text made of other words lies below.
 THRESHOLD = -0.05
 MIN_WORDS = 10
@@ -108,8 +110,8 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMO
     n_corpus, n_trusted = sum(corpus), sum(trusted)
     if not n_trusted:
         return [0.0] * buckets
-    shift = math.log((n_corpus + smoothing * buckets) / (n_trusted + smoothing * buckets))
-    return [math.log((t + smoothing) / (c + smoothing)) + shift for t, c in zip(trusted, corpus)]
+    share = n_trusted / n_corpus
+    return [math.log((t + smoothing) / (c * share + smoothing)) for t, c in zip(trusted, corpus)]
 
 
 def judge(
