@@ -1,0 +1,169 @@
+import hashlib
+import struct
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import sentencepiece_model_pb2
+from tests.llm import odd
+from tokenizers import Tokenizer
+
+from wordtrawl.llm import packing, sentencepieces
+
+MODEL = sentencepieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+RANKS = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+TEXTS = st.text(alphabet=st.sampled_from(list("abé ▁.'\n\t1　日👍<>|")), max_size=60)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    return library
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_cached_bytes_equal_the_library(text):
+    worker = packing.tokenizer(RANKS, public_tokenizers.PATTERN)
+    assert np.frombuffer(worker.encode(text), "<u4").tolist() == _LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+_LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+_LIBRARY.encode_special_tokens = True
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_cached_pieces_equal_the_library_and_cover_the_text(text):
+    worker = sentencepieces.codec(MODEL)
+    ids = worker.ids(text)
+    assert ids == worker.library.encode(text)
+    starts, ends = worker.spans(text, ids)
+    source = text.encode()
+    assert b"".join(source[a:b] for a, b in zip(starts, ends)) == source
+    for piece, a, b in zip(worker.library.id_to_piece(ids), starts, ends):
+        surface = source[a:b].replace(b" ", sentencepieces.MARK.encode())
+        assert piece.startswith("<0x") or piece.encode() in (surface, sentencepieces.MARK.encode() + surface)
+
+
+def test_forgetting_changes_nothing(monkeypatch, reference):
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    monkeypatch.setattr(sentencepieces, "REMEMBERED", 5)
+    bytes_, pieces = packing.ByteTokenizer(RANKS, public_tokenizers.PATTERN), sentencepieces.Codec(MODEL)
+    for seed in range(20):
+        text = odd.prose(seed, 30)
+        assert np.frombuffer(bytes_.encode(text), "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
+        assert pieces.ids(text) == pieces.library.encode(text)
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nmt_nfkc_cf", "nfkc"])
+def test_character_maps_equal_the_library(rule):
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(library.serialized_model_proto())
+    normalizer = sentencepieces.Normalizer(proto.normalizer_spec)
+    for text in ("", " ", "  a  b ", "ＡＢＣ ①② ﬁ x½", "ガｶﾞが", "ÀÉ́", "　x y\t\nz", "👍🏽 é", "a▁b"):
+        normal, places = normalizer.normalize(text)
+        assert normal.decode() == library.normalize(text)
+        assert len(places) == len(normal) + 1 and (np.diff(places) >= 0).all() and places[-1] <= len(text.encode())
+
+
+def test_the_longest_prefix_of_a_map_wins():
+    """A hand-made trie with "a" -> "x" and "ab" -> "yz"."""
+
+    def unit(label, offset, leaf):
+        return label | leaf << 8 | offset << 10
+
+    units = [0] * 512
+    units[0] = unit(0, 1, 0)
+    units[1 ^ ord("a")] = unit(ord("a"), (1 ^ ord("a")) ^ 256, 1)
+    units[256] = 0x80000000 | 0
+    units[256 ^ ord("b")] = unit(ord("b"), (256 ^ ord("b")) ^ 400, 1)
+    units[400] = 0x80000000 | 2
+    blob = struct.pack("<I", 4 * len(units)) + np.array(units, "<u4").tobytes() + b"x\0yz\0"
+    found = sentencepieces.CharacterMap(blob)
+    assert found.longest(b"abab", 0) == (2, b"yz") and found.longest(b"ac", 0) == (1, b"x") and found.longest(b"b", 0) is None
+
+
+def test_encoding_odd_documents(spark):
+    library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    docs = odd.documents(spark)
+    rows = sentencepieces.encode(docs, MODEL).collect()
+    given = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=repr)
+    ids = {text: library.encode(text) + [library.eos_id()] for _, text in given}
+    assert sorted((repr((r.doc_id, r.ids)) for r in rows)) == sorted(repr((d, ids[t])) for d, t in given)
+    assert sorted(r.decoded for r in rows) == sorted(library.decode(ids[t]) for _, t in given)
+    assert all(len(r.starts) == len(r.ends) == len(r.ids) and r.starts[-1] == r.ends[-1] for r in rows)
+    short = sentencepieces.encode(docs, MODEL, digests=True).collect()
+    sha = {hashlib.sha256(" ".join(map(str, v)).encode()).hexdigest() for v in ids.values()}
+    assert {r.ids_sha256 for r in short} == sha and sorted(r.n_tokens for r in short) == sorted(len(r.ids) for r in rows)
+    assert sentencepieces.encode(odd.empty(spark), MODEL, digests=True).count() == 0
+
+
+def check_pieces(rows, expected, length=1024):
+    """Every id of every document in exactly one piece, sequences gapless and within the length."""
+    pieces, sequences = {}, {}
+    for r in rows:
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in sequences.values():
+        at = 0
+        for offset, size in sorted(spans):
+            assert offset == at and size > 0
+            at += size
+        assert at <= length
+    tokens = sorted((d, len(ids)) for d, ids in expected)
+    total = sum(n for _, n in tokens)
+    assert sum(r.length for r in rows) == total
+    return total, sequences
+
+
+@pytest.mark.parametrize("with_ids", [True, False])
+def test_packing_odd_documents(spark, reference, with_ids):
+    docs = odd.documents(spark, [r for r in odd.ROWS if r[0] is not None and r[0] != 7])
+    rows = packing.pack(docs, RANKS, public_tokenizers.PATTERN, with_ids=with_ids).collect()
+    expected = {r.doc_id: reference.encode(r.text or "", add_special_tokens=False).ids + [0] for r in docs.collect()}
+    total, sequences = check_pieces(rows, expected.items())
+    for doc, ids in expected.items():
+        at = 0
+        for r in sorted((r for r in rows if r.doc_id == doc), key=lambda r: r.start):
+            part = np.array(ids[r.start : r.start + r.length], "<u4").tobytes()
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(part))
+            assert not with_ids or r.ids == part
+            at += r.length
+        assert at == len(ids)
+    assert len(sequences) <= -(-total // 1024) + 1
+
+
+def test_packing_repeated_rows_null_ids_and_no_rows(spark, reference):
+    rows = packing.pack(odd.documents(spark), RANKS, public_tokenizers.PATTERN).collect()
+    total = sum(len(reference.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in odd.ROWS)
+    assert sum(r.length for r in rows) == total and any(r.doc_id is None for r in rows)
+    assert packing.pack(odd.empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 1023), max_size=60))
+def test_balanced_packing_is_whole_and_tight(sizes):
+    placed = packing.balanced(sizes)
+    filled, covered = {}, {}
+    for item, start, size, sequence, offset in placed:
+        assert filled.get(sequence, 0) == offset and covered.get(item, 0) == start
+        filled[sequence] = offset + size
+        covered[item] = start + size
+    assert covered == dict(enumerate(sizes)) and all(v <= 1024 for v in filled.values())
+    assert len(filled) == -(-sum(sizes) // 1024)
+
+
+def test_costs_are_balanced():
+    """Long and short leftovers mix: no sequence is as dear as two halves and another as cheap as many crumbs."""
+    placed = packing.balanced([512] * 8 + [64] * 64)
+    cost = {}
+    for _, _, size, sequence, _ in placed:
+        cost[sequence] = cost.get(sequence, 0) + size + size * size / 1024
+    assert max(cost.values()) - min(cost.values()) <= 512 + 256
