@@ -36,7 +36,7 @@ BAND = 0.05
 BLOCK = 256
 #: Rows of pairs of blocks that one task gets at a time, and shingles.
 TASK_ROWS, TASK_SHINGLES = 4096, 2_000_000
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Standard deviations by which agreeing minima may fall short of the similarity before a pair is given up.
 SLACK = 5.0
 _RANDOM = np.random.default_rng(17)
@@ -67,6 +67,12 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(out)
 
 
+def _forget() -> None:
+    """Free what a Python worker would otherwise hold after its task."""
+    _WORDS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def signature(found: np.ndarray) -> np.ndarray:
     """Minima of all hash functions."""
     low = (found >> np.uint64(32)).astype(np.uint32)
@@ -96,6 +102,7 @@ def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())], names=["key", "node", "sig"]
             )
+        _forget()
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
     return stored(rows.mapInArrow(sign, f"key {key_type}, node binary, sig binary"))
@@ -228,6 +235,7 @@ def matched(nodes: DataFrame, docs: DataFrame, depth: int, before: int | None, s
                 sizes = pa.array([len(s) for s in found], pa.int32())
                 sets = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([nodes, sizes, sets], names=["node", "n_shingles", "shingles"])
+        _forget()
 
     sets = texts.select("body").mapInArrow(shingled, "node binary, n_shingles int, shingles binary")
     sets = sets.join(wanted.select("node"), "node", "left_semi")

@@ -28,7 +28,7 @@ from wordtrawl.llm.common import ship
 
 LENGTH = 1024
 END_ID = 0
-BLOCK = 2048
+BLOCK = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 #: Cheapest sequences that are tried before a leftover is cut.
 TRIED = 8
@@ -151,6 +151,10 @@ def pack(
                     rows.append(((place ^ zlib.crc32(ids[whole:])) % blocks, crcs, kept, len(ids) // 4))
                 columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(sent)]
                 yield pa.RecordBatch.from_arrays([part.column("key"), *columns], names=["key", *sent.names])
+        # Workers outlive their tasks: what they hold would stay while other stages need the memory.
+        del worker
+        tokenizer.cache_clear()
+        pa.default_memory_pool().release_unused()
 
     def packed(rows: pa.Table) -> pa.Table:
         block = rows.column("block")[0].as_py()
