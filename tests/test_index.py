@@ -209,3 +209,10 @@ def test_stored_index_round_trip(spark, index, tmp_path):
     assert "positions" not in index_store.read_postings(spark, str(tmp_path / "postings"), with_positions=False).columns
     sizes = {r.metric: r.value for r in reports.stored_sizes(spark, str(tmp_path)).collect()}
     assert set(sizes) == {"docs_kb", "postings_kb", "bigrams_kb", "terms_kb", "pairs_kb"} and min(sizes.values()) > 0
+
+
+def test_rows_per_file(spark, docs, tmp_path):
+    build.build_index(tokenized(spark, docs), str(tmp_path), near_threshold=None, rows_per_file=50)
+    files = list((tmp_path / "postings").glob("*.parquet"))
+    assert len(files) >= 4 and max(spark.read.parquet(str(f)).count() for f in files) <= 50
+    assert not (tmp_path / "tokens").exists()

@@ -18,7 +18,7 @@ from wordtrawl.operators.postings import (
 )
 from wordtrawl.sources import index_store
 from wordtrawl.sources.index_store import SearchIndex
-from wordtrawl.session import cut_lineage
+from wordtrawl.session import cut_lineage, scratch_folder
 
 
 def tokenize_pages(pages: DataFrame, sep: str = "", **token_options) -> DataFrame:
@@ -75,21 +75,24 @@ def assemble_index(tokenized: DataFrame, near_threshold: float | None = 0.98) ->
     )
 
 
-def build_index(tokenized: DataFrame, path: str, near_threshold: float | None = 0.98) -> SearchIndex:
+def build_index(
+    tokenized: DataFrame, path: str, near_threshold: float | None = 0.98, rows_per_file: int = index_store.ROWS_PER_FILE
+) -> SearchIndex:
     """Build and store an index under ``path``; returns it opened.
 
-    Tokens are written once, so parsing and tokenising happen once although signatures, unigrams and bigrams all read
-    them. Each later step reads what the one before stored.
+    Tokens are written once, to the scratch folder beside the checkpoints, so parsing and tokenising happen once although
+    signatures, unigrams and bigrams all read them. Each later step reads what the one before stored.
     """
     spark = tokenized.sparkSession
-    tokenized.write.mode("overwrite").parquet(f"{path}/tokens")
-    stored = spark.read.parquet(f"{path}/tokens")
+    scratch = scratch_folder(spark)
+    tokenized.write.parquet(scratch)
+    stored = spark.read.parquet(scratch)
 
     kept = cut_lineage(index_documents(stored, near_threshold))
     index_store.write_docs(_docs(stored, kept), f"{path}/docs")
     tokens = _kept_tokens(stored, kept)
-    index_store.write_postings(unigram_postings(tokens), f"{path}/postings")
-    index_store.write_bigrams(bigram_postings(tokens), f"{path}/bigrams")
+    index_store.write_postings(unigram_postings(tokens), f"{path}/postings", rows_per_file)
+    index_store.write_bigrams(bigram_postings(tokens), f"{path}/bigrams", rows_per_file)
     index_store.write_terms(doc_frequency(index_store.read_postings(spark, f"{path}/postings")), f"{path}/terms")
     pairs = doc_frequency(index_store.read_bigrams(spark, f"{path}/bigrams"), "t1", "t2")
     index_store.write_pairs(pairs, f"{path}/pairs")

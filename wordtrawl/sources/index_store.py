@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOC_BLOCK = 10_000_000
+ROWS_PER_FILE = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -36,8 +37,10 @@ def doc_block(doc_id: Column) -> Column:
     return F.floor(doc_id / F.lit(DOC_BLOCK)).cast("int")
 
 
-def _write_sorted(table: DataFrame, path: str, range_keys: list[str]) -> None:
-    table.repartitionByRange(*range_keys).sortWithinPartitions(*range_keys).write.mode("overwrite").parquet(path)
+def _write_sorted(table: DataFrame, path: str, range_keys: list[str], rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One range of keys per partition, files of at most ``rows_per_file`` rows; Spark's shuffle partitions set the ranges."""
+    ranged = table.repartitionByRange(*range_keys).sortWithinPartitions(*range_keys)
+    ranged.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
 def write_docs(docs: DataFrame, path: str) -> None:
@@ -51,8 +54,8 @@ def read_docs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_postings(postings: DataFrame, path: str) -> None:
-    _write_sorted(postings, path, ["term", "doc_id"])
+def write_postings(postings: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    _write_sorted(postings, path, ["term", "doc_id"], rows_per_file)
 
 
 def read_postings(spark: SparkSession, path: str, with_positions: bool = True) -> DataFrame:
@@ -60,8 +63,8 @@ def read_postings(spark: SparkSession, path: str, with_positions: bool = True) -
     return postings if with_positions else postings.drop("positions")
 
 
-def write_bigrams(bigrams: DataFrame, path: str) -> None:
-    _write_sorted(bigrams, path, ["t1", "t2", "doc_id"])
+def write_bigrams(bigrams: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    _write_sorted(bigrams, path, ["t1", "t2", "doc_id"], rows_per_file)
 
 
 def read_bigrams(spark: SparkSession, path: str) -> DataFrame:
