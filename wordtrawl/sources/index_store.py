@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordtrawl.session import scratch_folder
+
 DOC_BLOCK = 10_000_000
 ROWS_PER_FILE = 20_000_000
 
@@ -54,8 +56,15 @@ def read_docs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _computed_once(table: DataFrame) -> DataFrame:
+    """A copy in the scratch folder: range partitioning samples its input, which would run the posting step twice."""
+    scratch = scratch_folder(table.sparkSession)
+    table.write.parquet(scratch)
+    return table.sparkSession.read.schema(table.schema).parquet(scratch)
+
+
 def write_postings(postings: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    _write_sorted(postings, path, ["term", "doc_id"], rows_per_file)
+    _write_sorted(_computed_once(postings), path, ["term", "doc_id"], rows_per_file)
 
 
 def read_postings(spark: SparkSession, path: str, with_positions: bool = True) -> DataFrame:
@@ -64,7 +73,7 @@ def read_postings(spark: SparkSession, path: str, with_positions: bool = True) -
 
 
 def write_bigrams(bigrams: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    _write_sorted(bigrams, path, ["t1", "t2", "doc_id"], rows_per_file)
+    _write_sorted(_computed_once(bigrams), path, ["t1", "t2", "doc_id"], rows_per_file)
 
 
 def read_bigrams(spark: SparkSession, path: str) -> DataFrame:
