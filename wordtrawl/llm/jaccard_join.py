@@ -271,8 +271,8 @@ def matched(nodes: DataFrame, docs: DataFrame, depth: int, before: int | None, s
     rows = rows.join(sets, "node")
     load = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles")).first()
     parts = max(1, load["rows"] // TASK_ROWS, (load["shingles"] or 0) // TASK_SHINGLES)
-    checked = dealt(rows, parts).groupBy("task").applyInArrow(verified, "node binary, root binary, links bigint, weak bigint, missed array<double>")
-    return stored(checked)
+    columns = "node binary, root binary, links bigint, weak bigint, missed array<double>"
+    return stored(dealt(rows, parts).groupBy("task").applyInArrow(verified, columns))
 
 
 def classes(edges: DataFrame) -> DataFrame:
@@ -284,7 +284,8 @@ def classes(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        end = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+        small = large.join(least, "u").select(end.alias("u"), F.col("m").alias("v"))
         new = stored(small.filter("u != v").distinct())
         if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
             return new

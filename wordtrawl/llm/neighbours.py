@@ -231,7 +231,8 @@ def search_index(index: DataFrame, queries: DataFrame, count: int, width: int =
                     found[0].append(query)
                     found[1].append(int(reps[nodes[i]]))
                     found[2].append(float(scores[i]))
-        return pa.table({"query": pa.array(found[0], pa.int64()), "rep": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
+        types = {"query": pa.int64(), "rep": pa.int64(), "score": pa.float64()}
+        return pa.table({name: pa.array(values, t) for (name, t), values in zip(types.items(), found)})
 
     by_block = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))

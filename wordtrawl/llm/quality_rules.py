@@ -2,12 +2,12 @@
 
 Everything here is a DataFrame expression. Words are runs of anything but ASCII white space. Unigrams and bigrams fall into
 ``BUCKETS`` hash buckets; two multinomials over the buckets are counted, one over the trusted texts and one over all texts,
-the latter scaled to the size of the former, both with add-``SMOOTHING``. A text's score is the mean over its n-grams of log(trusted / all), and it passes from
-``THRESHOLD`` on.
+the latter scaled to the size of the former, both with add-``SMOOTHING``. A text's score is the mean over its n-grams of
+log(trusted / all), and it passes from ``THRESHOLD`` on.
 
-Defined cases: a null text counts as empty; a text without words scores 0 and fails the base rules; without any trusted
-text every score is 0; repeated rows are judged each; a null id is kept as null; input columns other than the id and the
-text are not looked at.
+Defined cases: a null text counts as empty; a text without words scores 0 and fails the base rules; without any trusted text
+every score is 0; repeated rows are judged each; a null id is kept as null; input columns other than the id and the text are
+not looked at.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import common, jaccard_join, language_id, language_model, neighbours, packing, quality_classifier, quality_rules, sentencepieces, toxicity, url_filter
+from wordtrawl.llm import common, jaccard_join, language_id, language_model, neighbours, packing
+from wordtrawl.llm import quality_classifier, quality_rules, sentencepieces, toxicity, url_filter
 from wordtrawl.session import spread
 
 

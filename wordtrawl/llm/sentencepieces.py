@@ -199,8 +199,10 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", key: str = "doc_id
     """
     ship(docs.sparkSession)
     key_type = docs.schema[key].dataType.simpleString()
-    full = pa.schema([("ids", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("decoded", pa.string())])
-    short = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("spans_crc32", pa.int64())])
+    lists = pa.list_(pa.int32())
+    full = pa.schema([("ids", lists), ("starts", lists), ("ends", lists), ("decoded", pa.string())])
+    long, string = pa.int64(), pa.string()
+    short = pa.schema([("n_tokens", long), ("ids_sha256", string), ("decoded_sha256", string), ("spans_crc32", long)])
 
     def one(worker: Codec, body: str | None) -> tuple:
         body = body or ""
