@@ -28,14 +28,12 @@ def greedy(signatures, bits=1):
     return set(kept)
 
 
-def rank(query, docs, stop, k=5, budget=None):
+def rank(query, docs, stop, k=5):
     """[(doc, score)] of a token-list query over {doc: token list}."""
     n = len(docs)
     lists = {}
     for term in set(query):
         found = sorted(d for d, tokens in docs.items() if term in tokens)
-        if budget is not None:
-            found = found[: math.floor(budget[term])]
         if found:
             lists[term] = found
     if not lists:
