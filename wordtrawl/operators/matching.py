@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
 from wordtrawl.operators.tokens import query_pairs
-from wordtrawl.session import Pinned, derived, literal_rows, pin, pinned_rows, prune_to_keys
+from wordtrawl.session import PUSHDOWN_VALUES, Pinned, derived, literal_rows, pin, pinned_rows, prune_to_keys
 
 #: Rows and bytes of probes that may be broadcast, and by how much fewer probes must be to be worth a shuffle.
 CANDIDATE_ROWS = 1_000_000
@@ -148,7 +148,10 @@ def known_pairs(processed: DataFrame | Pinned, pairs: DataFrame) -> Pinned:
     """
     processed = pin(processed)
     qid = processed.df.schema["qid"].dataType.simpleString()
-    stored = prune_to_keys(prune_to_keys(pairs.select("t1", "t2", "df"), processed, "t1", "tokens"), processed, "t2", "tokens")
+    stored = prune_to_keys(pairs.select("t1", "t2", "df"), processed, "t1", "tokens")
+    if len(processed.values("tokens") or ()) <= PUSHDOWN_VALUES:
+        # Tables are sorted by t1 first, so long lists for t2 would only cost time.
+        stored = prune_to_keys(stored, processed, "t2", "tokens")
     if processed.values("tokens") is not None:
         last = {}
         for row in processed.rows.select(["qid", "tokens"]).to_pylist():
@@ -170,7 +173,9 @@ def lookup_bigrams(
 ) -> DataFrame:
     """(qid, ord, t1, t2, doc_id, tf, df): postings of the adjacent query pairs; frequencies come from the dictionary."""
     known = known_pairs(processed, pairs)
-    narrow = prune_to_keys(prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), known, "t1"), known, "t2")
+    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), known, "t1")
+    if len(known.values("t2") or ()) <= PUSHDOWN_VALUES:
+        narrow = prune_to_keys(narrow, known, "t2")
     return _matches(narrow, known, ["t1", "t2"], candidates).select("qid", "ord", "t1", "t2", "doc_id", "tf", "df")
 
 

@@ -67,8 +67,14 @@ def write_postings(postings: DataFrame, path: str, rows_per_file: int = ROWS_PER
     _write_sorted(_computed_once(postings), path, ["term", "doc_id"], rows_per_file)
 
 
+def _read_sorted(spark: SparkSession, path: str) -> DataFrame:
+    """Sorted tables are pruned by the minima and maxima of row groups; finer filters would test every value of a list again."""
+    finer = {f"parquet.filter.{kind}.enabled": "false" for kind in ("dictionary", "columnindex", "bloom")}
+    return spark.read.options(**finer).parquet(path)
+
+
 def read_postings(spark: SparkSession, path: str, with_positions: bool = True) -> DataFrame:
-    postings = spark.read.parquet(path)
+    postings = _read_sorted(spark, path)
     return postings if with_positions else postings.drop("positions")
 
 
@@ -77,7 +83,7 @@ def write_bigrams(bigrams: DataFrame, path: str, rows_per_file: int = ROWS_PER_F
 
 
 def read_bigrams(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return _read_sorted(spark, path)
 
 
 def write_terms(terms: DataFrame, path: str) -> None:
@@ -111,7 +117,7 @@ def read_index(spark: SparkSession, path: str) -> SearchIndex:
         docs=read_docs(spark, f"{path}/docs"),
         postings=read_postings(spark, f"{path}/postings"),
         bigrams=read_bigrams(spark, f"{path}/bigrams"),
-        terms=spark.read.parquet(f"{path}/terms"),
-        pairs=spark.read.parquet(f"{path}/pairs"),
+        terms=_read_sorted(spark, f"{path}/terms"),
+        pairs=_read_sorted(spark, f"{path}/pairs"),
         n_docs=n_docs,
     )
