@@ -115,6 +115,14 @@ def test_statistics_are_finite_and_pools_are_monotone():
     assert value.tolist() == [0.5, 5 / 7] and (np.diff(at) > 0).all()
 
 
+@pytest.mark.parametrize("n", [10, 3_999, 4_000, 20_000, 20_001])
+def test_share_of_marked_words_reads_every_word(n):
+    words = ["word" if i % 2 else "#1" for i in range(n)]
+    assert quality_classifier.statistics_of(" ".join(words))[20] == -(-n // 2) / n
+    words = ["word"] * (n - 1) + ["#1"]
+    assert quality_classifier.statistics_of(" ".join(words))[20] == 1 / n
+
+
 # Language --------------------------------------------------------------------------------------------------------------
 
 

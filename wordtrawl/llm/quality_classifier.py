@@ -69,12 +69,13 @@ def statistics_of(text: str | None) -> np.ndarray:
     codes = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 0x24F)
     kinds = np.bincount(_CLASS[codes], minlength=8)
     chars = len(codes)
-    distinct = len(set(words))
-    top = Counter(words).most_common(2)
+    times = Counter(words)
+    distinct = len(times)
+    top = times.most_common(2)
     pairs = len(set(zip(words, words[1:])))
     repeats = sum(map(eq, words, words[1:]))
     lines = [line for line in text.split("\n") if line.strip()]
-    marked = sum(not word.isalpha() for word in words[:: max(1, n // 2000)]) / len(words[:: max(1, n // 2000)])
+    marked = sum(count for word, count in times.items() if not word.isalpha()) / n
     letters = max(1, kinds[_LOWER] + kinds[_UPPER])
     out[:8] = kinds / chars
     out[8] = np.log1p(n)
