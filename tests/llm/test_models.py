@@ -67,6 +67,21 @@ def test_main_path_has_no_python(spark):
         assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().toString())
 
 
+def test_rerun_tasks_send_their_sums_to_the_same_group(spark, monkeypatch):
+    rows, sent = spark.range(0, 200, 1, 40), []
+    real = type(rows).mapInPandas
+
+    def seen(self, *args, **options):
+        sent.append(real(self, *args, **options))
+        return sent[-1]
+
+    monkeypatch.setattr(type(rows), "mapInPandas", seen)
+    total = common.summed(rows, lambda batches: [sum(float(b["id"].sum()) for b in batches), 1.0], 2)
+    assert total.tolist() == [199 * 100, 40]
+    first, again = ([(r.part, bytes(r.sums)) for r in sent[0].collect()] for _ in range(2))
+    assert first == again and [part for part, _ in first] == [i % 16 for i in range(40)]
+
+
 # Quality classifier ----------------------------------------------------------------------------------------------------
 
 

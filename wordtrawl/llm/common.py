@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
 import wordtrawl
 from wordtrawl.session import scratch_folder
@@ -70,12 +71,13 @@ def small_or_shuffled(ids: DataFrame, count: int) -> DataFrame:
 def summed(df: DataFrame, partial: Callable, length: int) -> np.ndarray:
     """Add up an array of doubles of fixed ``length`` that ``partial`` makes of each partition's pandas batches.
 
-    The arrays of the partitions meet in sixteen tasks first, so the driver adds at most sixteen.
+    The arrays of the partitions meet in sixteen tasks first, so the driver adds at most sixteen. The number of a partition
+    decides where its array goes, so a task that runs again sends it to the same place.
     """
 
     def by_partition(batches):
         total = partial(batches)
-        yield pd.DataFrame({"part": [int.from_bytes(os.urandom(1), "little") % 16], "sums": [np.asarray(total, "<f8").tobytes()]})
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % 16], "sums": [np.asarray(total, "<f8").tobytes()]})
 
     def together(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(length)
