@@ -160,6 +160,25 @@ def test_languages_are_told_apart_and_strange_text_rejected(spark):
     assert model.predict(["жжж ыыы ффф щщщ ююю"])[2].all()
 
 
+def test_long_text_of_an_unlearnt_language_is_rejected_and_short_clean_text_kept(spark):
+    r = random.Random(4)
+    words = {lang: ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 7))) for _ in range(200)] for lang in ("aa", "bb", "new")}
+    rows = [(i, " ".join(r.choices(words[lang], k=1 + i % 150)), lang) for i, lang in enumerate(["aa", "bb"] * 150)]
+    model = language_id.fit(odd.documents(spark, rows))
+    for n in (40, 200, 1000):
+        assert model.predict([" ".join(r.choices(words["new"], k=n)) for _ in range(10)])[2].all()
+    for n in (1, 2, 5, 20, 300):
+        for lang in ("aa", "bb"):
+            assert model.predict([" ".join(r.choices(words[lang], k=n)) for _ in range(50)])[2].mean() <= 0.02
+    assert not model.predict([" ".join(words["aa"][:3] * 500)])[2].any()
+
+
+def test_beginnings_have_powers_of_two_of_distinct_buckets():
+    rows = language_id.beginnings(np.array([5, 5, 6, 5, 7, 8, 8, 9]))
+    assert [row[5:10].tolist() for row in rows] == [[1, 0, 0, 0, 0], [2, 1, 0, 0, 0], [3, 1, 1, 1, 0]]
+    assert language_id.size_of(rows).tolist() == [0, 1, 2] and language_id.beginnings(np.zeros(0, int)).shape[0] == 0
+
+
 def test_language_of_odd_documents(spark):
     model = language_id.fit(odd.documents(spark, language_rows()))
     docs = odd.documents(spark)
