@@ -173,6 +173,23 @@ def test_long_text_of_an_unlearnt_language_is_rejected_and_short_clean_text_kept
     assert not model.predict([" ".join(words["aa"][:3] * 500)])[2].any()
 
 
+def test_samples_hold_one_row_of_each_id(spark, monkeypatch):
+    repeated = [(None, f"abc {'d' * (i % 7 + 1)} de", "xx") for i in range(150)] + [(1, "12", "yy"), (1, "klm no", "yy"), (2, "mno kl", "yy")]
+    docs = odd.documents(spark, repeated)
+    collected, real = [], type(docs).toPandas
+
+    def seen(self):
+        collected.append(real(self))
+        return collected[-1]
+
+    monkeypatch.setattr(type(docs), "toPandas", seen)
+    model = language_id.fit(docs)
+    assert model.languages == ("xx", "yy") and len(collected[-1]) == 3
+    known = odd.documents(spark, [(i % 4, f"word{i % 3} other", "xx") for i in range(40)])
+    toxicity.fit(known, spark.createDataFrame([(i, float(i % 2)) for i in range(4)], "key bigint, y double"), model)
+    assert sorted(collected[-1]["key"]) == [0, 1, 2, 3]
+
+
 def test_beginnings_have_powers_of_two_of_distinct_buckets():
     rows = language_id.beginnings(np.array([5, 5, 6, 5, 7, 8, 8, 9]))
     assert [row[5:10].tolist() for row in rows] == [[1, 0, 0, 0, 0], [2, 1, 0, 0, 0], [3, 1, 1, 1, 0]]
