@@ -173,6 +173,23 @@ def test_long_text_of_an_unlearnt_language_is_rejected_and_short_clean_text_kept
     assert not model.predict([" ".join(words["aa"][:3] * 500)])[2].any()
 
 
+@pytest.mark.parametrize(
+    "text,same",
+    [
+        ("ΑΒΓΔ ΕΖΗ", "αβγδ εζη"),
+        ("МОСКВА ЁЛКА", "москва ёлка"),
+        ("“quoted” — text…", " quoted text "),
+        ("smile 😀😀 now 👍", "smile now "),
+        ("𐐀𐐁𐐂 x", "𐐨𐐩𐐪 x"),
+        ("İstanbul", "istanbul"),
+        ("a١٢b", "a b"),
+    ],
+)
+def test_all_codes_are_lowered_or_blank(text, same):
+    assert language_id.trigrams(text).tolist() == language_id.trigrams(same).tolist()
+    assert len(language_id.trigrams("हिन्दी")) == 6 and len(language_id.trigrams("\ud800")) == 0
+
+
 def test_samples_hold_one_row_of_each_id(spark, monkeypatch):
     repeated = [(None, f"abc {'d' * (i % 7 + 1)} de", "xx") for i in range(150)] + [(1, "12", "yy"), (1, "klm no", "yy"), (2, "mno kl", "yy")]
     docs = odd.documents(spark, repeated)
