@@ -282,6 +282,11 @@ def test_expectation_maximisation_raises_the_likelihood():
     assert likelihood(weights[3]) > likelihood(np.array([0.3, 0.6, 0.1])) and abs(weights[3].sum() - 1) < 1e-9
 
 
+@pytest.mark.parametrize("numbers", [[], [0], [1, 2**32 - 1], [3, 2**32], [2**40, 0, 7]])
+def test_large_counts_are_packed_whole(numbers):
+    assert language_model.unsqueezed(language_model.squeezed(np.array(numbers, np.int64))).tolist() == numbers
+
+
 def test_large_key_steps_are_packed_whole():
     keys = np.array([1, 5, 2**39], np.uint64)
     for k in (keys, keys[:2]):

@@ -37,11 +37,14 @@ _END = xxhash.xxh64_intdigest(b" ")
 
 
 def squeezed(numbers: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(3).compress(numbers.astype("<u4").tobytes())
+    """Numbers of 32 bits, or of 64 with one byte more behind them if one of them needs it."""
+    wide = len(numbers) and numbers.max() >= 2**32
+    return zstandard.ZstdCompressor(3).compress(numbers.astype("<u8").tobytes() + b"w" if wide else numbers.astype("<u4").tobytes())
 
 
 def unsqueezed(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "<u4").astype(np.int64)
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    return np.frombuffer(raw[:-1], "<u8").astype(np.int64) if len(raw) % 4 else np.frombuffer(raw, "<u4").astype(np.int64)
 
 
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -189,7 +192,7 @@ def counted(chunks: DataFrame) -> DataFrame:
             keys = np.concatenate([unpacked_keys(k, n) for k, n in zip(packed, sizes.tolist())])
         distinct, place = np.unique(keys, return_inverse=True)
         sums = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.int64)
-        answers = np.split(np.minimum(sums, 2**32 - 1)[place], np.cumsum(sizes)[:-1])
+        answers = np.split(sums[place], np.cumsum(sizes)[:-1])
         first = [1] + [0] * (len(packed) - 1)
         return pa.table(
             {
