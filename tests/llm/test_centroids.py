@@ -1,0 +1,87 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from wordtrawl.llm import centroids
+
+
+def plain(rows, k=8, rounds=10):
+    """Exact clustering in Python integers, without bounds: rows of (id, components)."""
+    kept = []
+    for key, v in rows:
+        if v is None or len(v) != 64 or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        kept.append((key, [int(np.floor(1024 * float(x))) for x in v]))
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"3:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centres = [v for _, v in order[:k]]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for step in range(rounds + 1):
+        near = [min((far(v, c), i) for i, c in enumerate(centres)) for _, v in kept]
+        if step < rounds:
+            for i in range(len(centres)):
+                mine = [v for (_, v), (_, c) in zip(kept, near) if c == i]
+                if mine:
+                    centres[i] = [sum(column) // len(mine) for column in zip(*mine)]
+    inertia = [sum(d for d, c in near if c == i) for i in range(len(centres))]
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return sorted(repr((key, c, d, inertia[c], sum(inertia), sha[c])) for (key, _), (d, c) in zip(kept, near))
+
+
+def clouds(n, seed, centres=11, spread=0.2):
+    r = random.Random(seed)
+    middles = [[r.uniform(-1, 1) for _ in range(64)] for _ in range(centres)]
+    return [(i, [m + r.gauss(0, spread) for m in r.choice(middles)]) for i in range(n)]
+
+
+ODD = [
+    (None, [0.25] * 64), (None, [0.5] * 64), (-1, None), (-2, []), (-3, [1.0] * 63), (-4, [1.0] * 65),
+    (-5, [None] + [1.0] * 63), (-6, [float("nan")] + [1.0] * 63), (-7, [float("inf")] + [1.0] * 63),
+    (-8, [0.0] * 64), (-9, [-0.0005] * 64), (-10, [0.3] * 64), (-10, [0.3] * 64), (-10, [-0.3] * 64),
+]
+
+
+def frame(spark, rows):
+    rows = [(k, v, 1, "x") for k, v in rows]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, cluster int, key string").repartition(5)
+
+
+def found(spark, rows):
+    got = centroids.described(centroids.cluster(centroids.integer_vectors(frame(spark, rows)))).collect()
+    return sorted(repr((r.vec_id, r.cluster, r.distance, r.cluster_inertia, r.inertia, r.centroid_sha256)) for r in got)
+
+
+@pytest.mark.parametrize("n", [0, 3, 300])
+def test_clusters_equal_plain_integers(spark, n):
+    rows = [(k, v and [x if x is None else float(np.float32(x)) for x in v]) for k, v in ODD + clouds(n, n)]
+    assert found(spark, rows) == plain(rows)
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    rows = [(1, [0.5] * 64), (2, [0.5] * 64), (3, [-1.0] * 64)]
+    assert found(spark, rows) == plain(rows)
+    assert found(spark, []) == [] and found(spark, [(1, None)]) == []
+
+
+def test_components_too_large_for_a_long_are_left_out(spark):
+    rows = [(1, [1e30] * 64), (2, [65535.0] * 64), (3, [-65535.0] * 64), (4, [65536.0] * 64)]
+    assert found(spark, rows) == plain(rows[1:3])
+
+
+def test_ties_go_to_the_smaller_number():
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-2, 3, (500, 64))
+    centres = np.concatenate([rng.integers(-2, 3, (3, 64))] * 2 + [vectors[:2]])
+    pivots = vectors[:4]
+    number, distance, _ = centroids.nearest_centroids(vectors, centroids._to_each(vectors, pivots), centres, pivots)
+    plain_ = ((vectors[:, None, :] - centres[None]) ** 2).sum(2)
+    assert (number == plain_.argmin(1)).all() and (distance == plain_.min(1)).all()
+
+
+def test_bounds_spare_exact_distances(spark):
+    rows = clouds(400, 7, centres=8, spread=0.02)
+    result = centroids.cluster(centroids.integer_vectors(frame(spark, rows)))
+    assert 400 * 11 <= result.measured < 400 * 11 * 8 / 2
+    none = centroids.nearest_centroids(np.zeros((3, 64), int), np.zeros((3, 0)), np.eye(2, 64, dtype=int), np.zeros((0, 64), int))
+    assert none[0].tolist() == [0, 0, 0] and none[2] == 6

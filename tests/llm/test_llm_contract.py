@@ -19,6 +19,7 @@ COLUMNS = {
     "op8": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op9": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op10": ["doc_id", "held_out", "score", "predicted"],
+    "op13": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }
 NAMES = {name.split("_")[0]: name for name in contract.queries() if name.startswith("op") and name[2].isdigit()}
 
@@ -36,7 +37,7 @@ def test_query_has_its_columns_and_a_row_per_row(spark, op):
     if op in ("op1", "op6"):
         assert rows
         return
-    table, key = ("pages", "page_id") if op == "op2" else ("documents", "doc_id")
+    table, key = {"op2": ("pages", "page_id"), "op13": ("embeddings", "vec_id")}.get(op, ("documents", "doc_id"))
     assert sorted(r[key] for r in rows) == sorted(r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").select(key).collect())
     folds = {"op4": (5, 0), "op5": (4, 2), "op9": (5, 1), "op10": (5, 0)}
     if op in folds:

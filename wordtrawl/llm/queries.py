@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import common, jaccard_join, language_id, language_model, neighbours, packing
-from wordtrawl.llm import quality_classifier, quality_rules, sentencepieces, toxicity, url_filter
+from wordtrawl.llm import centroids, common, jaccard_join, language_id, language_model, neighbours, packing
+from wordtrawl.llm import quality_classifier, quality_rules, sentencepieces, statements, toxicity, url_filter
 from wordtrawl.session import spread
 
 
@@ -82,6 +82,11 @@ def op10_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op13_centroids(spark, sf_dir):
+    vectors = centroids.integer_vectors(table(spark, sf_dir, "embeddings", "vec_id"))
+    return centroids.described(centroids.cluster(vectors))
+
+
 QUERIES = {
     "op1_neighbours": op1_neighbours,
     "op2_urls": op2_urls,
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_model": op9_language_model,
     "op10_toxicity": op10_toxicity,
+    "op13_centroids": op13_centroids,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {"op13_centroids": statements.centroid_rounds()}
