@@ -8,33 +8,31 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 from tests.llm import odd
 from tokenizers import Tokenizer
 
-from wordtrawl.llm import packing, sentencepieces
+from wordtrawl.llm import byte_tokens, packing, queries, sentencepieces
 
 MODEL = sentencepieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-RANKS = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-TEXTS = st.text(alphabet=st.sampled_from(list("abé ▁.'\n\t1　日👍<>|")), max_size=60)
+RANKS, SPECIAL = queries.byte_vocabulary()
+TEXTS = st.lists(st.sampled_from([*"abé ▁.'\n\t1　日👍<>|", "<|endoftext|>"]), max_size=60).map("".join)
 
 
 @pytest.fixture(scope="module")
 def reference():
-    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
-    return library
+    return _LIBRARY
 
 
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_cached_bytes_equal_the_library(text):
-    worker = packing.tokenizer(RANKS, public_tokenizers.PATTERN)
+    worker = byte_tokens.tokenizer(RANKS, public_tokenizers.PATTERN, SPECIAL)
     assert np.frombuffer(worker.encode(text), "<u4").tolist() == _LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 _LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-_LIBRARY.encode_special_tokens = True
 
 
 @settings(max_examples=300, deadline=None)
@@ -52,9 +50,9 @@ def test_cached_pieces_equal_the_library_and_cover_the_text(text):
 
 
 def test_forgetting_changes_nothing(monkeypatch, reference):
-    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    monkeypatch.setattr(byte_tokens, "REMEMBERED", 5)
     monkeypatch.setattr(sentencepieces, "REMEMBERED", 5)
-    bytes_, pieces = packing.ByteTokenizer(RANKS, public_tokenizers.PATTERN), sentencepieces.Codec(MODEL)
+    bytes_, pieces = byte_tokens.ByteTokenizer(RANKS, public_tokenizers.PATTERN), sentencepieces.Codec(MODEL)
     for seed in range(20):
         text = odd.prose(seed, 30)
         assert np.frombuffer(bytes_.encode(text), "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
@@ -125,8 +123,9 @@ def check_pieces(rows, expected, length=1024):
 
 @pytest.mark.parametrize("with_ids", [True, False])
 def test_packing_odd_documents(spark, reference, with_ids):
-    docs = odd.documents(spark, [r for r in odd.ROWS if r[0] is not None and r[0] != 7])
-    rows = packing.pack(docs, RANKS, public_tokenizers.PATTERN, with_ids=with_ids).collect()
+    special = [(20, "a <|endoftext|> b", "en"), (21, "<|endoftext|><|endoftext|>  x<|endoftext|", "en")]
+    docs = odd.documents(spark, [r for r in odd.ROWS if r[0] is not None and r[0] != 7] + special)
+    rows = packing.pack(docs, RANKS, public_tokenizers.PATTERN, with_ids=with_ids, special=SPECIAL).collect()
     expected = {r.doc_id: reference.encode(r.text or "", add_special_tokens=False).ids + [0] for r in docs.collect()}
     total, sequences = check_pieces(rows, expected.items())
     for doc, ids in expected.items():
@@ -141,12 +140,25 @@ def test_packing_odd_documents(spark, reference, with_ids):
 
 
 def test_packing_repeated_rows_null_ids_and_no_rows(spark, reference):
-    rows = packing.pack(odd.documents(spark), RANKS, public_tokenizers.PATTERN).collect()
+    rows = packing.pack(odd.documents(spark), RANKS, public_tokenizers.PATTERN, special=SPECIAL).collect()
     total = sum(len(reference.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, _ in odd.ROWS)
     assert sum(r.length for r in rows) == total and any(r.doc_id is None for r in rows)
     assert packing.pack(odd.empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_equal_rows_spread_over_the_blocks(spark):
+    """A table of one row 6,000 times, without ids: no block gets much more than its share."""
+    docs = odd.documents(spark, [(None, "one two three", "en")] * 6000)
+    rows = packing.pack(docs, RANKS, public_tokenizers.PATTERN, with_ids=False)
+    sizes = [r["count"] for r in rows.groupBy((F.col("sequence_id") / 2**32).cast("bigint")).count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 1.3 * min(sizes)
+
+
+def test_whole_sequences_take_no_part_in_the_shuffle(spark):
+    rows = packing.pack(odd.documents(spark, [(1, odd.LONG, "en")]), RANKS, public_tokenizers.PATTERN).collect()
+    assert sum(r.sequence_id < 0 for r in rows) == len(rows) - 1 and all((r.length == 1024) == (r.sequence_id < 0) for r in rows)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 1023), max_size=60))
 def test_balanced_packing_is_whole_and_tight(sizes):

@@ -1,30 +1,32 @@
 """Cost-balanced packing of tokenised documents into sequences of bounded length.
 
-A document becomes its byte-level BPE ids and an end id. Every full sequence length of it is a sequence of its own; what is
-left over goes, with its ids, to a block of about ``BLOCK`` documents. A block opens as many sequences as its tokens fill,
-takes its leftovers by descending cost (``LINEAR`` x length + ``QUADRATIC`` x length squared) and gives each to the cheapest
-sequence that can still hold it whole; where none of the cheapest few can, the cheapest one with room takes what fits and
-the rest is cut off and goes on. So only the last sequence of a block can need padding.
-
-Defined cases: a null text counts as empty and has the end id only; documents of any length are packed whole; repeated rows
-are packed each; a null id is kept; an empty table gives no rows.
+A document becomes its byte-level BPE ids and an end id. Its pieces are written down once, numbered by task and place. Every
+full sequence length of a document is a sequence of its own, with a negative number, and moves no further. What is left over,
+shorter than a sequence, goes with its ids to one of the blocks of about ``BLOCK`` leftovers that its place hashes to, so equal
+rows spread like any others. A block opens as many sequences as its tokens fill, takes its leftovers by descending cost
+(``LINEAR`` x length + ``QUADRATIC`` x length squared) and gives each to the cheapest sequence that can still hold it whole;
+where none of the cheapest few can, the cheapest one with room takes what fits and the rest is cut off and goes on. So only
+the last sequence of a block can need padding.
+
+Defined cases: a null text counts as empty and has the end id only; documents of any length are packed whole; special strings
+in a text become their ids, as the library does it; repeated rows are packed each, in any order; a null id is kept; an empty
+table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import base64
 import heapq
-import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
-from wordtrawl.llm.common import ship
+from wordtrawl.llm.byte_tokens import tokenizer
+from wordtrawl.llm.common import ship, stored
 
 LENGTH = 1024
 END_ID = 0
@@ -32,64 +34,6 @@ BLOCK = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 #: Cheapest sequences that are tried before a leftover is cut.
 TRIED = 8
-REMEMBERED = 200_000
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
-
-
-class ByteTokenizer:
-    """Byte-level BPE of a rank file, with the ids of each distinct stretch between single blanks remembered.
-
-    The pattern of pre-tokens never matches across a blank that stands between two visible characters, except as the first
-    character of a match; so a text may be cut before each such blank.
-    """
-
-    def __init__(self, ranks: bytes, pattern: str):
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
-        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.sizes = np.zeros(max(table.values()) + 1, np.int64)
-        for token, rank in table.items():
-            self.sizes[rank] = len(token)
-        self.known: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.library.encode_ordinary(text), "<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of all new stretches with one call: token sizes tell where each stretch ends."""
-        ids = np.array(self.library.encode_ordinary(" " + " ".join(words)), "<u4")
-        ends = np.cumsum([1 + len(w.encode()) for w in words])
-        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-        start = 0
-        for word, cut in zip(words, cuts.tolist()):
-            self.known[word] = ids[start:cut].tobytes()
-            start = cut
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        head, *words = text.split(" ")
-        parts = list(map(self.known.get, words))
-        if None in parts or not head or head[-1].isspace():
-            missing = {w for w, p in zip(words, parts) if p is None}
-            if not head or head[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
-                stretches = _SAFE.split(text)
-                return self._plain(stretches[0]) + b"".join(self._plain(" " + s) for s in stretches[1:])
-            if len(self.known) + len(missing) > REMEMBERED:
-                self.known.clear()
-                missing = set(words)
-            self._learn(list(missing))
-            parts = list(map(self.known.__getitem__, words))
-        return self._plain(head) + b"".join(parts)
-
-
-@lru_cache(maxsize=2)
-def tokenizer(ranks: bytes, pattern: str) -> ByteTokenizer:
-    return ByteTokenizer(ranks, pattern)
-
-
-def read_ranks(path: str) -> bytes:
-    """The rank file's bytes; they travel with the tasks, so that only the driver needs the file."""
-    with open(path, "rb") as file:
-        return file.read()
 
 
 def balanced(sizes: list[int], length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
@@ -125,32 +69,45 @@ def balanced(sizes: list[int], length: int = LENGTH) -> list[tuple[int, int, int
 
 
 def pack(
-    docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", key: str = "doc_id", length: int = LENGTH, with_ids: bool = True
+    docs: DataFrame,
+    ranks: bytes,
+    pattern: str,
+    text: str = "text",
+    key: str = "doc_id",
+    length: int = LENGTH,
+    with_ids: bool = True,
+    special: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]): one row per piece.
 
-    ``ids`` holds little-endian unsigned 32-bit ids; without it only the leftovers' ids move.
+    ``ids`` holds little-endian unsigned 32-bit ids; without it only the leftovers' ids move. ``special`` are the strings with
+    ids of their own.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     key_type = docs.schema[key].dataType.simpleString()
-    blocks = max(1, -(-docs.count() // BLOCK))
     end = np.array([END_ID], "<u4").tobytes()
-    sent = pa.schema([("block", pa.int64()), ("crcs", pa.list_(pa.int64())), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
+    longs = ("start", "length", "ids_crc32", "doc_tokens", "place", "sequence_id")
 
     def tokenized(batches):
-        worker = tokenizer(ranks, pattern)
+        worker = tokenizer(ranks, pattern, special)
+        place = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                rows = []
-                for place, body in zip(part.column("place").to_pylist(), part.column("body")):
+                owner, rows, kept = [], [], []
+                for i, body in enumerate(part.column("body")):
                     ids = worker.encode(body.as_py() or "") + end
-                    whole = len(ids) // (4 * length) * 4 * length
-                    crcs = [zlib.crc32(ids[i : i + 4 * length]) for i in range(0, whole, 4 * length)]
-                    kept = ids if with_ids else ids[whole:]
-                    rows.append(((place ^ zlib.crc32(ids[whole:])) % blocks, crcs, kept, len(ids) // 4))
-                columns = [pa.array([row[i] for row in rows], field.type) for i, field in enumerate(sent)]
-                yield pa.RecordBatch.from_arrays([part.column("key"), *columns], names=["key", *sent.names])
+                    for at in range(0, len(ids), 4 * length):
+                        piece = ids[at : at + 4 * length]
+                        whole = len(piece) == 4 * length
+                        place += 1
+                        rows.append((at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, place, -place if whole else None))
+                        owner.append(i)
+                        kept.append(piece if with_ids or not whole else None)
+                columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * len(longs))]
+                keys = part.column("key").take(pa.array(owner, pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys, *columns, pa.array(kept, pa.binary())], names=["key", *longs, "ids"])
         # Workers outlive their tasks: what they hold would stay while other stages need the memory.
         del worker
         tokenizer.cache_clear()
@@ -158,28 +115,27 @@ def pack(
 
     def packed(rows: pa.Table) -> pa.Table:
         block = rows.column("block")[0].as_py()
-        crcs, kept = rows.column("crcs").to_pylist(), rows.column("ids").to_pylist()
-        out, sequences = [], 0
-        for i, whole in enumerate(crcs):
-            for j, crc in enumerate(whole):
-                ids = kept[i][4 * length * j : 4 * length * (j + 1)] if with_ids else b""
-                out.append((i, length * j, length, crc, sequences, 0, ids))
-                sequences += 1
-        tails = [ids[4 * length * len(whole) :] if with_ids else ids for ids, whole in zip(kept, crcs)]
+        order = pc.sort_indices(rows.column("place"))
+        keys, totals = rows.column("key").take(order), rows.column("doc_tokens").take(order)
+        before, tails = rows.column("start").take(order).to_pylist(), rows.column("ids").take(order).to_pylist()
+        out = []
         for i, start, size, sequence, offset in balanced([len(t) // 4 for t in tails], length):
             ids = tails[i][4 * start : 4 * (start + size)]
-            out.append((i, length * len(crcs[i]) + start, size, zlib.crc32(ids), sequences + sequence, offset, ids))
+            out.append((i, before[i] + start, size, zlib.crc32(ids), block << 32 | sequence, offset, ids))
         owner, start, size, crc, sequence, offset, ids = zip(*out)
-        longs = {"start": start, "length": size, "ids_crc32": crc}
-        table = {"key": rows.column("key").take(owner)} | {k: pa.array(v, pa.int64()) for k, v in longs.items()}
-        table["doc_tokens"] = rows.column("doc_tokens").take(owner)
-        table["sequence_id"] = pa.array([block << 32 | s for s in sequence], pa.int64())
-        table["offset"] = pa.array(offset, pa.int64())
+        table = {"key": keys.take(pa.array(owner))}
+        table |= {k: pa.array(v, pa.int64()) for k, v in {"start": start, "length": size, "ids_crc32": crc}.items()}
+        table |= {"doc_tokens": totals.take(pa.array(owner))}
+        table |= {"sequence_id": pa.array(sequence, pa.int64()), "offset": pa.array(offset, pa.int64())}
         return pa.table(table | ({"ids": pa.array(ids, pa.binary())} if with_ids else {}))
 
-    place = F.shiftrightunsigned(F.xxhash64(F.col(key)), 1)
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"), place.alias("place"))
-    sized = rows.mapInArrow(tokenized, f"key {key_type}, block bigint, crcs array<bigint>, ids binary, doc_tokens bigint")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    fields = ", ".join(f"{c} bigint" for c in longs)
+    pieces = stored(rows.mapInArrow(tokenized, f"key {key_type}, {fields}, ids binary"))
+    leftovers = pieces.filter("sequence_id IS NULL")
+    blocks = max(1, -(-leftovers.count() // BLOCK))
+    leftovers = leftovers.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(blocks)))
     columns = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
-    pieces = sized.groupBy("block").applyInArrow(packed, f"key {key_type}, {columns}" + ", ids binary" * with_ids)
-    return pieces.withColumnRenamed("key", key)
+    balanced_rows = leftovers.drop("sequence_id").groupBy("block").applyInArrow(packed, f"key {key_type}, {columns}" + ", ids binary" * with_ids)
+    whole = pieces.filter("sequence_id IS NOT NULL").withColumn("offset", F.lit(0).cast("bigint")).select(balanced_rows.columns)
+    return whole.unionByName(balanced_rows).withColumnRenamed("key", key)

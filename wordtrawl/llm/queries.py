@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import centroids, common, jaccard_join, language_id, language_model, neighbours, packing
+from wordtrawl.llm import byte_tokens, centroids, common, jaccard_join, language_id, language_model, neighbours, packing
 from wordtrawl.llm import quality_classifier, quality_rules, sentencepieces, statements, toxicity, url_filter
 from wordtrawl.session import spread
 
@@ -53,9 +53,16 @@ def op5_language(spark, sf_dir):
     return judged.select("doc_id", "held_out", "x.lang_pred", "x.score", "x.rejected")
 
 
+def byte_vocabulary():
+    """Ranks and special strings of the byte-level vocabulary of 50,257 ids."""
+    ranks = byte_tokens.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return ranks, byte_tokens.read_special(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_packing(spark, sf_dir):
-    ranks = packing.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return packing.pack(table(spark, sf_dir, "documents", "doc_id"), ranks, public_tokenizers.PATTERN, with_ids=False)
+    ranks, special = byte_vocabulary()
+    docs = table(spark, sf_dir, "documents", "doc_id")
+    return packing.pack(docs, ranks, public_tokenizers.PATTERN, with_ids=False, special=special)
 
 
 def op7_jaccard_join(spark, sf_dir):
