@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import byte_tokens, centroids, common, jaccard_join, language_id, language_model, neighbours, packing
+from wordtrawl.llm import best_fit, byte_tokens, centroids, common, jaccard_join, language_id, language_model, neighbours, packing
 from wordtrawl.llm import quality_classifier, quality_rules, sentencepieces, statements, toxicity, url_filter
 from wordtrawl.session import spread
 
@@ -89,6 +89,12 @@ def op10_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op12_best_fit(spark, sf_dir):
+    ranks, special = byte_vocabulary()
+    docs = table(spark, sf_dir, "documents", "doc_id")
+    return best_fit.pack(docs, ranks, public_tokenizers.PATTERN, special, with_ids=False)
+
+
 def op13_centroids(spark, sf_dir):
     vectors = centroids.integer_vectors(table(spark, sf_dir, "embeddings", "vec_id"))
     return centroids.described(centroids.cluster(vectors))
@@ -105,6 +111,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_model": op9_language_model,
     "op10_toxicity": op10_toxicity,
+    "op12_best_fit": op12_best_fit,
     "op13_centroids": op13_centroids,
 }
 
