@@ -19,6 +19,7 @@ COLUMNS = {
     "op8": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op9": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     "op10": ["doc_id", "held_out", "score", "predicted"],
+    "op11": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op12": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op13": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
 }

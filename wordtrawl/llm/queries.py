@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.llm import best_fit, byte_tokens, centroids, common, jaccard_join, language_id, language_model, neighbours, packing
+from wordtrawl.llm import best_fit, byte_tokens, centroids, common, jaccard_join, language_id, language_model, neighbours, packing, periodic_runs
 from wordtrawl.llm import quality_classifier, quality_rules, sentencepieces, statements, toxicity, url_filter
 from wordtrawl.session import spread
 
@@ -89,6 +89,39 @@ def op10_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def with_planted_periods(docs, text="text", key="doc_id"):
+    """(key, text): texts of one key in ten go on periodically from some word on, as the key's crc32 says; others stay."""
+    h = F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+
+    def periodic(words):
+        n, g = F.size(words), F.floor(h / 10)
+        a = F.pmod(g, n)
+        p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")
+        return F.array_join(F.transform(words, lambda w, i: F.get(words, place(i))), " ")
+
+    rewritten = quality_rules.let(quality_rules.words_of(F.col(text)), lambda w: F.when(F.size(w) > 0, periodic(w)).otherwise(F.lit("")))
+    return docs.select(key, F.when(h % 10 == 0, rewritten).otherwise(F.col(text)).alias(text))
+
+
+def run_digests(docs):
+    rows = periodic_runs.periodic_runs(with_planted_periods(docs))
+    rows = rows.withColumn("top", periodic_runs.greatest(F.col("runs")))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.*",
+        F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        sha(periodic_runs.written(F.col("runs"))).alias("runs_sha256"),
+        sha(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op11_periodic_runs(spark, sf_dir):
+    return run_digests(table(spark, sf_dir, "documents", "doc_id"))
+
+
 def op12_best_fit(spark, sf_dir):
     ranks, special = byte_vocabulary()
     docs = table(spark, sf_dir, "documents", "doc_id")
@@ -111,6 +144,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_model": op9_language_model,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_best_fit": op12_best_fit,
     "op13_centroids": op13_centroids,
 }
