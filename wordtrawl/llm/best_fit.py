@@ -138,7 +138,8 @@ def take_slots(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     before = stored(counts.select("length", "part", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
     histogram = {row["length"]: row["n"] for row in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = np.array(plan_slots(histogram, length), np.int64).reshape(-1, 5)
-    ranked = pieces.join(before.select("length", "part", "before"), ["length", "part"])
+    # A row per task and length: it grows with the corpus, so it is never broadcast.
+    ranked = pieces.join(before.select("length", "part", "before").hint("merge"), ["length", "part"])
     names = [c for c in pieces.columns if c not in ("part", "place")]
     schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in names)
 
