@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tests.llm import odd
 
@@ -54,16 +55,48 @@ def test_ratio_tells_trusted_words_from_others(spark):
     assert quality_rules.quality_rules(odd.empty(spark), trusted).count() == 0
 
 
+def test_score_equals_a_plain_ratio(spark):
+    rows = odd.ROWS[:-2] + [(100 + i, odd.prose(i, 30) + " zeta" * (i % 3), "en") for i in range(12)]
+    trusted, buckets, a = {0, 7, 100, 103, 105}, 64, quality_rules.SMOOTHING
+    mask = (1 << 64) - 1
+
+    def long(value, seed=42):
+        return xxhash.xxh64_intdigest(value.to_bytes(8, "little"), seed)
+
+    def grams(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        signed = [long(x) for x in h] + [long(y, long(x)) for x, y in zip(h, h[1:])]
+        return Counter((x - (mask + 1) if x >> 63 else x) % buckets for x in signed)
+
+    every, good = Counter(), Counter()
+    for doc, text, _ in rows:
+        every += grams(text)
+        good += grams(text) if doc in trusted else Counter()
+    expected = []
+    for doc, text, _ in rows:
+        own, t = grams(text), doc in trusted
+        n = sum(own.values())
+        share = (sum(good.values()) - t * n) / (sum(every.values()) - n)
+        total = sum(m * math.log((good[b] - t * m + a) / ((every[b] - m) * share + a)) for b, m in own.items())
+        expected.append((repr(doc), total / n if n else 0.0))
+    ids = spark.createDataFrame([(d,) for d in trusted], "doc_id bigint")
+    got = quality_rules.quality_rules(odd.documents(spark, rows), ids, buckets=buckets).collect()
+    got = sorted((repr(r.doc_id), r.score) for r in got)
+    assert [d for d, _ in got] == [d for d, _ in sorted(expected)]
+    assert np.allclose([x for _, x in got], [x for _, x in sorted(expected)], atol=1e-12)
+
+
 def test_broadcast_and_shuffle_of_trusted_ids_agree(spark, monkeypatch):
     docs, trusted = odd.documents(spark), spark.createDataFrame([(0,), (6,), (7,)], "doc_id bigint")
     counts = sorted(map(tuple, quality_rules.bucket_counts(docs, trusted).collect()))
-    monkeypatch.setattr(common, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert sorted(map(tuple, quality_rules.bucket_counts(docs, trusted).collect())) == counts
 
 
 def test_main_path_has_no_python(spark):
     docs = odd.documents(spark)
-    for frame in (quality_rules.judge(docs, [0.0] * 8), quality_rules.bucket_counts(docs, docs)):
+    rows = quality_rules.flagged(docs, docs, "text", "doc_id")
+    for frame in (quality_rules.judge(rows, [1] * 8, [0] * 8), quality_rules.bucket_counts(docs, docs)):
         assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().toString())
 
 

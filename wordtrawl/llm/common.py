@@ -16,8 +16,10 @@ from pyspark.taskcontext import TaskContext
 import wordtrawl
 from wordtrawl.session import scratch_folder
 
-#: Largest number of ids (8 bytes each) that is broadcast; beyond it the same join shuffles.
-BROADCAST_IDS = 2_000_000
+#: Largest table of ids, in bytes, that is broadcast; beyond it the same join shuffles. A row of a broadcast table takes some
+#: ``ROW_BYTES`` besides its values.
+BROADCAST_BYTES = 48 * 1024 * 1024
+ROW_BYTES = 48
 
 BATCH_ROWS = 500
 
@@ -63,9 +65,11 @@ def stored(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_or_shuffled(ids: DataFrame, count: int) -> DataFrame:
-    """Mark a table of ids for broadcast if its measured number of rows allows it."""
-    return F.broadcast(ids) if count <= BROADCAST_IDS else ids
+def small_or_shuffled(ids: DataFrame) -> DataFrame:
+    """Mark a table for broadcast if its bytes, added up on the executors, allow it; else its joins sort and shuffle."""
+    size = F.octet_length(F.to_json(F.struct("*"))) + ROW_BYTES
+    taken = ids.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()["bytes"]
+    return F.broadcast(ids) if taken <= BROADCAST_BYTES else ids.hint("merge")
 
 
 def summed(df: DataFrame, partial: Callable, length: int) -> np.ndarray:

@@ -222,8 +222,7 @@ def matched(nodes: DataFrame, docs: DataFrame, depth: int, before: int | None, s
     rows = stored(rows.groupBy("task").applyInArrow(promising, columns))
 
     wanted = stored(rows.select("node").distinct().join(nodes.select("node", "rep"), "node"))
-    reps = wanted.select("rep").distinct()
-    reps = small_or_shuffled(reps, wanted.count())
+    reps = small_or_shuffled(wanted.select("rep").distinct())
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("body")).join(reps, F.col("key").eqNullSafe(F.col("rep")), "left_semi")
 
     def shingled(batches):

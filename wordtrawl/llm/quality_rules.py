@@ -2,17 +2,18 @@
 
 Everything here is a DataFrame expression. Words are runs of anything but ASCII white space. Unigrams and bigrams fall into
 ``BUCKETS`` hash buckets; two multinomials over the buckets are counted, one over the trusted texts and one over all texts,
-the latter scaled to the size of the former, both with add-``SMOOTHING``. A text's score is the mean over its n-grams of
+the latter scaled to the size of the former, both with add-``SMOOTHING``. A text is judged by the others: its own n-grams are
+taken out of the corpus counts, and out of the trusted ones if it is trusted itself. Its score is the mean over its n-grams of
 log(trusted / all), and it passes from ``THRESHOLD`` on.
 
-Defined cases: a null text counts as empty; a text without words scores 0 and fails the base rules; without any trusted text
-every score is 0; repeated rows are judged each; a null id is kept as null; input columns other than the id and the text are
-not looked at.
+Defined cases: a null text counts as empty; a text without words scores 0 and fails the base rules; without any other trusted
+text every score is 0; a text of any length is counted whole; ties cannot arise, each text is judged by itself; repeated rows are
+counted and judged each; a null id is kept as null and is never trusted; an empty table gives no rows; input columns other
+than the id and the text are not looked at.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -22,10 +23,9 @@ from wordtrawl.llm.common import small_or_shuffled
 
 #: Hash buckets of the two multinomials, and so the bound of what is collected and sent along.
 BUCKETS = 8192
-#: Added to the trusted count of a bucket and to the one expected from the corpus. A text's own n-grams are in the corpus
-#: counts, which in a small corpus would speak against every text that is not trusted itself.
-SMOOTHING = 30.0
-#: Nats per n-gram. Trusted text lies within a few hundredths of 0, text made of other words lies below.
+#: Added to the trusted count of a bucket and to the one expected from the corpus.
+SMOOTHING = 2.0
+#: Nats per n-gram: trusted text lies within a few hundredths of 0, text made of other words lies below.
 THRESHOLD = -0.05
 MIN_WORDS = 10
 WINDOW = 5
@@ -90,49 +90,80 @@ def _hashed(text: Column, body: Callable[[Column, Column], Column]) -> Column:
     return let(words_of(text), lambda words: let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: body(words, h)))
 
 
+def flagged(docs: DataFrame, trusted: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, body, t): every row of ``docs`` with 1 if its key is in ``trusted``, else 0."""
+    ids = trusted.select(F.col(key).alias("trusted_key")).filter("trusted_key is not null").distinct()
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    rows = rows.join(small_or_shuffled(ids), F.col("key") == F.col("trusted_key"), "left")
+    return rows.select("key", "body", F.col("trusted_key").isNotNull().cast("long").alias("t"))
+
+
 def bucket_counts(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS) -> DataFrame:
     """(bucket, corpus, trusted): n-gram counts over all texts and over those whose key is in ``trusted``."""
-    ids = trusted.select(F.col(key).alias("trusted_key")).filter("trusted_key is not null").distinct()
-    ids = small_or_shuffled(ids, ids.count())
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body")).join(ids, F.col("key") == F.col("trusted_key"), "left")
-    grams = rows.select(
-        F.col("trusted_key").isNotNull().cast("long").alias("t"),
-        F.explode(_hashed(F.col("body"), lambda words, h: n_grams(h, buckets))).alias("bucket"),
-    )
+    rows = flagged(docs, trusted, text, key)
+    grams = rows.select("t", F.explode(_hashed(F.col("body"), lambda words, h: n_grams(h, buckets))).alias("bucket"))
     return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("corpus"), F.sum("t").alias("trusted"))
 
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
-    """log(trusted / corpus) of every bucket; at most ``buckets`` rows come to the driver."""
+def totals(counts: DataFrame, buckets: int = BUCKETS) -> tuple[list[int], list[int]]:
+    """Corpus and trusted counts of every bucket; at most ``buckets`` rows come to the driver."""
     corpus, trusted = [0] * buckets, [0] * buckets
     for row in counts.toLocalIterator():
         corpus[row["bucket"]], trusted[row["bucket"]] = row["corpus"], row["trusted"]
-    n_corpus, n_trusted = sum(corpus), sum(trusted)
-    if not n_trusted:
-        return [0.0] * buckets
-    share = n_trusted / n_corpus
-    return [math.log((t + smoothing) / (c * share + smoothing)) for t, c in zip(trusted, corpus)]
+    return corpus, trusted
 
 
-def judge(
-    docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
-    """(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept), one row per row."""
-    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
+def _table(counts: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, counts))), ",").cast("array<bigint>")
+
+
+def mean_ratio(grams: Column, own_trust: Column, corpus: list[int], trusted: list[int], smoothing: float = SMOOTHING) -> Column:
+    """Mean log(trusted / all) over the n-grams of a text, with the text itself left out of both counts."""
+    all_counts, good_counts = _table(corpus), _table(trusted)
+    n_corpus, n_trusted = F.lit(sum(corpus)), F.lit(sum(trusted))
+
+    def over_runs(ranked):
+        size = F.size(ranked)
+        others = n_corpus - size
+        share = F.when(others > 0, (n_trusted - own_trust * size) / others).otherwise(F.lit(0.0))
+
+        def starts_of(run):
+            return F.filter(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(F.get(run, i) != F.get(run, i - 1), F.lit(True)))
+
+        def term(starts):
+            def one(start, k):
+                times = F.coalesce(F.get(starts, k + 1), size) - start
+                bucket = F.get(ranked, start)
+                good = F.get(good_counts, bucket) - own_trust * times
+                every = (F.get(all_counts, bucket) - times) * share
+                return times * F.log((good + smoothing) / (every + smoothing))
+
+            return F.aggregate(F.transform(starts, one), F.lit(0.0), lambda a, x: a + x) / size
+
+        return F.when(size > 0, let(starts_of(ranked), term)).otherwise(F.lit(0.0))
+
+    return let(F.sort_array(grams), over_runs)
+
+
+def judge(rows: DataFrame, corpus: list[int], trusted: list[int], threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
+    """Base counts, score and verdict of every row of ``flagged`` rows (key, body, t)."""
 
     def both(words, hashes):
-        grams = n_grams(hashes, len(ratios))
-        total = F.aggregate(grams, F.lit(0.0), lambda a, b: a + F.get(table, b))
-        number = F.greatest(2 * F.size(hashes) - 1, F.lit(1))
-        return F.struct(base_counts(F.col("body"), words, hashes).alias("base"), (total / number).alias("score"))
-
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    judged = rows.select(F.col(key), _hashed(F.col("body"), both).alias("x"))
-    judged = judged.select(key, "x.base.*", F.col("x.score").alias("score"))
+        score = mean_ratio(n_grams(hashes, len(corpus)), F.col("t"), corpus, trusted)
+        return F.struct(base_counts(F.col("body"), words, hashes).alias("base"), score.alias("score"))
+
+    judged = rows.select("key", _hashed(F.col("body"), both).alias("x"))
+    judged = judged.select(F.col("key").alias(key), "x.base.*", F.col("x.score").alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Count both multinomials over all of ``docs``, then judge every one of its rows."""
-    return judge(docs, log_ratios(bucket_counts(docs, trusted)), threshold)
+def quality_rules(
+    docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS
+) -> DataFrame:
+    """(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed, kept), one row per row.
+
+    Both multinomials are counted over all of ``docs``, then every one of its rows is judged.
+    """
+    counts = totals(bucket_counts(docs, trusted, text, key, buckets), buckets)
+    return judge(flagged(docs, trusted, text, key), *counts, threshold, key)
