@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import re
 import zlib
@@ -433,3 +434,55 @@ def test_url_model_without_labels(spark):
     assert model.score("any", "/x") < 0.5
     one = url_filter.fit(spark.createDataFrame([("http://a/", 1), (None, 1), ("http://b/", None)], "url string, label int"))
     assert one.score("any", "/x") > 0.99
+
+
+def test_no_host_of_the_given_pages_is_in_the_training_table(spark):
+    """What the model says of the given pages is learnt from other hosts."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("needs the driver's tables")
+    taught = {url_filter.split_url(u)[0] for u, _ in url_filter.LABELLED}
+    taught = {host for name in taught for host in (name, name.split(".", 1)[1])}
+    urls = [r.url for r in spark.read.parquet(f"{folder}/pages.parquet").select("url").collect()]
+    hosts = {url_filter.split_url(u)[0] for u in urls}
+    assert not {host for name in hosts for host in (name, name.split(".", 1)[-1])} & (taught - {"example.com", "example.net", "example.org"})
+
+
+HELD_OUT = (
+    [(f"http://{h}/x/12", 1) for h in ("royal-casino-bonus.com", "www.onlinepills.net", "adultchat.org", "best-poker-bets.com", "spam-links.net",
+                                       "click-ads.example.org", "free-casino.test", "cheap-viagra.io", "porn-cams.com", "popup-tracker.net")]
+    + [(f"https://{h}/a/12", 0) for h in ("cookbook.org", "www.mathematics.edu", "trains.example.net", "m.newspaper.com", "opera.example.com",
+                                          "botany.ac.uk", "village-school.net", "astronomy.example.org", "theatre.fr", "swimming.example.com")]
+)
+
+
+def test_threshold_on_hosts_and_paths_from_outside(spark):
+    model = url_filter.fit(url_filter.default_table(spark))
+    scores = [(model.score(*url_filter.split_url(url)), label) for url, label in HELD_OUT]
+    assert not {url_filter.split_url(u)[0] for u, _ in HELD_OUT} & {url_filter.split_url(u)[0] for u, _ in url_filter.LABELLED}
+    assert all(score < url_filter.THRESHOLD for score, label in scores if not label)
+    assert sum(score >= url_filter.THRESHOLD for score, label in scores if label) >= 7
+    paths = [(model.score("ordinary.example.com", path), label) for path, label in (("/casino/win-bonus", 1), ("/wiki/articles", 0))]
+    assert paths[0][0] > paths[1][0]
+
+
+def test_scores_equal_a_plain_gradient(spark):
+    """The model against the same descent written out row by row, on a few urls."""
+    table = [("http://casino.win/a", 1), ("http://pills.buy/x", 1), ("http://library.org/en/1", 0), ("http://news.org/de/2", 0), ("http://maps.org/", 0)]
+    got = url_filter.fit(spark.createDataFrame(table, "url string, label int"))
+    rows = [(url_filter.features(*url_filter.split_url(u)).tolist(), y) for u, y in table]
+    weights, share = {}, sum(y for _, y in rows) / len(rows)
+    bias = math.log(share / (1 - share))
+    for _ in range(url_filter.ROUNDS):
+        step, moved = {}, 0.0
+        for found, y in rows:
+            total = bias + sum(weights.get(f, 0.0) for f in found) / math.sqrt(len(found))
+            error = (1 / (1 + math.exp(-total)) - y) * (0.5 / share if y else 0.5 / (1 - share)) / len(rows)
+            moved += error
+            for f in found:
+                step[f] = step.get(f, 0.0) + error / math.sqrt(len(found))
+        for f, s in step.items():
+            weights[f] = weights.get(f, 0.0) - url_filter.RATE * 3 * (10 * s + url_filter.PENALTY * weights.get(f, 0.0))
+        bias -= url_filter.RATE * moved
+    assert math.isclose(got.bias, bias, rel_tol=1e-9)
+    assert np.allclose([got.weights[f] for f in weights], list(weights.values()), rtol=1e-9, atol=1e-12)

@@ -10,8 +10,8 @@ The model is trained on a small labelled table of URLs (``LABELLED`` unless the
 fixed-size weights travel with the tasks, so judging moves no rows.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, which no rule fits and the model judges by its
-bias; repeated rows are judged each; a null id is kept; without labels, or with one label only, the model allows everything
-or says that label.
+bias; a very long URL is judged whole; ties between rules of one length go to the first; repeated rows are judged each; a null id
+is kept; an empty table gives no rows; without labels, or with one label only, the model allows everything or says that label.
 """
 
 from __future__ import annotations
@@ -38,16 +38,18 @@ THRESHOLD = 0.8
 _PARTS = re.compile(r"([^/?#]*)([^?#]*)")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
-#: Hosts and paths of the kinds that crawl filters block, and ordinary ones: the default training table.
+#: Hosts and paths of the kinds that public block lists name (gambling, pharmacy, adult, spam, advertising, fraud), and
+#: ordinary ones: the default training table. The names are made up of words of these subjects and taken from no data.
 BLOCKED_HOSTS = (
-    "cheap-pills.example", "buy-cheap-meds.example", "pills-online.example", "discount-viagra.example", "casino-win.example",
-    "best-casino.example", "slots-jackpot.example", "poker-bonus.example", "free-bets.example", "betting-odds-win.example",
-    "lucky-lottery.example", "win-prize-now.example", "adult-x.example", "xxx-video.example", "hot-adult-cams.example",
-    "sex-dating.example", "porn-tube.example", "escort-girls.example", "spam-farm.example", "link-farm.example",
-    "seo-spam-links.example", "backlinks-cheap.example", "ads-track.example", "ad-tracker.example", "click-ads.example",
-    "pixel-track.example", "popunder-ads.example", "banner-ads.example", "free-money-fast.example", "crypto-doubler.example",
-    "warez-crack.example", "torrent-free-movies.example", "replica-watches.example", "payday-loans-cheap.example",
-    "weight-loss-pills.example", "phish-login.example", "malware-download.example", "free-gift-card.example",
+    "casino-royal.example", "online-casino.example", "mega-slots.example", "poker-tables.example", "sports-bets.example",
+    "betting-tips.example", "bets-today.example", "lotto-jackpot.example", "win-big-now.example", "roulette-win.example",
+    "cheap-meds.example", "diet-pills.example", "pills-shop.example", "generic-viagra.example", "cheapest-rx.example",
+    "adult-chat.example", "adults-only.example", "live-cams-xxx.example", "sexy-dates.example", "porn-clips.example",
+    "escort-list.example", "spam-mailer.example", "link-spam.example", "content-farm.example", "farm-links.example",
+    "bulk-seo.example", "buy-backlinks.example", "ads-server.example", "adserver-click.example", "track-pixel.example",
+    "tracker-stats.example", "popup-ads.example", "banner-track.example", "quick-cash-free.example", "free-gift-now.example",
+    "double-your-coins.example", "cracked-warez.example", "torrent-rips.example", "fake-watches.example", "payday-cash.example",
+    "phish-bank.example", "malware-drop.example",
 )
 ALLOWED_HOSTS = (
     "news.example", "daily-news.example", "library.example", "city-library.example", "university.example", "physics.example",
@@ -56,7 +58,8 @@ ALLOWED_HOSTS = (
     "school.example", "music.example", "jazz-music.example", "football.example", "cycling.example", "parliament.example",
     "statistics.example", "health.example", "hospital.example", "docs.example", "python-docs.example", "forum.example",
     "linux-forum.example", "photo.example", "nature-photo.example", "blog.example", "research.example", "archive.example",
-    "maps.example", "encyclopedia.example",
+    "maps.example", "encyclopedia.example", "farm-museum.example", "winter-sports.example", "railway-tracks.example",
+    "free-software.example",
 )
 BLOCKED_PATHS = ("/buy-now.html", "/cheap/pills", "/casino/bonus", "/xxx/video", "/track?id=1", "/ads/click", "/win/prize", "/de/1873")
 ALLOWED_PATHS = ("/en/48213", "/about.html", "/fr/55120", "/articles/2019/05", "/es/3018", "/wiki/history", "/de/9871", "/")
