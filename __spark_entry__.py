@@ -219,14 +219,17 @@ def bit_similarity(spark, sf_dir):
     return left.join(right, "a").select("a", "b", similarity.alias("similarity"))
 
 
-def near_duplicate_pairs(spark, sf_dir):
-    return duplicates.near_duplicate_pairs(_signatures(spark, sf_dir))
+def _near_duplicate_pairs(threshold: float):
+    return lambda spark, sf_dir: duplicates.near_duplicate_pairs(_signatures(spark, sf_dir), threshold)
 
 
-def drop_near_duplicates(spark, sf_dir):
-    pages = _documents(spark, sf_dir).withColumnRenamed("doc_id", "seq")
-    kept = duplicates.drop_near_duplicates(pages, _signatures(spark, sf_dir))
-    return kept.select(F.col("seq").alias("doc_id"), "text")
+def _drop_near_duplicates(threshold: float):
+    def query(spark, sf_dir):
+        pages = _documents(spark, sf_dir).withColumnRenamed("doc_id", "seq")
+        kept = duplicates.drop_near_duplicates(pages, _signatures(spark, sf_dir), threshold)
+        return kept.select(F.col("seq").alias("doc_id"), "text")
+
+    return query
 
 
 def assign_doc_ids(spark, sf_dir):
@@ -436,8 +439,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "token_hash64": token_hash64,
     "simhash64": simhash64,
     "bit_similarity": bit_similarity,
-    "near_duplicate_pairs": near_duplicate_pairs,
-    "drop_near_duplicates": drop_near_duplicates,
+    "near_duplicate_pairs": _near_duplicate_pairs(0.98),
+    "near_duplicate_pairs_90": _near_duplicate_pairs(0.90),
+    "near_duplicate_pairs_85": _near_duplicate_pairs(0.85),
+    "drop_near_duplicates": _drop_near_duplicates(0.98),
+    "drop_near_duplicates_90": _drop_near_duplicates(0.90),
     "assign_doc_ids": assign_doc_ids,
     "cosine_similarity": cosine_similarity,
     "unigram_postings": unigram_postings,

@@ -218,14 +218,22 @@ GREEDY = (
 )
 
 
-def greedy(*before: str, select: str) -> str:
+def greedy(*before: str, select: str, bits: int = 1) -> str:
     """The recursive CTE may not be materialised, so it is set apart."""
-    head = ", ".join(
-        c if c.startswith("walk") else c.replace(" AS (", " AS MATERIALIZED (", 1) for c in (*before, *GREEDY)
-    )
+    rule = (c.replace("<= 1", f"<= {bits}") if c.startswith("edges") else c for c in GREEDY)
+    head = ", ".join(c if c.startswith("walk") else c.replace(" AS (", " AS MATERIALIZED (", 1) for c in (*before, *rule))
     return f"WITH RECURSIVE {head} {select}"
 
 
+def pairs_within(bits: int) -> str:
+    """Copies with their first page, and first pages of all signatures at most ``bits`` apart."""
+    return (
+        "SELECT f.seq AS earlier, s.seq AS later, 0 AS distance FROM firsts f JOIN sig s ON s.sig = f.sig AND s.seq > f.seq"
+        " UNION ALL SELECT * FROM (SELECT a.seq, b.seq, (bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)))::INTEGER AS distance"
+        f" FROM firsts a JOIN firsts b ON a.seq < b.seq) WHERE distance <= {bits}"
+    )
+
+
 BUDGET = (
     f"qd AS (SELECT DISTINCT qid, term, term IN {STOP} AS is_common FROM qt)",
     "qn AS (SELECT *, count(*) OVER (PARTITION BY qid, is_common) AS same, count(*) OVER (PARTITION BY qid) AS total FROM qd)",
@@ -351,6 +359,11 @@ STATEMENTS: dict[str, str] = {
         " WHERE bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) = 1",
     ),
     "drop_near_duplicates": greedy(DOC, TOK, *signature_ctes(), select="SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT seq FROM kept)"),
+    "near_duplicate_pairs_90": with_ctes(DOC, TOK, *signature_ctes(), GREEDY[0], select=pairs_within(6)),
+    "near_duplicate_pairs_85": with_ctes(DOC, TOK, *signature_ctes(), GREEDY[0], select=pairs_within(9)),
+    "drop_near_duplicates_90": greedy(
+        DOC, TOK, *signature_ctes(), select="SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT seq FROM kept)", bits=6
+    ),
     "assign_doc_ids": greedy(
         DOC, TOK, *signature_ctes(), select="SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS doc_id FROM kept"
     ),

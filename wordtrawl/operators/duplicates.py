@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from functools import reduce
 from itertools import combinations
+from math import comb
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,8 +18,15 @@ from wordtrawl.functions.hashing import hamming, max_differing_bits, token_hash6
 from wordtrawl.operators.tokens import token_weights
 from wordtrawl.session import cut_lineage
 
-MAX_BITS = 3
+#: Up to so many differing bits signatures meet in flipped values, beyond in agreeing blocks.
+FLIPPED_BITS = 3
 HOT_SIGNATURES = 1_000
+#: Signatures of one block value that a join key holds; beyond it the value is split over several keys.
+HOT_BLOCK = 2_000
+#: Most combinations of blocks that a signature is offered under.
+MAX_COMBINATIONS = 1_000
+#: Edges that one task decides in order.
+LOCAL_EDGES = 500_000
 
 
 def dedupe_url_first(pages: DataFrame, url: Column | str = "url", seq: str = "seq") -> DataFrame:
@@ -69,45 +78,100 @@ def _flip_masks(up_to: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
+def _sided(signatures: DataFrame, side: str) -> DataFrame:
+    return signatures.select(F.col("seq").alias(f"seq_{side}"), F.col("sig").alias(f"sig_{side}"))
+
+
+def _flipped_pairs(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
+    """Rows of the two sides that meet in a value half of the flips away from each; a pair may come more than once."""
+
+    def offers(table: DataFrame, side: str, flips: int) -> DataFrame:
+        masks = F.array(*[F.lit(m).cast("bigint") for m in _flip_masks(flips)])
+        meet = F.explode(F.transform(masks, lambda m: F.col(f"sig_{side}").bitwiseXOR(m)))
+        return _sided(table, side).select("*", meet.alias("meet"))
+
+    return offers(left, "l", (bits + 1) // 2).join(offers(right, "r", bits // 2), "meet").drop("meet")
+
+
+def block_scheme(bits: int, n: int) -> tuple[int, int]:
+    """(blocks, agreeing): into how many blocks a signature is cut, and how many of them make a key.
+
+    Of ``bits + agreeing`` blocks at least ``agreeing`` are equal in signatures at most ``bits`` apart. More agreeing blocks make
+    longer keys, which gather fewer of ``n`` signatures, but more keys. The cheapest scheme is taken; all give the same pairs.
+    """
+    schemes = [(bits + k, k) for k in range(1, 65 - bits) if comb(bits + k, k) <= MAX_COMBINATIONS]
+    cost = lambda m, k: comb(m, k) * (n + n * n / 2.0 ** (64 * k / m))
+    return min(schemes, key=lambda s: cost(*s), default=(0, 0))
+
+
+def _block_masks(blocks: int, agreeing: int) -> list[int]:
+    """The masks of all choices of ``agreeing`` blocks, as signed 64-bit values, in lexical order."""
+    edges = [64 * i // blocks for i in range(blocks + 1)] if blocks else []
+    single = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:])]
+    masks = [sum(chosen) for chosen in combinations(single, agreeing)]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
+
+
+def _agreeing_pairs(left: DataFrame, right: DataFrame, bits: int) -> DataFrame:
+    """Pairs of the two sides at most ``bits`` apart, each once: an exact equi-join on every choice of agreeing blocks.
+
+    A block value that many signatures of the right side share is split over several keys, and the left side is offered to
+    each. A pair that agrees in more blocks than needed counts under its first choice only.
+    """
+    masks = F.array(*[F.lit(m).cast("bigint") for m in _block_masks(*block_scheme(bits, right.count()))])
+
+    def offers(table: DataFrame, side: str) -> DataFrame:
+        keys = F.transform(masks, lambda m, i: F.struct(i.alias("choice"), F.col(f"sig_{side}").bitwiseAND(m).alias("value")))
+        return _sided(table, side).select("*", F.inline(keys))
+
+    keyed = offers(right, "r")
+    sizes = keyed.groupBy("choice", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_BLOCK)
+    sizes = cut_lineage(sizes.select("choice", "value", F.ceil(F.col("n") / HOT_BLOCK).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    keyed = keyed.join(sizes, ["choice", "value"], "left").withColumn("part", F.pmod(F.xxhash64("seq_r"), parts).cast("int"))
+    offered = offers(left, "l").join(sizes, ["choice", "value"], "left")
+    offered = offered.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    pairs = offered.drop("parts").join(keyed.drop("parts"), ["choice", "value", "part"])
+    pairs = pairs.filter(hamming(F.col("sig_l"), F.col("sig_r")) <= bits)
+    differing = F.col("sig_l").bitwiseXOR(F.col("sig_r"))
+    earlier = F.exists(F.slice(masks, F.lit(1), F.col("choice")), lambda m: differing.bitwiseAND(m) == 0)
+    return pairs.filter(~earlier).select("seq_l", "sig_l", "seq_r", "sig_r")
+
+
 def signature_edges(firsts: DataFrame, bits: int) -> DataFrame:
     """(earlier, later, distance) for all pairs of distinct signatures at most ``bits`` apart, ordered by ``seq``.
 
-    Exact, without buckets: two signatures within ``bits`` bits meet in a value that is half of the flips away from each.
-    With one bit, every signature only offers itself with one set bit cleared, at most 64 rows, against a side that
-    holds each signature once. No join key gathers more rows than that, whatever the data.
+    Exact, as equi-joins. Signatures within a few bits meet in a value that is half of the flips away from each. With one bit,
+    every signature only offers itself with one set bit cleared, at most 64 rows, against a side that holds each signature
+    once, so no join key gathers more rows than that, whatever the data. Beyond ``FLIPPED_BITS``, where flips become too many,
+    signatures meet in the blocks they must agree in.
     """
     if bits == 1:
         set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("sig", i) == 1)
         left = firsts.select(F.col("seq").alias("seq_l"), F.col("sig").alias("sig_l"), F.explode(set_bits).alias("bit"))
         cleared = F.expr("sig_l ^ shiftleft(1L, bit)")
         left = left.select("seq_l", "sig_l", cleared.alias("meet"))
-        right = firsts.select(F.col("seq").alias("seq_r"), F.col("sig").alias("sig_r"), F.col("sig").alias("meet"))
+        pairs = left.join(_sided(firsts, "r").withColumn("meet", F.col("sig_r")), "meet")
     else:
-        def offers(side: str, flips: int) -> DataFrame:
-            masks = F.array(*[F.lit(m).cast("bigint") for m in _flip_masks(flips)])
-            meet = F.explode(F.transform(masks, lambda m: F.col("sig").bitwiseXOR(m)))
-            return firsts.select(F.col("seq").alias(f"seq_{side}"), F.col("sig").alias(f"sig_{side}"), meet.alias("meet"))
-
-        left, right = offers("l", (bits + 1) // 2), offers("r", bits // 2)
-    pairs = left.join(right, "meet").select(
+        pairs = _flipped_pairs(firsts, firsts, bits) if bits <= FLIPPED_BITS else _agreeing_pairs(firsts, firsts, bits)
+    pairs = pairs.filter(F.col("seq_l") < F.col("seq_r")) if bits > 1 else pairs
+    pairs = pairs.select(
         F.least("seq_l", "seq_r").alias("earlier"),
         F.greatest("seq_l", "seq_r").alias("later"),
         hamming(F.col("sig_l"), F.col("sig_r")).alias("distance"),
     )
     pairs = pairs.filter((F.col("earlier") != F.col("later")) & (F.col("distance") <= bits))
-    return pairs if bits <= 1 else pairs.distinct()
+    return pairs.distinct() if 1 < bits <= FLIPPED_BITS else pairs
 
 
-def allowed_bits(threshold: float) -> int:
-    """Differing bits that a threshold allows; the public operators check it here before any work starts.
-
-    Thresholds of 60/64 and less (four bits and more) are not supported: the offers of a signature grow with the cube of the
-    bits.
-    """
+def near_kept(fresh: DataFrame, kept: DataFrame, threshold: float = 0.98) -> DataFrame:
+    """(seq): rows of ``fresh`` (seq, sig) within the threshold of a row of ``kept`` (seq, sig), both of which may be large."""
     bits = max_differing_bits(threshold)
-    if bits > MAX_BITS:
-        raise ValueError(f"the threshold must exceed {1 - (MAX_BITS + 1) / 64}: at most {MAX_BITS} differing bits are supported")
-    return bits
+    if bits == 0:
+        return fresh.join(kept.select("sig"), "sig", "left_semi").select("seq")
+    pairs = _flipped_pairs(fresh, kept, bits) if bits <= FLIPPED_BITS else _agreeing_pairs(fresh, kept, bits)
+    near = hamming(F.col("sig_l"), F.col("sig_r")) <= bits
+    return pairs.filter(near).select(F.col("seq_l").alias("seq")).distinct()
 
 
 def near_duplicate_pairs(signatures: DataFrame, threshold: float = 0.98) -> DataFrame:
@@ -116,7 +180,7 @@ def near_duplicate_pairs(signatures: DataFrame, threshold: float = 0.98) -> Data
     Copies with equal signatures are paired with the first page of their signature (distance 0), never with each other;
     different signatures within the threshold are paired through their first pages.
     """
-    bits = allowed_bits(threshold)
+    bits = max_differing_bits(threshold)
     firsts = cut_lineage(signatures.groupBy("sig").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("copies")))
     repeated = firsts.filter("copies > 1").select("sig", F.col("seq").alias("earlier"), "copies")
     # The most repeated signatures, a fixed number of them, are broadcast; the others are small enough to shuffle.
@@ -134,21 +198,48 @@ def near_duplicate_pairs(signatures: DataFrame, threshold: float = 0.98) -> Data
     return copies if bits == 0 else copies.unionByName(signature_edges(firsts, bits))
 
 
-def kept_signatures(signatures: DataFrame, threshold: float = 0.98) -> DataFrame:
-    """(seq, sig) of the pages that survive near-duplicate removal.
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): the smallest node of its connected component for every node of (earlier, later).
+
+    Large-star and small-star in turn: every node hands its larger neighbours to its smallest one, then the smaller ones. A
+    round adds no edges, and the number of rounds grows with the logarithm of the longest path.
+    """
+    stars = cut_lineage(edges.select(F.col("later").alias("u"), F.col("earlier").alias("v")).distinct())
+    while True:
+        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("least"))
+        small = large.join(least, "u")
+        end = F.when(F.col("v") == F.col("least"), F.col("u")).otherwise(F.col("v"))
+        new = cut_lineage(small.select(end.alias("u"), F.col("least").alias("v")).filter("u != v").distinct())
+        if new.exceptAll(stars).isEmpty() and stars.exceptAll(new).isEmpty():
+            break
+        stars = new
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    )
+
+
+def _falls_in_order(edges: DataFrame, group: str) -> DataFrame:
+    """(seq): what falls, each group of edges (earlier, later) decided by one task, by ascending ``later``."""
+
+    def decided(rows: pd.DataFrame) -> pd.DataFrame:
+        fallen = set()
+        for later, earlier in rows.groupby("later", sort=True)["earlier"]:
+            if not fallen.issuperset(earlier):
+                fallen.add(later)
+        return pd.DataFrame({"seq": pd.Series(list(fallen), dtype=rows["later"].dtype)})
+
+    return edges.groupBy(group).applyInPandas(decided, f"seq {edges.schema['later'].dataType.simpleString()}")
+
+
+def _falls_in_rounds(edges: DataFrame) -> list[DataFrame]:
+    """(seq) tables of what falls: a page that is nobody's later neighbour is kept, its later neighbours fall, and so on.
 
-    The rule is greedy in ``seq`` order: a page falls if it is within the threshold of an earlier page that was kept.
-    Equal signatures leave their first page. Among those, only pages with a neighbour take part in the rounds: a page
-    that is nobody's later neighbour is kept for good, its later neighbours fall, and what is decided leaves the graph.
     A round is a few joins on page ids; what falls and what is left of the graph are checkpointed, so neither the plan nor a
-    round grows with the rounds before. Short chains need a few rounds; a chain of n dependent pages needs n / 2.
+    round grows with the rounds before.
     """
-    bits = allowed_bits(threshold)
-    firsts = signatures.groupBy("sig").agg(F.min("seq").alias("seq")).select("seq", "sig")
-    if bits == 0:
-        return firsts
-    firsts = cut_lineage(firsts)
-    edges = cut_lineage(signature_edges(firsts, bits).select("earlier", "later"))
     fallen = []
     while not edges.isEmpty():
         settled = edges.select("earlier").distinct().join(
@@ -158,11 +249,44 @@ def kept_signatures(signatures: DataFrame, threshold: float = 0.98) -> DataFrame
         edges = cut_lineage(
             edges.join(falls, "later", "left_anti").join(falls.select(F.col("later").alias("earlier")), "earlier", "left_anti")
         )
-        fallen.append(falls)
-    if not fallen:
+        fallen.append(falls.select(F.col("later").alias("seq")))
+    return fallen
+
+
+def fallen_pages(edges: DataFrame) -> DataFrame | None:
+    """(seq): the pages that the greedy rule drops, given all edges (earlier, later); None if there are no edges.
+
+    A graph of at most ``LOCAL_EDGES`` edges is decided by one task in ``seq`` order. A larger one falls into its connected
+    components: those of at most ``LOCAL_EDGES`` edges are decided by a task each, at once, and rounds are left for larger ones.
+    """
+    edges = cut_lineage(edges)
+    number = edges.count()
+    if not number:
+        return None
+    if number <= LOCAL_EDGES:
+        return _falls_in_order(edges.withColumn("root", F.lit(0)), "root")
+    roots = components(edges).withColumnRenamed("node", "later")
+    rooted = cut_lineage(edges.join(roots, "later"))
+    large = cut_lineage(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("edges")).filter(F.col("edges") > LOCAL_EDGES))
+    fallen = [_falls_in_order(rooted.join(large, "root", "left_anti"), "root")]
+    if not large.isEmpty():
+        fallen += _falls_in_rounds(rooted.join(large, "root", "left_semi").select("earlier", "later"))
+    return reduce(DataFrame.unionByName, fallen)
+
+
+def kept_signatures(signatures: DataFrame, threshold: float = 0.98) -> DataFrame:
+    """(seq, sig) of the pages that survive near-duplicate removal.
+
+    The rule is greedy in ``seq`` order: a page falls if it is within the threshold of an earlier page that was kept.
+    Equal signatures leave their first page. Among those, only pages with a neighbour have to be decided.
+    """
+    bits = max_differing_bits(threshold)
+    firsts = signatures.groupBy("sig").agg(F.min("seq").alias("seq")).select("seq", "sig")
+    if bits == 0:
         return firsts
-    fallen = reduce(DataFrame.unionByName, fallen).select(F.col("later").alias("seq"))
-    return firsts.join(fallen, "seq", "left_anti")
+    firsts = cut_lineage(firsts)
+    fallen = fallen_pages(signature_edges(firsts, bits).select("earlier", "later"))
+    return firsts if fallen is None else firsts.join(fallen, "seq", "left_anti")
 
 
 def drop_near_duplicates(pages: DataFrame, signatures: DataFrame, threshold: float = 0.98) -> DataFrame:
