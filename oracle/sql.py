@@ -282,6 +282,29 @@ TURNS = (
     " WHERE t2 IS NOT NULL)",
 )
 
+# Two batches of pages as one: documents; then each again under its URL with another text, and under another URL with one more
+# word, and the turns of conversations. The first page of a URL counts, in the order of batch and number.
+GROWN_DOC = (
+    "offered AS (SELECT 0 AS batch, doc_id AS seq, 'doc:' || doc_id AS url, text FROM documents"
+    " UNION ALL SELECT 1, 3 * doc_id, 'doc:' || doc_id, 'changed ' || text FROM documents"
+    " UNION ALL SELECT 1, 3 * doc_id + 1, 'again:' || doc_id, text || ' copy' FROM documents"
+    " UNION ALL SELECT 1, 3 * (conv_id * 100000 + turn) + 2, 'turn:' || conv_id || '-' || turn, text FROM conversations)",
+    "numbered AS (SELECT *, batch || '/' || seq AS disk_loc, row_number() OVER (ORDER BY batch, seq) AS n FROM offered)",
+    "first AS (SELECT min(n) AS n FROM numbered GROUP BY url)",
+    f"doc AS (SELECT n AS doc_id, url, disk_loc, {tokens('text')} AS tokens FROM numbered JOIN first USING (n))",
+)
+GROWN_INDEX = (
+    KEPT_INDEX[0],
+    "doc2 AS (SELECT i.doc_id, i.seq, d.url, d.disk_loc, d.tokens FROM doc d JOIN ids i ON i.seq = d.doc_id)",
+    KEPT_TOK,
+)
+
+
+def grown(*ctes: str, select: str) -> str:
+    after = "".join(", " + c.replace(" AS (", " AS MATERIALIZED (", 1) for c in (*GROWN_INDEX, *ctes))
+    return greedy(*GROWN_DOC, TOK, *signature_ctes(), select=f"{after} {select}")
+
+
 # Markup that is easily misread, and, written by hand, its text and what it is with "que" marked.
 HARD_HTML = (
     "<p title=\"a > que\">que</p><!-- b > que -->1 < 2 que<a onclick='x => que'>&apos;&#0000000065;&copy 2020</a>"
@@ -407,6 +430,13 @@ STATEMENTS: dict[str, str] = {
         " GROUP BY term",
     ),
     "pair_dictionary": with_ctes(DOC, TOK, BI, BIPOST, BIDF, select="SELECT t1, t2, df FROM bidf"),
+    "extend_index": grown(select="SELECT doc_id, url, disk_loc FROM doc2"),
+    "extend_index_postings": grown(*over_kept(POST), select="SELECT term, doc_id, tf, positions FROM post"),
+    "extend_index_pairs": grown(*over_kept(BI, BIPOST, BIDF), select="SELECT t1, t2, df FROM bidf"),
+    "extend_index_search": grown(
+        *KEPT_RANKING,
+        select="SELECT r.qid, r.rank, r.doc_id, round(r.score, 6) AS score, d.url, d.disk_loc FROM ranked r JOIN doc2 d USING (doc_id)",
+    ),
     "index_stats": with_ctes(
         DOC, TOK, POST,
         select="SELECT 'documents' AS metric, count(*) AS value FROM doc UNION ALL SELECT 'unique_tokens', count(DISTINCT term) FROM post"

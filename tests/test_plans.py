@@ -101,3 +101,28 @@ def test_a_search_takes_few_jobs(spark, index):
     finally:
         context.setJobGroup("other", "other")
     assert jobs <= 13
+
+
+def test_fifty_thousand_words_read_only_their_ranges(spark, tmp_path):
+    """Too many words for IN lists: lookups still choose directories of postings and pairs."""
+    rows = [(i, f"u{i}", f"d{i}", [f"{c}{(i * 7 + j) % 40}" for c in "abxyz" for j in range(6)]) for i in range(60)]
+    tokenized = spark.createDataFrame(rows, "seq bigint, url string, disk_loc string, tokens array<string>")
+    index = build.build_index(tokenized, str(tmp_path), None, rows_per_file=150, files_per_range=1)
+    assert len(index.term_ranges) > 6 and len(index.pair_ranges) > 6
+    queries = spark.createDataFrame([(0, " ".join(f"a{i}" for i in range(50_000))), (1, "b1 b2")], "qid bigint, query string")
+    processed = pin(process_queries(queries, tokenizer="regex"))
+    assert processed.values("tokens") is None
+    known = matching.known_terms(processed, index.terms)
+    looked_up = {
+        "postings": matching.lookup_terms(known, index.postings),
+        "bigrams": matching.lookup_bigrams(processed, index.bigrams, index.pairs),
+    }
+    for name, hits in looked_up.items():
+        filters = [p for p in re.findall(r"PartitionFilters: \[(.*)\]", plan(hits)) if "key_range" in p]
+        assert filters, name
+        files = {f for f in getattr(index, name).select("_metadata.file_path").distinct().toPandas()["file_path"]}
+        read = {f.split("key_range=")[1].split("/")[0] for f in files}
+        asked = set(re.findall(r"\d+", filters[0].split("IN", 1)[1])) if " IN " in filters[0] else set(re.findall(r"= (\d+)", filters[0]))
+        assert asked and asked < read, name
+    hits = {(r.qid, r.term) for r in looked_up["postings"].select("qid", "term").distinct().collect()}
+    assert hits == {(0, f"a{i}") for i in range(40)} | {(1, "b1"), (1, "b2")}

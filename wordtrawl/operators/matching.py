@@ -13,7 +13,8 @@ from pyspark.sql.window import Window
 
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
 from wordtrawl.operators.tokens import query_pairs
-from wordtrawl.session import PUSHDOWN_VALUES, Pinned, derived, literal_rows, pin, pinned_rows, prune_to_keys
+from wordtrawl.session import PUSHDOWN_VALUES, Pinned, cut_lineage, derived, literal_rows, pin, pinned_rows, prune_to_keys
+from wordtrawl.sources.key_ranges import KEY_RANGE
 
 #: Rows and bytes of probes that may be broadcast, and by how much fewer probes must be to be worth a shuffle.
 CANDIDATE_ROWS = 1_000_000
@@ -23,23 +24,41 @@ PROBE_GAIN = 4
 FEW_WORDS = 200
 
 
+def _ranged(table: DataFrame) -> list[str]:
+    return [KEY_RANGE] if KEY_RANGE in table.columns else []
+
+
+def in_ranges(table: DataFrame, known: Pinned) -> DataFrame:
+    """Keep the key ranges, and so the directories, that the known keys lie in; without the column that says so.
+
+    The ranges come from the dictionary with the frequencies. A batch that is not at hand is asked for its distinct ranges, which
+    are no more than there are directories; so the number of words does not matter.
+    """
+    if not _ranged(table):
+        return table
+    if known.rows is None:
+        known = pin(known.df.select(KEY_RANGE).distinct())
+    return prune_to_keys(table, known, KEY_RANGE).drop(KEY_RANGE)
+
+
 def known_terms(processed: DataFrame | Pinned, frequencies: DataFrame) -> Pinned:
-    """(qid, term, df, n_known, rarest): the distinct query terms that the index knows.
+    """(qid, term, df, n_known, rarest): the distinct query terms that the index knows, and their key range if it has ranges.
 
     Unknown words drop out here, so they neither empty the AND nor count in ``n_known``. For a batch that is at hand one scan
     of the dictionary fetches the frequencies of its words; the rest is put together from the rows at hand.
     """
     processed = pin(processed)
     qid = processed.df.schema["qid"].dataType.simpleString()
-    schema = f"qid {qid}, term string, df bigint, n_known bigint, rarest boolean"
-    pruned = prune_to_keys(frequencies.select("term", "df"), processed, "term", "tokens")
+    ranged = _ranged(frequencies)
+    schema = f"qid {qid}, term string, df bigint, n_known bigint, rarest boolean" + f", {KEY_RANGE} int" * len(ranged)
+    pruned = prune_to_keys(frequencies.select("term", "df", *ranged), processed, "term", "tokens")
     if processed.values("tokens") is not None:
-        df = dict(zip(*pruned.toArrow().to_pydict().values()))
+        df = {term: found for term, *found in zip(*pruned.toArrow().to_pydict().values())}
         known = []
         for row in processed.rows.select(["qid", "tokens"]).to_pylist():
             terms = [t for t in dict.fromkeys(row["tokens"] or ()) if t in df]
-            rarest = min(terms, key=lambda t: (df[t], t), default=None)
-            known += [(row["qid"], t, df[t], len(terms), t == rarest) for t in terms]
+            rarest = min(terms, key=lambda t: (df[t][0], t), default=None)
+            known += [(row["qid"], t, df[t][0], len(terms), t == rarest, *df[t][1:]) for t in terms]
         return pinned_rows(frequencies.sparkSession, known, schema)
     wanted = processed.df.select("qid", F.explode(F.array_distinct("tokens")).alias("term"))
     known = pruned.join(derived(wanted, processed), "term")
@@ -50,8 +69,9 @@ def known_terms(processed: DataFrame | Pinned, frequencies: DataFrame) -> Pinned
         "df",
         F.count(F.lit(1)).over(per_query).alias("n_known"),
         (F.row_number().over(per_query.orderBy("df", "term")) == 1).alias("rarest"),
+        *ranged,
     )
-    return pin(known, processed)
+    return pin(cut_lineage(known) if ranged else known, processed)
 
 
 @dataclass(frozen=True)
@@ -67,7 +87,7 @@ class Candidates:
     @property
     def df(self) -> DataFrame:
         """(qid, doc_id)"""
-        return self.postings.join(self.rarest.df, "term").select("qid", "doc_id")
+        return self.postings.join(self.rarest.df.select("qid", "term"), "term").select("qid", "doc_id")
 
     def probes(self, known: Pinned) -> DataFrame:
         """Every candidate with every row of ``known`` of its query."""
@@ -111,13 +131,16 @@ def find_candidates(known: DataFrame | Pinned, postings: DataFrame) -> Candidate
     hits, probes = _load(known)
     if probes >= hits or (probes > CANDIDATE_ROWS and probes * PROBE_GAIN > hits):
         return None
+    ranged = _ranged(known.df)
     if known.rows is None:
-        rarest = Pinned(known.df.filter("rarest").select("qid", "term", F.col("df").alias("n")), None)
+        rarest = Pinned(known.df.filter("rarest").select("qid", "term", F.col("df").alias("n"), *ranged), None)
     else:
-        rows = known.rows.filter(known.rows["rarest"]).select(["qid", "term", "df"]).rename_columns(["qid", "term", "n"])
-        schema = StructType([known.df.schema["qid"], known.df.schema["term"], StructField("n", LongType())])
-        rarest = literal_rows(postings.sparkSession, rows, schema)
-    return Candidates(prune_to_keys(postings.select("term", "doc_id"), rarest, "term"), rarest)
+        rows = known.rows.filter(known.rows["rarest"]).select(["qid", "term", "df", *ranged])
+        rows = rows.rename_columns(["qid", "term", "n", *ranged])
+        fields = [known.df.schema["qid"], known.df.schema["term"], StructField("n", LongType())]
+        rarest = literal_rows(postings.sparkSession, rows, StructType([*fields, *[known.df.schema[c] for c in ranged]]))
+    lists = in_ranges(postings.select("term", "doc_id", *_ranged(postings)), rarest)
+    return Candidates(prune_to_keys(lists, rarest, "term"), rarest)
 
 
 def _matches(postings: DataFrame, known: Pinned, keys: list[str], candidates: Candidates | None) -> DataFrame:
@@ -131,7 +154,8 @@ def _matches(postings: DataFrame, known: Pinned, keys: list[str], candidates: Ca
 def lookup_terms(known: DataFrame | Pinned, postings: DataFrame, candidates: Candidates | None = None) -> DataFrame:
     """(qid, doc_id, term, tf, df, n_known): postings of the known query terms; positions are not read."""
     known = pin(known)
-    narrow = prune_to_keys(postings.select("term", "doc_id", "tf"), known, "term")
+    narrow = in_ranges(postings.select("term", "doc_id", "tf", *_ranged(postings)), known)
+    narrow = prune_to_keys(narrow, known, "term")
     return _matches(narrow, known, ["term"], candidates).select("qid", "doc_id", "term", "tf", "df", "n_known")
 
 
@@ -142,13 +166,14 @@ def boolean_and(hits: DataFrame) -> DataFrame:
 
 
 def known_pairs(processed: DataFrame | Pinned, pairs: DataFrame) -> Pinned:
-    """(qid, ord, t1, t2, df): the adjacent query pairs that the pair dictionary (t1, t2, df) knows.
+    """(qid, ord, t1, t2, df): the adjacent query pairs that the pair dictionary (t1, t2, df) knows, with their key range if any.
 
     Of a pair that a query repeats only the last place counts, since the last pair of a query decides.
     """
     processed = pin(processed)
     qid = processed.df.schema["qid"].dataType.simpleString()
-    stored = prune_to_keys(pairs.select("t1", "t2", "df"), processed, "t1", "tokens")
+    ranged = _ranged(pairs)
+    stored = prune_to_keys(pairs.select("t1", "t2", "df", *ranged), processed, "t1", "tokens")
     if len(processed.values("tokens") or ()) <= PUSHDOWN_VALUES:
         # Tables are sorted by t1 first, so long lists for t2 would only cost time.
         stored = prune_to_keys(stored, processed, "t2", "tokens")
@@ -161,11 +186,13 @@ def known_pairs(processed: DataFrame | Pinned, pairs: DataFrame) -> Pinned:
             distinct = pinned_rows(pairs.sparkSession, sorted({(t1, t2) for _, t1, t2 in last}), "t1 string, t2 string")
             stored = stored.join(distinct.df, ["t1", "t2"], "left_semi")
         found = stored.toArrow().to_pydict()
-        df = dict(zip(zip(found["t1"], found["t2"]), found["df"]))
-        known = [(q, place, t1, t2, df[t1, t2]) for (q, t1, t2), place in last.items() if (t1, t2) in df]
-        return pinned_rows(pairs.sparkSession, known, f"qid {qid}, ord int, t1 string, t2 string, df bigint")
+        df = dict(zip(zip(found["t1"], found["t2"]), zip(found["df"], *[found[c] for c in ranged])))
+        known = [(q, place, t1, t2, *df[t1, t2]) for (q, t1, t2), place in last.items() if (t1, t2) in df]
+        schema = f"qid {qid}, ord int, t1 string, t2 string, df bigint" + f", {KEY_RANGE} int" * len(ranged)
+        return pinned_rows(pairs.sparkSession, known, schema)
     wanted = query_pairs(processed.df).groupBy("qid", "t1", "t2").agg(F.max("ord").alias("ord"))
-    return pin(stored.join(derived(wanted, processed), ["t1", "t2"]).select("qid", "ord", "t1", "t2", "df"), processed)
+    known = stored.join(derived(wanted, processed), ["t1", "t2"]).select("qid", "ord", "t1", "t2", "df", *ranged)
+    return pin(cut_lineage(known) if ranged else known, processed)
 
 
 def lookup_bigrams(
@@ -173,7 +200,8 @@ def lookup_bigrams(
 ) -> DataFrame:
     """(qid, ord, t1, t2, doc_id, tf, df): postings of the adjacent query pairs; frequencies come from the dictionary."""
     known = known_pairs(processed, pairs)
-    narrow = prune_to_keys(postings.select("t1", "t2", "doc_id", "tf"), known, "t1")
+    narrow = in_ranges(postings.select("t1", "t2", "doc_id", "tf", *_ranged(postings)), known)
+    narrow = prune_to_keys(narrow, known, "t1")
     if len(known.values("t2") or ()) <= PUSHDOWN_VALUES:
         narrow = prune_to_keys(narrow, known, "t2")
     return _matches(narrow, known, ["t1", "t2"], candidates).select("qid", "ord", "t1", "t2", "doc_id", "tf", "df")

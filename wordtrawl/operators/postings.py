@@ -78,3 +78,9 @@ def merge_postings(first: DataFrame, second: DataFrame, offset: int = 0) -> Data
 def merge_frequencies(first: DataFrame, second: DataFrame, *keys: str) -> DataFrame:
     """Document frequencies of two merged segments, from the segments' own dictionaries."""
     return first.unionByName(second).groupBy(*(keys or ("term",))).agg(F.sum("df").alias("df"))
+
+
+def without_frequencies(frequencies: DataFrame, gone: DataFrame, *keys: str) -> DataFrame:
+    """Document frequencies less those of deleted documents; keys that no document has any more drop out."""
+    both = frequencies.unionByName(gone.withColumn("df", -F.col("df")))
+    return both.groupBy(*keys).agg(F.sum("df").alias("df")).filter("df > 0")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordtrawl.functions.stopwords import STOP_WORDS
@@ -65,6 +65,12 @@ def retrieve(
     return scoring.resolve_docs(scoring.rank_top_k(scores, k), index.docs, few_results(prepared, k), with_seq)
 
 
+def segment_of(index: SearchIndex, doc_id: str = "doc_id") -> Column:
+    """The segment that a document id belongs to."""
+    starts = F.array(*[F.lit(s).cast("bigint") for s in index.starts])
+    return F.size(F.filter(starts, lambda s: s <= F.col(doc_id))) - 1
+
+
 def few_results(queries: Pinned, k: int) -> bool:
     """Whether k results for each query are few enough to broadcast."""
     return queries.rows is not None and queries.rows.num_rows * k <= PINNED_ROWS
@@ -81,10 +87,15 @@ def search(
 ) -> tuple[DataFrame, DataFrame]:
     """Result lists (qid, query, rank, url, rel_path) and highlighted pages (qid, rank, rel_path, html).
 
-    Retrieval runs once; both tables read its results.
+    Retrieval runs once; both tables read its results. ``pages`` of an index with several segments must have a column
+    ``segment`` (0, 1, ...) beside ``seq``, since segments may number their pages alike.
     """
+    if len(index.starts) > 1 and "segment" not in pages.columns:
+        raise ValueError("the index has several segments: pages need a column segment")
     prepared = prepare_queries(queries, stop_words, **token_options)
     results = retrieve(prepared, index, k, stop_words, with_seq=True)
+    if len(index.starts) > 1:
+        results = results.withColumn("segment", segment_of(index))
     results = pin(results, prepared) if few_results(prepared, k) else Pinned(cut_lineage(results), None)
     return assemble_results(results.df, prepared.df, result_dir), result_pages(results, pages, prepared.df, result_dir)
 

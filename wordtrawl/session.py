@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -143,3 +145,20 @@ def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder next to the checkpoints, on storage that all executors share."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/wordtrawl-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever storage it lies."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder that is gone at the end of the block, whether it ends well or not."""
+    folder = scratch_folder(spark)
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)

@@ -10,18 +10,19 @@ from wordtrawl.session import Pinned, pin, prune_to_keys
 
 
 def fetch_result_pages(results: DataFrame | Pinned, pages: DataFrame) -> DataFrame:
-    """Add the page ``content`` of each hit, by ``seq``.
+    """Add the page ``content`` of each hit, by ``seq``, and by ``segment`` if the results have one.
 
     Few hits are pushed into the scan of the pages as IN lists, which skips row groups of a table and files of a crawl tree,
     and are broadcast. More hits than can be at hand are joined by key; a filter on the hits' keys then runs before any
     content is moved, so what moves are the pages asked for.
     """
     results = pin(results)
-    narrow = prune_to_keys(pages.select("seq", "content"), results, "seq")
+    keys = ["seq", "segment"] if "segment" in results.df.columns else ["seq"]
+    narrow = prune_to_keys(pages.select(*keys, "content"), results, "seq")
     if results.rows is None:
-        wanted = results.df.select("seq").distinct()
-        narrow = narrow.join(wanted, "seq", "left_semi")
-    return narrow.join(results.df, "seq")
+        wanted = results.df.select(*keys).distinct()
+        narrow = narrow.join(wanted, keys, "left_semi")
+    return narrow.join(results.df, keys)
 
 
 def result_pages(results: DataFrame | Pinned, pages: DataFrame, queries: DataFrame | None, result_dir: str = RESULT_DIR) -> DataFrame:
