@@ -179,9 +179,10 @@ def _store_segment(
         index_store.write_docs(_docs(stored, pages), f"{path}/docs")
 
         # How often a term occurs, and in how many pages: nearly what the kept pages will have, and enough to plan by.
-        words = stored.select(F.explode("tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"))
-        pages_of = stored.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("pages"))
-        words.join(pages_of, "term").write.parquet(f"{scratch}/words")
+        ranked = stored.select(F.sort_array("tokens").alias("t"))
+        first = F.transform("t", lambda term, i: F.struct(term.alias("term"), (~F.get("t", i - 1).eqNullSafe(term)).cast("int").alias("new")))
+        words = ranked.select(F.inline(first)).groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"), F.sum("new").alias("pages"))
+        words.write.parquet(f"{scratch}/words")
         words = spark.read.parquet(f"{scratch}/words")
         layouts = [
             plan_layout(words, "term", weight, n_docs, start, rows_per_file, files_per_range or index_store.FILES_PER_RANGE)
