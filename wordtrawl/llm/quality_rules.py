@@ -114,33 +114,35 @@ def totals(counts: DataFrame, buckets: int = BUCKETS) -> tuple[list[int], list[i
 
 
 def _table(counts: list[int]) -> Column:
-    return F.split(F.lit(",".join(map(str, counts))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, counts))), ",").cast("array<double>")
 
 
 def mean_ratio(grams: Column, own_trust: Column, corpus: list[int], trusted: list[int], smoothing: float = SMOOTHING) -> Column:
     """Mean log(trusted / all) over the n-grams of a text, with the text itself left out of both counts."""
-    all_counts, good_counts = _table(corpus), _table(trusted)
+    every, good = _table(corpus), _table(trusted)
     n_corpus, n_trusted = F.lit(sum(corpus)), F.lit(sum(trusted))
 
     def over_runs(ranked):
         size = F.size(ranked)
         others = n_corpus - size
         share = F.when(others > 0, (n_trusted - own_trust * size) / others).otherwise(F.lit(0.0))
+        starts = F.array_compact(F.transform(ranked, lambda b, i: F.when(b.eqNullSafe(F.get(ranked, i - 1)), F.lit(None)).otherwise(i)))
 
-        def starts_of(run):
-            return F.filter(F.sequence(F.lit(0), size - 1), lambda i: F.coalesce(F.get(run, i) != F.get(run, i - 1), F.lit(True)))
+        def bucket_runs(starts):
+            # What a later step needs more than once is worked out once: a lambda would compute it at each mention.
+            times = lambda start, k: (F.coalesce(F.get(starts, k + 1), size) - start).cast("double")
+            return F.transform(starts, lambda start, k: F.struct(F.get(ranked, start).alias("b"), times(start, k).alias("m")))
 
-        def term(starts):
-            def one(start, k):
-                times = F.coalesce(F.get(starts, k + 1), size) - start
-                bucket = F.get(ranked, start)
-                good = F.get(good_counts, bucket) - own_trust * times
-                every = (F.get(all_counts, bucket) - times) * share
-                return times * F.log((good + smoothing) / (every + smoothing))
+        def total(fixed):
+            def add(sum_, run):
+                above = F.get(good, run["b"]) - fixed["trust"] * run["m"] + F.lit(smoothing)
+                below = (F.get(every, run["b"]) - run["m"]) * fixed["share"] + F.lit(smoothing)
+                return sum_ + run["m"] * F.log(above / below)
 
-            return F.aggregate(F.transform(starts, one), F.lit(0.0), lambda a, x: a + x) / size
+            return F.aggregate(let(starts, bucket_runs), F.lit(0.0), add) / size
 
-        return F.when(size > 0, let(starts_of(ranked), term)).otherwise(F.lit(0.0))
+        fixed = F.struct(share.alias("share"), own_trust.cast("double").alias("trust"))
+        return F.when(size > 0, let(fixed, total)).otherwise(F.lit(0.0))
 
     return let(F.sort_array(grams), over_runs)
 
