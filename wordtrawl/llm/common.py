@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import zipfile
@@ -22,6 +23,8 @@ BROADCAST_BYTES = 48 * 1024 * 1024
 ROW_BYTES = 48
 
 BATCH_ROWS = 500
+#: Doubles of an array that travel in one row: a batch of rows is 32 MB at most.
+SLICE = 8192
 
 _SHIPPED: set[str] = set()
 
@@ -75,25 +78,40 @@ def small_or_shuffled(ids: DataFrame) -> DataFrame:
 def summed(df: DataFrame, partial: Callable, length: int) -> np.ndarray:
     """Add up an array of doubles of fixed ``length`` that ``partial`` makes of each partition's pandas batches.
 
-    The arrays of the partitions meet in sixteen tasks first, so the driver adds at most sixteen. The number of a partition
-    decides where its array goes, so a task that runs again sends it to the same place.
+    The arrays travel in slices of ``SLICE`` doubles. They meet in ``sum_groups`` tasks first, which add slice by slice as
+    they come and hold one array each, however many partitions there are; the driver adds those arrays in the same way. The
+    number of a partition decides where its array goes, so a task that runs again sends it to the same place.
     """
+    groups = sum_groups(df.sparkSession)
 
-    def by_partition(batches):
-        total = partial(batches)
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % 16], "sums": [np.asarray(total, "<f8").tobytes()]})
+    def slices(total):
+        for start in range(0, length, SLICE):
+            yield start, total[start : start + SLICE].astype("<f8").tobytes()
 
-    def together(rows: pd.DataFrame) -> pd.DataFrame:
+    def added(rows):
         total = np.zeros(length)
-        for one in rows["sums"]:
-            total += np.frombuffer(one, "<f8")
-        return pd.DataFrame({"sums": [total.tobytes()]})
-
-    parts = df.mapInPandas(by_partition, "part int, sums binary").groupBy("part").applyInPandas(together, "sums binary")
-    total = np.zeros(length)
-    for row in parts.toLocalIterator():
-        total += np.frombuffer(row["sums"], "<f8")
-    return total
+        for start, one in rows:
+            found = np.frombuffer(one, "<f8")
+            total[start : start + len(found)] += found
+        return total
+
+    def by_partition(batches):
+        part = TaskContext.get().partitionId() % groups
+        for start, one in slices(np.asarray(partial(batches), float)):
+            yield pd.DataFrame({"part": [part], "start": [start], "sums": [one]})
+
+    def together(batches):
+        for start, one in slices(added(row for rows in batches for row in zip(rows["start"], rows["sums"]))):
+            yield pd.DataFrame({"start": [start], "sums": [one]})
+
+    parts = df.mapInPandas(by_partition, "part int, start int, sums binary").repartition(groups, "part")
+    parts = parts.mapInPandas(together, "start int, sums binary")
+    return added((row["start"], row["sums"]) for row in parts.toLocalIterator())
+
+
+def sum_groups(spark: SparkSession) -> int:
+    """Tasks that add up the arrays of all partitions: the square root of the shuffle partitions, sixteen at least."""
+    return max(16, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def labels_of(labels: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
