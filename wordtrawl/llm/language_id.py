@@ -6,13 +6,17 @@ frequency, normalised to length 1. Document frequencies are summed over all trai
 language come from spherical k-means over a sample of at most ``SAMPLE`` texts of each language (those with the smallest
 hash of their id, one text of each id). A text gets the language of the centroid with the largest cosine; it is rejected
 if that cosine is below ``SHARE`` of the one which all but a hundredth of the language's sampled texts reach with as
-many distinct trigrams. For this the sampled texts are cut to the beginnings with 1, 2, 4, ... distinct buckets, within
-their first ``HEAD`` trigrams; a text is held to the largest such number it has. So few trigrams have a loose limit and
-many a strict one, and repeating a short text does not make it a long one. A number that no sampled text reaches has the
-limit of the one below it.
+many distinct trigrams. For this the sampled texts are cut to the beginnings with 1, 2, 4, ... distinct buckets; a text
+is held to the largest such number it has. So few trigrams have a loose limit and many a strict one, and repeating a
+short text does not make it a long one. A number that no sampled text reaches has the limit of the one below it.
+
+A task each learns the centroids of a language, from counts whose size does not depend on the lengths of the texts; the
+driver gets ``CENTROIDS`` vectors a language and at most ``SIZES`` cosines a sampled text.
 
 Defined cases: a null text or one without any letter is ``und`` with score 0 and is rejected; rows without a language are
-not learnt from; without any training text everything is ``und``.
+not learnt from; of rows with the same id and language one is sampled, and any other repeated row counts as often as it
+occurs; very long texts count whole; with equal cosines the language first in order wins; without any training text, as
+from an empty table, everything is ``und``. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordtrawl.llm.common import ship, summed
+from wordtrawl.llm.common import ship, small_or_shuffled, stored, summed
 
 DIMENSIONS = 4096
 CENTROIDS = 4
@@ -33,8 +37,6 @@ CENTROIDS = 4
 SAMPLE = 250
 SLICES = 32
 SHARE = 0.8
-#: Trigrams of a sampled text from which the limits are made.
-HEAD = 8192
 #: Powers of two up to ``DIMENSIONS`` distinct buckets.
 SIZES = DIMENSIONS.bit_length()
 UNKNOWN = "und"
@@ -94,10 +96,30 @@ def beginnings(buckets: np.ndarray) -> np.ndarray:
     return np.array([np.bincount(buckets[:end], minlength=DIMENSIONS) for end in ends]).reshape(-1, DIMENSIONS)
 
 
+def packed_beginnings(buckets: np.ndarray) -> bytes:
+    """``beginnings`` as (row, bucket, count) triples: fewer than 2 * ``DIMENSIONS``, however long the text."""
+    rows = beginnings(buckets)
+    row, bucket = np.nonzero(rows)
+    return np.stack([row, bucket, rows[row, bucket]]).astype("<i4").tobytes()
+
+
+def unpacked_beginnings(packed: bytes) -> np.ndarray:
+    row, bucket, count = np.frombuffer(packed, "<i4").reshape(3, -1)
+    rows = np.zeros((row.max(initial=-1) + 1, DIMENSIONS), np.int64)
+    rows[row, bucket] = count
+    return rows
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Rows of counts as vectors of length 1."""
+    v = np.log1p(counts, dtype=np.float32) * idf
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     idf: np.ndarray
@@ -107,10 +129,6 @@ class LanguageModel:
     #: Largest distance by language and ``size_of`` a text.
     limits: np.ndarray
 
-    def vectors(self, counts: np.ndarray) -> np.ndarray:
-        v = np.log1p(counts, dtype=np.float32) * self.idf
-        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, scores, and whether each text is rejected."""
         names, scores, rejected = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
@@ -118,7 +136,7 @@ class LanguageModel:
         for start in range(0, len(known), 64):
             block = known[start : start + 64]
             counts = np.stack([trigram_counts(texts[i]) for i in block])
-            cosines = self.vectors(counts) @ self.centroids.T
+            cosines = weighted(counts, self.idf) @ self.centroids.T
             best = cosines.argmax(axis=1)
             top = np.clip(cosines[np.arange(len(block)), best], 0, 1)
             for i, b in zip(block, best):
@@ -143,14 +161,10 @@ def spherical_means(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray
     return centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
 
 
-def limits_of(model: LanguageModel, heads: list[np.ndarray], own: np.ndarray) -> np.ndarray:
-    """Largest distance of each size, from the beginnings of the sampled texts of one language and its centroids."""
-    cosines: list[list[float]] = [[] for _ in range(SIZES)]
-    for head in heads:
-        for k, cosine in enumerate((model.vectors(beginnings(head)) @ own.T).max(axis=1)):
-            cosines[k].append(cosine)
-    least = [np.quantile(found, 0.01) if found else 0.0 for found in cosines]
-    return 1 - SHARE * np.maximum.accumulate(least)
+def limits_of(found: list[np.ndarray]) -> np.ndarray:
+    """Largest distance of each size, from the cosines that the ``beginnings`` of a language's sampled texts reach."""
+    cosines = [[of[k] for of in found if len(of) > k] for k in range(SIZES)]
+    return 1 - SHARE * np.maximum.accumulate([np.quantile(of, 0.01) if of else 0.0 for of in cosines])
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> LanguageModel:
@@ -179,33 +193,37 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "do
         ranked = ranked.withColumn("place", F.row_number().over(place.orderBy(*order))).filter(F.col("place") <= SAMPLE).drop("place")
     chosen = ranked.select(F.col("key").alias("chosen"), F.col("lang").alias("of"))
 
-    @F.pandas_udf("counts binary, head binary")
+    @F.pandas_udf("counts binary, starts binary")
     def vectors(texts: pd.Series) -> pd.DataFrame:
         found = [trigrams(t) if has_letter(t) else None for t in texts]
         counts = [None if b is None else np.bincount(b, minlength=DIMENSIONS).astype("<i4").tobytes() for b in found]
-        return pd.DataFrame({"counts": counts, "head": [None if b is None else b[:HEAD].astype("<u2").tobytes() for b in found]})
-
-    # At most SAMPLE keys a language: small enough to broadcast whatever the input. Of the rows of a key one is kept, with
-    # letters if there is one, so that no more than SAMPLE rows a language are collected.
-    sample = rows.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("chosen")) & (F.col("lang") == F.col("of")), "left_semi")
+        return pd.DataFrame({"counts": counts, "starts": [None if b is None else packed_beginnings(b) for b in found]})
+
+    def learnt(texts: pd.DataFrame) -> pd.DataFrame:
+        texts = texts.sort_values(["key", "counts"], kind="stable")
+        own = spherical_means(weighted(np.stack([np.frombuffer(c, "<i4") for c in texts["counts"]]), idf), CENTROIDS)
+        own = own.astype("<f4")
+        cosines = [(weighted(unpacked_beginnings(s), idf) @ own.T).max(axis=1).astype(float) for s in texts["starts"]]
+        centroid = [one.tobytes() for one in own] + [None] * (len(texts) - len(own))
+        return pd.DataFrame({"lang": texts["lang"], "place": range(len(texts)), "cosines": cosines, "centroid": centroid})
+
+    # At most SAMPLE keys a language. Of the rows of a key one is kept, with letters if there is one, so that a task gets no
+    # more than SAMPLE rows of a language.
+    chosen = small_or_shuffled(stored(chosen))
+    sample = rows.join(chosen, F.col("key").eqNullSafe(F.col("chosen")) & (F.col("lang") == F.col("of")), "left_semi")
     one = F.min(F.struct((~F.col("body").rlike(r"\p{L}")).alias("bare"), F.xxhash64("body").alias("hash"), "body"))
     sample = sample.groupBy("lang", "key").agg(one.alias("one")).withColumn("body", F.col("one.body"))
-    sample = sample.select("lang", "key", vectors("body").alias("x")).select("lang", "key", "x.*")
-    sample = sample.filter("counts is not null").toPandas()
-    sample = sample.sort_values(["lang", "key"], kind="stable")
-    languages = tuple(sorted(sample["lang"].unique()))
-    model = LanguageModel(idf, languages, np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros((0, SIZES)))
-    centroids, owner, limits = [], [], []
-    for i, name in enumerate(languages):
-        texts = sample[sample["lang"] == name]
-        v = model.vectors(np.stack([np.frombuffer(c, "<i4") for c in texts["counts"]]))
-        own = spherical_means(v, CENTROIDS)
-        centroids.append(own)
-        owner += [i] * len(own)
-        limits.append(limits_of(model, [np.frombuffer(h, "<u2") for h in texts["head"]], own))
+    sample = sample.select("lang", "key", vectors("body").alias("x")).select("lang", "key", "x.*").filter("counts is not null")
+    # A row per sampled text: the cosines of its beginnings, and in the first rows of a language a centroid each.
+    found = sample.groupBy("lang").applyInPandas(learnt, "lang string, place int, cosines array<double>, centroid binary")
+    found = found.toPandas().sort_values(["lang", "place"], kind="stable")
+    languages = tuple(sorted(found["lang"].unique()))
     if not languages:
-        return model
-    return LanguageModel(idf, languages, np.vstack(centroids).astype(np.float32), np.array(owner), np.array(limits))
+        return LanguageModel(idf, (), np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros((0, SIZES)))
+    limits = np.array([limits_of([np.asarray(c) for c in found["cosines"][found["lang"] == name]]) for name in languages])
+    held = found[found["centroid"].notna()]
+    centroids = np.stack([np.frombuffer(c, "<f4") for c in held["centroid"]])
+    return LanguageModel(idf, languages, centroids, np.searchsorted(languages, held["lang"]), limits)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
