@@ -486,3 +486,52 @@ def test_scores_equal_a_plain_gradient(spark):
         bias -= url_filter.RATE * moved
     assert math.isclose(got.bias, bias, rel_tol=1e-9)
     assert np.allclose([got.weights[f] for f in weights], list(weights.values()), rtol=1e-9, atol=1e-12)
+
+
+# Sums and samples at size ----------------------------------------------------------------------------------------------
+
+
+def test_sums_travel_in_slices_and_meet_in_streams(spark, monkeypatch):
+    monkeypatch.setattr(common, "SLICE", 3)
+    rows = spark.range(0, 500, 1, 50)
+    total = common.summed(rows, lambda batches: np.full(8, sum(float(b["id"].sum()) for b in batches)) * np.arange(8), 8)
+    assert total.tolist() == [499 * 250 * i for i in range(8)]
+    assert common.summed(rows.filter("id < 0"), lambda batches: np.zeros(2) + sum(len(b) for b in batches), 2).tolist() == [0, 0]
+
+
+def test_beginnings_of_the_whole_text_survive_packing():
+    buckets = np.concatenate([np.zeros(9000, int), np.arange(1, 70)])
+    rows = language_id.unpacked_beginnings(language_id.packed_beginnings(buckets))
+    assert (rows == language_id.beginnings(buckets)).all() and len(rows) == 7 and rows[1:, 0].tolist() == [9000] * 6
+    assert language_id.unpacked_beginnings(language_id.packed_beginnings(np.zeros(0, int))).shape == (0, language_id.DIMENSIONS)
+
+
+def test_language_equals_plain_nearest_centroid(spark):
+    rows = language_rows()
+    model = language_id.fit(odd.documents(spark, rows))
+    present = np.stack([language_id.trigram_counts(t) > 0 for _, t, _ in rows])
+    idf = np.log((1 + len(rows)) / (1 + present.sum(axis=0))) + 1
+    assert np.allclose(model.idf, idf, atol=1e-5)
+    for _, text, _ in rows[::7]:
+        v = np.log1p(language_id.trigram_counts(text)) * idf
+        cosines = model.centroids @ v / np.linalg.norm(v)
+        name, score, _ = model.predict([text])
+        assert name == [model.languages[model.owner[cosines.argmax()]]] and abs(score[0] - cosines.max()) < 1e-5
+
+
+def test_many_languages_are_learnt_in_tasks(spark):
+    rows = [(i, f"word{chr(97 + i % 26)} {'abcdefgh'[i % 8] * 5} {i}", f"l{i % 90:02}") for i in range(180)]
+    model = language_id.fit(odd.documents(spark, rows))
+    assert len(model.languages) == 90 and model.centroids.shape == (180, language_id.DIMENSIONS)
+    assert model.owner.tolist() == [i // 2 for i in range(180)] and model.limits.shape == (90, language_id.SIZES)
+
+
+def test_toxicity_sample_is_bounded_in_words(spark):
+    size = {0: 1, 1: 20, 2: 2, 3: 2, 4: 2}
+    rows = spark.createDataFrame([(k, k % 2, bytes(8 * n)) for k, n in size.items()], "key int, y int, words binary")
+    kept = toxicity.within_words(rows, (F.col("key"),), 64).collect()
+    assert sorted(r.key for r in kept) == [0, 2, 3, 4]
+    assert sorted(r.key for r in toxicity.within_words(rows, (F.col("key"),), 640).collect()) == [0, 1, 2, 3, 4]
+    many = spark.range(100).select("id", F.lit(1).alias("y"), F.lit(bytes(80)).alias("words")).withColumnRenamed("id", "key")
+    few = toxicity.within_words(many, (F.col("key").desc(),), 325).collect()
+    assert sorted(r.key for r in few) == list(range(68, 100))
