@@ -125,8 +125,11 @@ def page_text(html: str) -> str:
     return text
 
 
-def treebank(text: str) -> str:
-    """Spaces go where words end; then split, keep what has a letter or digit, lower-case."""
+def treebank(text: str, abbreviations: str | None = None) -> str:
+    """Spaces go where words end; then split, keep what has a letter or digit, lower-case.
+
+    Words of the list ``abbreviations`` have a private character for their period meanwhile, but for the last of a text.
+    """
     closers = "[\\])}>\"''»”’]*"
     boundary = f"([^.\\s])\\.({closers}\\s+[\"''(\\[{{<«“‘]*[\\p{{Lu}}\\p{{Nd}}])"
     steps = [
@@ -152,12 +155,33 @@ def treebank(text: str) -> str:
         ("(?i)( )(''t)(is|was)\\b", "\\1\\2 \\3"),
     ]
     out = f"' ' || regexp_replace({text}, '[\\s\\p{{Z}}]+', ' ', 'g') || ' '"
+    if abbreviations:
+        word = "lower(regexp_extract(x, '(?:^|[^\\p{L}])(\\p{L}+(?:\\.\\p{L}+)*)\\.\\z', 1))"
+        piece = f"CASE WHEN ends_with(x, '.') AND list_contains({abbreviations}, {word}) THEN x[:-2] || chr(57344) ELSE x END"
+        out = f"array_to_string(list_transform(string_split({out}, ' '), lambda x: {piece}), ' ')"
+        out = f"regexp_replace({out}, chr(57344) || '({closers}\\s*)$', '.\\1')"
     for pattern, replacement in steps:
         out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
+    if abbreviations:
+        out = f"replace({out}, chr(57344), '.')"
     kept = f"list_filter(regexp_split_to_array({out}, '\\s+'), lambda x: regexp_matches(x, '[a-zA-Z\\p{{Nd}}]'))"
     return f"list_transform({kept}, lambda x: lower(x))"
 
 
+# Documents with a title before the capitals inside their sentences; how often words have a period behind them.
+TITLED = "titled AS (SELECT doc_id, regexp_replace(text, '([a-z,]) ([A-Z])', '\\1 Dr. \\2', 'g') AS text FROM documents)"
+PERIODS = (
+    "periods AS (SELECT rtrim(w, '.') AS word, count(*) FILTER (ends_with(w, '.') AND NOT ends_with(w, '..')) AS k, count(*) AS n FROM"
+    " (SELECT lower(unnest(regexp_extract_all(text, '\\p{L}+(?:\\.\\p{L}+)*\\.*'))) AS w FROM titled) GROUP BY 1)"
+)
+ABBREVIATIONS = (
+    "scored AS (SELECT word, k AS with_period, n - k AS without_period, 2 * ((k * ln(0.99) + (n - k) * ln(0.01)) - (k * ln(p) + (n - k) * ln(1 - p)))"
+    " * exp(-length(replace(word, '.', ''))::DOUBLE) * (1 + length(word) - length(replace(word, '.', '')))"
+    " * pow(length(replace(word, '.', ''))::DOUBLE, k - n) AS score"
+    " FROM periods, (SELECT sum(k) / sum(n) AS p FROM periods) WHERE k > 0)"
+)
+
+
 def mark(html: str, word: str) -> str:
     """One word marked in text pieces; references stand as single private characters meanwhile."""
     pattern = f"(?i)(^|[^a-zA-Z\\p{{Nd}}]+)({word})($|[^a-zA-Z\\p{{Nd}}]+)"
@@ -332,6 +356,14 @@ STATEMENTS: dict[str, str] = {
         "SELECT doc_id, array_to_string(a, ' ') AS tokens, len(a) AS n FROM (SELECT doc_id, list_transform("
         f"regexp_extract_all(text, '{WORD}|[\\x00-\\x1f\\x21-\\x7f]'), lambda x: lower(x)) AS a FROM documents)"
     ),
+    "sentence_abbreviations": with_ctes(
+        TITLED, PERIODS, ABBREVIATIONS, select="SELECT word, with_period, without_period, round(score, 6) + 0.0 AS score FROM scored"
+    ),
+    "tokens_treebank_fitted": with_ctes(
+        TITLED, PERIODS, ABBREVIATIONS,
+        select="SELECT doc_id, array_to_string(a, ' ') AS tokens, len(a) AS n FROM (SELECT doc_id, "
+        + treebank("text", "known") + " AS a FROM titled, (SELECT list(word) AS known FROM scored WHERE score >= 0.3))",
+    ),
     "tokens_treebank": f"SELECT doc_id, array_to_string(a, ' ') AS tokens, len(a) AS n FROM (SELECT doc_id, {treebank('text')} AS a FROM documents)",
     "keep_alnum": (
         "SELECT doc_id, array_to_string(list_filter(string_split(text, ' '), lambda x: regexp_matches(x, '[a-zA-Z\\p{Nd}]')), ' ') AS tokens"

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wordtrawl.functions.sentences import KEPT_PERIOD, keep_abbreviations
 from wordtrawl.functions.stemming import stem_tokens
 from wordtrawl.functions.stopwords import STOP_WORDS, is_common
 
@@ -73,17 +74,25 @@ def regex_tokenize(text: Column, include_separator: bool = False) -> Column:
     return lower_tokens(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
-def word_tokenize(text: Column) -> Column:
-    """Treebank-style split of a text into words and punctuation, case kept."""
+def word_tokenize(text: Column, abbreviations: Iterable[str] | Column = ()) -> Column:
+    """Treebank-style split of a text into words and punctuation, case kept.
+
+    ``abbreviations``, lower-case literals or an array column, keep their period within the text.
+    """
+    some = isinstance(abbreviations, Column) or (abbreviations := list(abbreviations))
     spaced = F.concat(F.lit(" "), F.regexp_replace(text, r"[\s\p{Z}]+", " "), F.lit(" "))
+    if some:
+        spaced = keep_abbreviations(spaced, abbreviations)
     for pattern, replacement in TREEBANK_STEPS:
         spaced = F.regexp_replace(spaced, pattern, replacement)
+    if some:
+        spaced = F.replace(spaced, F.lit(KEPT_PERIOD), F.lit("."))
     return F.filter(F.split(spaced, r"\s+"), lambda t: t != "")
 
 
-def treebank_tokenize(text: Column) -> Column:
+def treebank_tokenize(text: Column, abbreviations: Iterable[str] | Column = ()) -> Column:
     """``word_tokenize``, then the alphanumeric filter and lower-casing: the chain of both pages and queries."""
-    return lower_tokens(keep_alnum(word_tokenize(text)))
+    return lower_tokens(keep_alnum(word_tokenize(text, abbreviations)))
 
 
 TOKENIZERS: dict[str, Callable[[Column], Column]] = {"regex": regex_tokenize, "treebank": treebank_tokenize}
@@ -95,14 +104,18 @@ def tokenize(
     stem: bool = False,
     drop_stop_words: bool = False,
     stop_words: Iterable[str] = STOP_WORDS,
+    abbreviations: Iterable[str] | Column = (),
 ) -> Column:
     """The full token chain with its options. Null text has no tokens.
 
+    ``abbreviations`` are for ``treebank`` (see ``operators.sentences``); the regex tokeniser has no periods to keep.
+
     Stop words are tested on the final form of a token, so after stemming when both options are on.
     """
     if tokenizer not in TOKENIZERS:
         raise ValueError(f"unknown tokenizer {tokenizer!r}; choose from {sorted(TOKENIZERS)}")
-    tokens = TOKENIZERS[tokenizer](F.coalesce(text, F.lit("")))
+    fitted = {"abbreviations": abbreviations} if tokenizer == "treebank" else {}
+    tokens = TOKENIZERS[tokenizer](F.coalesce(text, F.lit("")), **fitted)
     if stem:
         tokens = stem_tokens(tokens)
     if drop_stop_words:
