@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import odd
@@ -145,14 +146,60 @@ def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
 
 
 def test_passes_shorten_the_prefix_until_the_recall(spark, monkeypatch):
-    """Pairs near the threshold are missed by whole labels at times; the second pass finds them."""
+    """Pairs near the threshold are missed by whole labels at times; shorter prefixes, one minimum less each, find them."""
     depths = []
     whole = jaccard_join.matched
     monkeypatch.setattr(jaccard_join, "matched", lambda *a: depths.append(a[2]) or whole(*a))
     rows = [(i, odd.prose(i, 100)) for i in range(150)] + [(1000 + i, changed(odd.prose(i, 100), i, 2)) for i in range(150)]
     got, want = joined(spark, rows), brute_join(rows)
-    assert depths[0] == jaccard_join.DEPTH and len(depths) == 2 and depths[1] < depths[0]
-    assert sum(links for *_, links in got) >= 0.99 * sum(links for *_, links in want)
+    assert len(depths) > 1 and depths == list(range(jaccard_join.DEPTH, depths[-1] - 1, -1))
+    assert jaccard_join.found_share(0.8, depths[-1]) >= 0.998
+    assert sum(links for *_, links in got) >= 0.999 * sum(links for *_, links in want)
+
+
+def test_prefixes_are_shortened_without_any_found_link(spark, monkeypatch):
+    """Texts without a single link: the recall asked for must hold for the hardest links there could be."""
+    depths = []
+    whole = jaccard_join.matched
+    monkeypatch.setattr(jaccard_join, "matched", lambda *a: depths.append(a[2]) or whole(*a))
+    rows = [(i, odd.prose(i, 60)) for i in range(10)]
+    assert joined(spark, rows) == [(i, i, 0) for i in range(10)]
+    assert jaccard_join.found_share(0.8, depths[-1]) >= jaccard_join.RECALL > jaccard_join.found_share(0.8, depths[-1] + 1)
+
+
+def test_forest_is_sorted_and_knows_shared_prefixes(spark):
+    """Every label that shares a prefix with another says so, at all lengths; none says more, but at the ends of a task."""
+    r = np.random.default_rng(5)
+    sigs = r.integers(0, 3, (200, jaccard_join.TREES * jaccard_join.DEPTH)).astype("<u4")
+    nodes = spark.createDataFrame([(b"%03d" % i, s.tobytes()) for i, s in enumerate(sigs)], "node binary, sig binary")
+    got = {(x.tree, x.node): x.shared for x in jaccard_join.forest(nodes).collect()}
+    labels, more = sigs.reshape(200, jaccard_join.TREES, jaccard_join.DEPTH), 0
+    for tree in range(jaccard_join.TREES):
+        same = np.logical_and.accumulate(labels[:, None, tree] == labels[None, :, tree], axis=2).sum(axis=2)
+        np.fill_diagonal(same, 0)
+        for i, longest in enumerate(same.max(axis=1).tolist()):
+            assert got.get((tree, b"%03d" % i), 0) >= longest
+            more += got.get((tree, b"%03d" % i), 0) > longest
+    assert more <= 2 * 4
+
+
+def test_shared_prefixes_across_batches():
+    """Rows come in batches of any size, an empty one and single rows among them."""
+    r = np.random.default_rng(6)
+    rows = sorted((int(r.integers(0, 2)), r.integers(0, 2, jaccard_join.DEPTH).astype("<u4").tobytes(), b"%d" % i) for i in range(60))
+    table = pa.table({"tree": pa.array([x[0] for x in rows], pa.int32()), "label": [x[1] for x in rows], "node": [x[2] for x in rows]})
+    cut = [0, 0, 1, 2, 17, 18, 60]
+    for cuts in (cut, [0, 60], list(range(61))):
+        batches = [b for a, z in zip(cuts, cuts[1:]) for b in (table.slice(a, z - a).to_batches() or [table.to_batches()[0].slice(0, 0)])]
+        got = pa.Table.from_batches(list(jaccard_join.shared_prefixes(batches)))
+        assert got.drop_columns(["shared"]).to_pylist() == table.to_pylist()
+
+        def common(a, b):
+            pairs = zip(*(np.frombuffer(x[1], "<u4") for x in (a, b)))
+            return next((n for n, (x, y) in enumerate(pairs) if x != y), jaccard_join.DEPTH) if a[0] == b[0] else 0
+
+        want = [max(common(rows[i], rows[i - 1]), common(rows[i], rows[i + 1])) for i in range(1, 59)]
+        assert got.column("shared").to_pylist() == [jaccard_join.DEPTH, *want, jaccard_join.DEPTH]
 
 
 @pytest.mark.parametrize("depth", [4, 6])

@@ -1,10 +1,13 @@
 """Join of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, by a MinHash LSH forest.
 
 * Texts with equal shingle sets are one node, so copies cost one entry however many there are.
-* A node's signature has ``TREES`` labels of ``DEPTH`` minima. In each tree the nodes that share the first ``depth`` minima of
-  their label form a bucket, as under one branch of a sorted prefix trie. The first pass matches whole labels. From the
-  links that it verifies below ``SIMILARITY`` + ``BAND`` follows the share of such links a prefix of each length finds; if whole
-  labels do not reach ``RECALL``, the longest sufficient prefix is matched in a second pass, for pairs not seen before.
+* A node's signature has ``TREES`` labels of ``DEPTH`` minima. A tree is the list of its labels in sorted order, stored with the
+  longest prefix that each label shares with a neighbour: the branches of a prefix trie are runs of that list, and a label
+  takes part in a branch of length ``depth`` only if it shares so much.
+* Whole labels are matched first; then the matched prefix is shortened by one minimum at a time, for pairs not seen before,
+  until the estimated recall reaches ``RECALL``. The estimate weighs every link verified so far below ``SIMILARITY`` +
+  ``BAND`` by the chance of finding it at this length, plus one link at exactly the similarity asked for: without any evidence
+  that is the recall of the hardest links.
 * A bucket is dealt into blocks of about ``BLOCK`` nodes and worked on by pairs of blocks, so that no task gets a whole large
   bucket. A pair is looked at only in the first tree that it shares, and only if its signatures agree enough for the
   similarity to be possible. What remains is verified on the full shingle sets.
@@ -89,6 +92,20 @@ def found_share(similarity, depth: int):
     return 1 - (1 - similarity**depth) ** TREES
 
 
+def unfound(similarity, depth: int):
+    """Pairs expected to share no prefix of ``depth`` for each pair that shares one."""
+    return 1 / found_share(similarity, depth) - 1
+
+
+def estimated_recall(links: list[DataFrame], similarity: float, depth: int) -> float:
+    """Share of the links found by prefixes down to ``depth``, judged by those found that are hardest to find."""
+    weak, missed = 1.0, unfound(similarity, depth)
+    for one in links:
+        sums = one.agg(F.sum("weak"), F.sum(F.get("missed", F.lit(depth - 1)))).first()
+        weak, missed = weak + (sums[0] or 0), missed + (sums[1] or 0.0)
+    return weak / (weak + missed)
+
+
 def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
     """(key, node, sig) of every row, stored; the node is a hash of the shingle set, null for an empty one."""
     ship(docs.sparkSession)
@@ -108,6 +125,50 @@ def signed(docs: DataFrame, text: str, key: str) -> DataFrame:
     return stored(rows.mapInArrow(sign, f"key {key_type}, node binary, sig binary"))
 
 
+def shared_prefixes(batches):
+    """Add to sorted (tree, label, node) the longest prefix, in minima, that a label shares with the one before or after.
+
+    The neighbours of a task's first and last row are in other tasks, so these two count as sharing all.
+    """
+
+    def measured(rows: pa.Table, left: int, right: int | None) -> np.ndarray:
+        labels = np.frombuffer(b"".join(rows.column("label").to_pylist()), "<u4").reshape(-1, DEPTH)
+        trees = rows.column("tree").to_numpy()
+        same = (labels[1:] == labels[:-1]) & (trees[1:] == trees[:-1])[:, None]
+        between = np.logical_and.accumulate(same, axis=1).sum(axis=1)
+        return np.maximum(np.append(left, between), np.append(between, 0 if right is None else right))
+
+    # The last row of a batch waits for the next batch, and is put before it.
+    waiting, left = None, DEPTH
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+        found = measured(rows, left, None)
+        waiting, left = rows.slice(rows.num_rows - 1), int(found[-1]) if rows.num_rows > 1 else left
+        ready = rows.slice(0, rows.num_rows - 1).append_column("shared", pa.array(found[:-1], pa.int32()))
+        yield from ready.combine_chunks().to_batches()
+    if waiting is not None:
+        yield from waiting.append_column("shared", pa.array([DEPTH], pa.int32())).combine_chunks().to_batches()
+
+
+def forest(nodes: DataFrame) -> DataFrame:
+    """(tree, label, node, shared): the sorted labels of all trees of nodes (node, sig), stored.
+
+    Labels that share not even one minimum with another are left out: no prefix of theirs matches.
+    """
+    width = 4 * DEPTH
+    labels = F.transform(
+        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * width + 1, F.lit(width)).alias("label")),
+    )
+    order = "tree", "label", "node"
+    places = nodes.select("node", F.inline(labels)).select(*order)
+    places = places.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(places.mapInArrow(shared_prefixes, "tree int, label binary, node binary, shared int").filter("shared > 0"))
+
+
 def candidate_pairs(sigs: np.ndarray, tree: int, depth: int, before: int | None, similarity: float) -> np.ndarray:
     """Matrix of the pairs of a bucket that are first met in this tree and could be similar enough."""
     labels = sigs.reshape(len(sigs), TREES, DEPTH)
@@ -181,18 +242,16 @@ def _candidates(run: pa.Table, depth: int, before: int | None, similarity: float
     return ok
 
 
-def matched(nodes: DataFrame, docs: DataFrame, depth: int, before: int | None, similarity: float, text: str, key: str) -> DataFrame:
-    """(node, root, links, weak, missed): one pass of the forest over nodes (node, rep, n, sig), stored.
+def matched(
+    trees: DataFrame, nodes: DataFrame, depth: int, before: int | None, docs: DataFrame, similarity: float, text: str, key: str
+) -> DataFrame:
+    """(node, root, links, weak, missed): what prefixes of length ``depth`` match among nodes (node, rep, n, sig), stored.
 
-    ``links`` counts rows linked to a row of the node; ``weak`` are links below ``similarity`` + ``BAND`` and ``missed`` what
-    a prefix of each length would be expected to miss of them.
+    ``links`` counts rows linked to a row of the node; ``weak`` are links below ``similarity`` + ``BAND`` and ``missed``, for a
+    prefix of each length, how many links go unfound for those that are found.
     """
-    width = 4 * DEPTH
-    trees = F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda t: F.struct(t.alias("tree"), F.xxhash64(t, F.substring(F.col("sig"), t * width + 1, F.lit(4 * depth))).alias("bucket")),
-    )
-    places = nodes.select("node", F.inline(trees))
+    branch = F.xxhash64("tree", F.substring("label", 1, 4 * depth)).alias("bucket")
+    places = trees.filter(F.col("shared") >= depth).select("node", "tree", branch)
     shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     members = places.join(shared, "bucket").withColumn("blocks", blocks)
@@ -260,9 +319,7 @@ def matched(nodes: DataFrame, docs: DataFrame, depth: int, before: int | None, s
                 out[1].append(node[root[i]])
                 out[2].append(int(n[linked[i]].sum()))
                 out[3].append(int(weak[i].sum()))
-                # A found link stands for 1 / (share found) links.
-                weight = 1 / found_share(ratio[i][weak[i]], depth)
-                out[4].append([float((weight * (1 - found_share(ratio[i][weak[i]], d))).sum()) for d in range(1, DEPTH + 1)])
+                out[4].append([float(unfound(ratio[i][weak[i]], d).sum()) for d in range(1, DEPTH + 1)])
         types = pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64())
         names = "node", "root", "links", "weak", "missed"
         return pa.table({name: pa.array(values, t) for name, values, t in zip(names, out, types)})
@@ -301,13 +358,11 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
     known = rows.filter("node is not null")
     nodes = known.groupBy("node").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n"), F.any_value("sig").alias("sig"))
     nodes = stored(nodes)
-    found = [matched(nodes, docs, DEPTH, None, similarity, text, key)]
-    sums = found[0].agg(F.sum("weak").alias("weak"), *[F.sum(F.get("missed", F.lit(d))).alias(f"m{d}") for d in range(DEPTH)]).first()
-    if sums["weak"]:
-        total = sums["weak"] + sums[f"m{DEPTH - 1}"]
-        depth = max((d for d in range(1, DEPTH + 1) if 1 - sums[f"m{d - 1}"] / total >= recall), default=1)
-        if depth < DEPTH:
-            found.append(matched(nodes, docs, depth, DEPTH, similarity, text, key))
+    trees, found = forest(nodes), []
+    for depth in range(DEPTH, 0, -1):
+        found.append(matched(trees, nodes, depth, depth + 1 if found else None, docs, similarity, text, key))
+        if estimated_recall(found, similarity, depth) >= recall:
+            break
     links = reduce(DataFrame.union, found)
     group = classes(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
     links = links.groupBy("node").agg(F.sum("links").alias("links"))
