@@ -152,6 +152,18 @@ def stem_word(word: Column) -> Column:
     return _let(F.regexp_replace(word, "[’‘‛]", "'"), stem)
 
 
-def stem_tokens(tokens: Column) -> Column:
-    """Stem every token of the token arrays."""
-    return F.transform(tokens, stem_word)
+def stems_slot(word: Column, slots: int | Column) -> Column:
+    """Place of a word in a table of known stems."""
+    return F.pmod(F.hash(word), slots if isinstance(slots, Column) else F.lit(slots))
+
+
+def stem_tokens(tokens: Column, known: Column | None = None) -> Column:
+    """Stem every token of the token arrays; words in ``known`` (see ``operators.stems``) are looked up."""
+    if known is None:
+        return F.transform(tokens, stem_word)
+
+    def looked_up(table: Column) -> Column:
+        stem = lambda w: F.try_element_at(F.get(table, stems_slot(w, F.size(table))), w)
+        return F.transform(tokens, lambda w: F.coalesce(stem(w), stem_word(w)))
+
+    return _let(known, looked_up)
