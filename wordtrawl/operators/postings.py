@@ -2,45 +2,126 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordtrawl.functions.tokens import bigrams
-
 BLOCK_DOCS = 16_384
+#: Tokens that are sorted at once; a longer document is a slice of its own.
+SLICE_TOKENS = 1 << 19
+#: Columns of planned places: the part of the table, and its range of keys.
+PLACE, PLACE_RANGE = "_place", "_range"
 
 
-def _postings(docs: DataFrame, grams: Column, *keys: str) -> DataFrame:
-    """Group the grams of each document where they are: sort (gram, position), cut at the changes, one row per run.
+def _sorted_slices(width: int) -> Callable:
+    """Function from Arrow batches (doc_id, tokens) to the grams of ``width`` tokens of some documents, in order.
 
-    Everything happens inside a row, so building postings needs no shuffle and knows no hot term.
+    A slice is (words, codes, doc, bounds, ids, positions): ascending words, a row per (gram, document) as its words' numbers
+    and its document's, sorted by them, the bounds of its positions, and the slice's ids. Sorted slices make the rows of a
+    word neighbours, which packs them well in a shuffle, and give the sort after it runs to merge.
     """
-    runs = docs.filter(F.size("tokens") > 1 if len(keys) > 1 else F.size("tokens") > 0).select(
-        "doc_id", F.sort_array(F.transform(grams, lambda gram, pos: F.struct(gram.alias("gram"), pos.alias("pos")))).alias("run")
-    )
-    changes = F.filter(
-        F.sequence(F.lit(0), F.size("run") - 1),
-        lambda i: (i == 0) | (F.get("run", i)["gram"] != F.get("run", i - 1)["gram"]),
-    )
-    runs = runs.select("doc_id", "run", changes.alias("starts"))
-
-    def posting(start: Column, n: Column) -> Column:
-        length = F.coalesce(F.get("starts", n + 1), F.size("run")) - start
-        return F.struct(F.get("run", start)["gram"].alias("gram"), F.slice("run", start + 1, length)["pos"].alias("positions"))
-
-    rows = runs.select("doc_id", F.inline(F.transform("starts", posting)))
-    names = [F.col("gram").alias(keys[0])] if len(keys) == 1 else [F.col("gram")[k].alias(k) for k in keys]
-    return rows.select(*names, "doc_id", F.size("positions").alias("tf"), "positions")
 
-
-def unigram_postings(docs: DataFrame) -> DataFrame:
-    """(term, doc_id, tf, positions) with ascending positions."""
-    return _postings(docs, F.col("tokens"), "term")
-
-
-def bigram_postings(docs: DataFrame) -> DataFrame:
-    """(t1, t2, doc_id, tf, positions); a position is the ordinal of the left token."""
-    return _postings(docs, bigrams(F.col("tokens")), "t1", "t2")
+    def slices(batches):
+        for batch in batches:
+            ids, lists = batch.column("doc_id"), batch.column("tokens")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, at = np.cumsum(sizes), 0
+            while at < len(sizes):
+                limit = (ends[at - 1] if at else 0) + SLICE_TOKENS
+                to = max(at + 1, int(np.searchsorted(ends, limit, "right")))
+                own, n_docs = sizes[at:to], to - at
+                found = lists.slice(at, n_docs).flatten().dictionary_encode(null_encoding="encode")
+                ranked = pc.sort_indices(found.dictionary, null_placement="at_start").to_numpy()
+                words = found.dictionary.take(pa.array(ranked))
+                rank = np.empty(len(ranked), np.int64)
+                rank[ranked] = np.arange(len(ranked))
+                gram = rank[found.indices.to_numpy()]
+                doc = np.repeat(np.arange(n_docs), own)
+                position = np.arange(len(gram)) - np.repeat(np.cumsum(own) - own, own)
+                if width == 2:
+                    left = np.flatnonzero(doc[1:] == doc[:-1])
+                    gram, doc, position = gram[left] * len(words) + gram[left + 1], doc[left], position[left]
+                n = max(1, len(gram))
+                if len(words) ** width * n < 1 << 62:  # the gram and its place in one number sort several times faster
+                    gram, order = np.divmod(np.sort(gram * n + np.arange(len(gram))), n)
+                else:
+                    order = np.argsort(gram, kind="stable")
+                    gram = gram[order]
+                doc = doc[order]
+                changes = np.flatnonzero((gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])) + 1
+                bounds = np.concatenate([np.zeros(min(1, len(gram)), np.int64), changes, [len(gram)]])
+                first = bounds[:-1]
+                codes = list(divmod(gram[first], len(words))) if width == 2 else [gram[first]]
+                if len(first):
+                    yield words, codes, doc[first], bounds, ids.slice(at, n_docs), position[order]
+                at = to
+
+    return slices
+
+
+def _postings(docs: DataFrame, keys: tuple[str, ...], points: list[tuple[str, int]] | None, ranges: tuple[str, ...]) -> DataFrame:
+    """Group the grams of each document where they are, a slice of documents at a time, one row per gram and document.
+
+    Building postings needs no shuffle and knows no hot term. With ``points`` rows say where they belong, as ``place_among``
+    does, in a look at each distinct word instead of each row.
+    """
+    slices = _sorted_slices(len(keys))
+    place, place_range = PLACE, PLACE_RANGE
+
+    def rows(batches):
+        for words, codes, doc, bounds, ids, positions in slices(batches):
+            ids = ids.take(pa.array(doc))
+            columns = {key: words.take(pa.array(code)) for key, code in zip(keys, codes)} | {
+                "doc_id": ids,
+                "tf": pa.array(np.diff(bounds).astype(np.int32)),
+                "positions": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(positions.astype(np.int32))),
+            }
+            if points is not None:
+                cut, number = [key for key, _ in points], ids.to_numpy()
+                plain = [word or "" for word in words.to_pylist()]
+                lows = np.array([bisect_left(cut, word) for word in plain])
+                highs = np.array([bisect_right(cut, word) for word in plain])
+                places = lows[codes[0]]
+                for split in np.flatnonzero(highs > lows):
+                    own = slice(*np.searchsorted(codes[0], [split, split + 1]))
+                    inner = np.array([i for _, i in points[lows[split] : highs[split]]])
+                    places[own] += np.searchsorted(inner, number[own], "right")
+                columns[place] = pa.array(places.astype(np.int32))
+                columns[place_range] = pa.array(np.array([bisect_right(ranges, word) for word in plain], np.int32)[codes[0]])
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    schema = [*[f"{key} string" for key in keys], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "tf int", "positions array<int>"]
+    schema += [f"{place} int", f"{place_range} int"] if points is not None else []
+    return docs.select("doc_id", "tokens").mapInArrow(rows, ", ".join(schema))
+
+
+def unigram_postings(docs: DataFrame, points: list[tuple[str, int]] | None = None, ranges: tuple[str, ...] = ()) -> DataFrame:
+    """(term, doc_id, tf, positions) with ascending positions; with ``points`` (may be empty) their places as well."""
+    return _postings(docs, ("term",), points, ranges)
+
+
+def bigram_postings(docs: DataFrame, points: list[tuple[str, int]] | None = None, ranges: tuple[str, ...] = ()) -> DataFrame:
+    """(t1, t2, doc_id, tf, positions); a position is the ordinal of the left token. Places as for unigrams."""
+    return _postings(docs, ("t1", "t2"), points, ranges)
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(term, occurrences, pages): how often a term occurs, and in how many documents; counted by slice before the shuffle."""
+    slices = _sorted_slices(1)
+
+    def counts(batches):
+        for words, codes, _, bounds, _, _ in slices(batches):
+            occurrences = np.bincount(codes[0], np.diff(bounds), len(words)).astype(np.int64)
+            columns = [words, pa.array(occurrences), pa.array(np.bincount(codes[0], minlength=len(words)))]
+            yield pa.RecordBatch.from_arrays(columns, names=["term", "occurrences", "pages"])
+
+    counted = docs.select("doc_id", "tokens").mapInArrow(counts, "term string, occurrences bigint, pages bigint")
+    return counted.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("pages").alias("pages"))
 
 
 def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:

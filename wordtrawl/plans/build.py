@@ -18,6 +18,7 @@ from wordtrawl.operators.postings import (
     merge_postings,
     unigram_postings,
     without_frequencies,
+    word_counts,
 )
 from wordtrawl.sources import index_store
 from wordtrawl.sources.index_store import Layout, SearchIndex, plan_layout
@@ -179,9 +180,7 @@ def _store_segment(
         index_store.write_docs(_docs(stored, pages), f"{path}/docs")
 
         # How often a term occurs, and in how many pages: nearly what the kept pages will have, and enough to plan by.
-        ranked = stored.select(F.sort_array("tokens").alias("t"))
-        first = F.transform("t", lambda term, i: F.struct(term.alias("term"), (~F.get("t", i - 1).eqNullSafe(term)).cast("int").alias("new")))
-        words = ranked.select(F.inline(first)).groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"), F.sum("new").alias("pages"))
+        words = word_counts(stored.select(F.col("seq").alias("doc_id"), "tokens"))
         words.write.parquet(f"{scratch}/words")
         words = spark.read.parquet(f"{scratch}/words")
         layouts = [
@@ -191,8 +190,9 @@ def _store_segment(
         if known is not None:
             layouts = [Layout(own.points, ranges) for own, ranges in zip(layouts, (known.term_ranges, known.pair_ranges))]
         tokens = _kept_tokens(stored, pages)
-        index_store.write_postings(unigram_postings(tokens), f"{path}/postings", rows_per_file, layouts[0])
-        index_store.write_bigrams(bigram_postings(tokens), f"{path}/bigrams", rows_per_file, layouts[1])
+        unigrams, bigrams = unigram_postings(tokens, layouts[0].points, layouts[0].ranges), bigram_postings(tokens, layouts[1].points, layouts[1].ranges)
+        index_store.write_postings(unigrams, f"{path}/postings", rows_per_file, layouts[0])
+        index_store.write_bigrams(bigrams, f"{path}/bigrams", rows_per_file, layouts[1])
 
     terms = doc_frequency(spark.read.schema("term string").parquet(f"{path}/postings"))
     pairs = doc_frequency(spark.read.schema("t1 string, t2 string").parquet(f"{path}/bigrams"), "t1", "t2")

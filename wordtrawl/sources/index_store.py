@@ -16,13 +16,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.operators.postings import doc_frequency
+from wordtrawl.operators.postings import PLACE, PLACE_RANGE, doc_frequency
 from wordtrawl.sources.key_ranges import KEY_RANGE, cut_points, place_among, range_keys, weighted_keys
 
 DOC_BLOCK = 10_000_000
-ROWS_PER_FILE = 20_000_000
+#: Rows that one task sorts and writes; some tens of megabytes of a shuffle, whatever the size of the index.
+ROWS_PER_FILE = 2_000_000
 #: Files that make up a key range, and so a directory.
-FILES_PER_RANGE = 32
+FILES_PER_RANGE = 320
 #: A table smaller than this times the cores is cut into fewer files than there are cores.
 ROWS_PER_CORE = 50_000
 
@@ -80,13 +81,18 @@ def parts_for(spark: SparkSession, rows: int, rows_per_file: int) -> int:
 def _write_ranged(
     table: DataFrame, path: str, keys: list[str], points: list[tuple[str, int]], ranges: tuple[str, ...], rows_per_file: int
 ) -> None:
-    """One part between two cut points of (first key, doc_id) per task, sorted, in directories by key range if there are any."""
-    place = place_among(points, F.col(keys[0]), F.col("doc_id"))
+    """One part between two cut points of (first key, doc_id) per task, sorted, in directories by key range if there are any.
+
+    A table that was built for these points brings its places along.
+    """
+    known = PLACE in table.columns
+    place = F.col(PLACE) if known else place_among(points, F.col(keys[0]), F.col("doc_id"))
     placed = table.repartitionById(len(points) + 1, place)
     order = [*keys, "doc_id"]
     if ranges:
-        placed = placed.withColumn(KEY_RANGE, place_among(list(ranges), F.col(keys[0])))
+        placed = placed.withColumn(KEY_RANGE, F.col(PLACE_RANGE) if known else place_among(list(ranges), F.col(keys[0])))
         order.insert(0, KEY_RANGE)
+    placed = placed.drop(PLACE, PLACE_RANGE)
     writer = placed.sortWithinPartitions(*order).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy(KEY_RANGE) if ranges else writer).parquet(path)
 

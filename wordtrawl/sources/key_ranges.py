@@ -1,7 +1,7 @@
 """Ranges of keys, cut by the frequencies in a dictionary instead of a sample of the rows that are to be placed.
 
 A range layout needs cut points before the first row is written. Spark would run the input once more to sample it; a dictionary
-of the keys with the number of rows of each says more, and is far smaller. Rows find their place by binary search in a literal
+of the keys with the number of rows of each says all, and is far smaller. Rows find their place by binary search in a literal
 list of cut points, which is a column expression.
 """
 
@@ -11,28 +11,36 @@ import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-#: Keys looked at per part: every key that holds so large a share of a part, and a hashed sample of the others.
+from wordtrawl.session import cut_lineage
+
+#: Steps that a part is cut in: a key as large as a step is looked at by itself, smaller neighbours together.
 KEYS_PER_PART = 20
 #: The column, and so the directory, that says which range of keys a row of a large index lies in.
 KEY_RANGE = "key_range"
-_HASHES = 1 << 30
 
 
 def weighted_keys(dictionary: DataFrame, key: str, weight: str, parts: int) -> list[tuple[str, float]]:
-    """(key, rows it stands for) in ascending order: frequent keys as they are, rarer ones sampled by hash.
+    """(key, rows it stands for) in ascending order: frequent keys as they are, rarer ones as the first of a run and its sum.
 
-    At most some ``2 * KEYS_PER_PART * parts`` keys come to the driver. The sample depends on the keys alone.
+    Runs are cut by running sums over the sorted dictionary, so the weights are exact however rows are spread over rare keys.
+    At most some ``2 * KEYS_PER_PART * parts`` keys come to the driver.
     """
-    step_of = F.sum(weight) / (KEYS_PER_PART * parts)
-    step = dictionary.agg(step_of.alias("step")).first()["step"]
+    step = dictionary.agg((F.sum(weight) / (KEYS_PER_PART * parts)).alias("step")).first()["step"]
     if not step:
         return []
-    rare = dictionary.filter(F.col(weight) < step).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    rate = min(1.0, KEYS_PER_PART * parts / rare) if rare else 1.0
-    sampled = F.pmod(F.xxhash64(key), F.lit(_HASHES)) < F.lit(int(rate * _HASHES))
-    rows = dictionary.filter((F.col(weight) >= step) | sampled).select(key, weight).collect()
-    return sorted((row[key], row[weight] if row[weight] >= step else row[weight] / rate) for row in rows)
+    keyed = dictionary.select(F.col(key).alias("k"), F.col(weight).alias("w")).filter("k IS NOT NULL")
+    placed = cut_lineage(keyed.repartitionByRange("k").select("*", F.spark_partition_id().alias("part")))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("part").agg(F.sum("w").alias("rows"))
+    offsets = offsets.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset"))
+    smaller = Window.partitionBy("part").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("below", F.coalesce(F.sum("w").over(smaller), F.lit(0))).join(F.broadcast(offsets), "part")
+    large = F.when(F.col("w") >= step, F.col("k"))
+    runs = summed.groupBy(F.floor((F.col("offset") + F.col("below")) / step).alias("run"), large.alias("large"))
+    rows = runs.agg(F.min("k").alias("k"), F.sum("w").alias("w")).collect()
+    return sorted((row["k"], row["w"]) for row in rows)
 
 
 def cut_points(weights: list[tuple[str, float]], parts: int, ids: int, first_id: int = 0) -> list[tuple[str, int]]:
