@@ -128,10 +128,12 @@ def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFram
     """(term, block, postings): postings of a term in ascending doc order, cut every ``block_docs`` document ids.
 
     The list of a term is the concatenation of its blocks. A block is bounded whatever the term's frequency.
+
+    Rows are dealt by term and block first: a list gathered in each task before the shuffle would be sorted and spilled for nothing.
     """
-    block = F.floor(F.col("doc_id") / F.lit(block_docs)).alias("block")
+    blocks = postings.withColumn("block", F.floor(F.col("doc_id") / F.lit(block_docs))).repartition("term", "block")
     posting = F.struct("doc_id", "tf", "positions")
-    return postings.groupBy("term", block).agg(F.sort_array(F.collect_list(posting)).alias("postings"))
+    return blocks.groupBy("term", "block").agg(F.sort_array(F.collect_list(posting)).alias("postings"))
 
 
 def doc_only_index(docs: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
