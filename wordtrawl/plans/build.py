@@ -102,6 +102,8 @@ def assemble_index(
     With ``known`` the pages are added to that index, whose threshold counts.
     """
     threshold = near_threshold if known is None else known.near_threshold
+    # Parsed and tokenised once: signatures, postings and documents all read this.
+    tokenized = cut_lineage(tokenized)
     pages = judge_pages(tokenized, threshold, known)
     tokens = cut_lineage(_kept_tokens(tokenized, pages))
     postings, bigrams = unigram_postings(tokens), bigram_postings(tokens)
