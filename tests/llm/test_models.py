@@ -389,6 +389,32 @@ def test_threshold_lies_in_the_best_gap():
     assert toxicity.best_threshold(np.array([0.0, 1, 2, 9, 10]), np.array([0.0, 0, 0, 1, 1])) == 5.5
 
 
+def test_toxicity_thresholds_count_all_rows_kept_apart(spark, monkeypatch):
+    """Twelve texts of either label come to the driver; the other rows still move the network or are counted."""
+    rows = toxic_rows(400)
+    docs = odd.documents(spark, [(i, t, lang) for i, t, lang, _ in rows])
+    labels = spark.createDataFrame([(i, float(bad)) for i, _, _, bad in rows], "key bigint, y double")
+    counted, learnt, refined, logits = [], [], toxicity.refined, toxicity.counted_logits
+
+    def seen(rows, network, squares, share, tasks):
+        learnt.append((rows.count(), refined(rows, network, squares, share, tasks)))
+        assert (learnt[0][1].first != network.first).any()
+        return learnt[0][1]
+
+    monkeypatch.setattr(toxicity, "refined", seen)
+    monkeypatch.setattr(toxicity, "counted_logits", lambda *a: counted.append(logits(*a)) or counted[0])
+    toxicity.fit(docs, labels, language_id.fit(docs), sample=12)
+    assert counted[0]["n"].sum() + learnt[0][0] == len(rows) and counted[0]["n"].sum() > 60
+    assert set(counted[0]["y"]) == {0, 1}
+
+
+def test_threshold_of_counted_logits():
+    values, labels, counts = np.array([0.0, 1, 1, 9]), np.array([0, 1, 0, 1]), np.array([5, 1, 50, 4])
+    assert toxicity.best_threshold(values, labels, counts) == 5.0
+    spelt = [np.repeat(x, counts) for x in (values, labels)]
+    assert toxicity.best_threshold(*spelt) == 5.0 and toxicity.best_threshold(np.zeros(2), np.array([0, 1])) == 0.0
+
+
 # URLs ------------------------------------------------------------------------------------------------------------------
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
