@@ -25,6 +25,9 @@ from wordtrawl.sources.index_store import Layout, SearchIndex, plan_layout
 from wordtrawl.sources.key_ranges import KEY_RANGE
 from wordtrawl.session import cut_lineage, owned_scratch
 
+#: Ids of kept pages that are broadcast to the token lists, some 50 bytes each. Beyond, the lists are shuffled, once.
+BROADCAST_IDS = 1 << 21
+
 
 def tokenize_pages(pages: DataFrame, sep: str = "", **token_options) -> DataFrame:
     """(seq, url, disk_loc, tokens) of HTML pages; no shuffle."""
@@ -85,9 +88,10 @@ def _kept(pages: DataFrame) -> DataFrame:
     return pages.filter("doc_id IS NOT NULL").select("seq", "doc_id")
 
 
-def _kept_tokens(tokenized: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc_id, tokens) of the kept pages."""
-    return tokenized.select("seq", "tokens").join(_kept(pages), "seq").select("doc_id", "tokens")
+def _kept_tokens(tokenized: DataFrame, pages: DataFrame, n_docs: int) -> DataFrame:
+    """(doc_id, tokens) of the kept pages; token lists are long, so they are neither shuffled without need nor sorted."""
+    ids = _kept(pages).hint("broadcast" if n_docs <= BROADCAST_IDS else "shuffle_hash")
+    return tokenized.select("seq", "tokens").join(ids, "seq").select("doc_id", "tokens")
 
 
 def _docs(tokenized: DataFrame, pages: DataFrame) -> DataFrame:
@@ -105,7 +109,8 @@ def assemble_index(
     # Parsed and tokenised once: signatures, postings and documents all read this.
     tokenized = cut_lineage(tokenized)
     pages = judge_pages(tokenized, threshold, known)
-    tokens = cut_lineage(_kept_tokens(tokenized, pages))
+    n_docs = _kept(pages).count()
+    tokens = cut_lineage(_kept_tokens(tokenized, pages, n_docs))
     postings, bigrams = unigram_postings(tokens), bigram_postings(tokens)
     own = SearchIndex(
         docs=_docs(tokenized, pages),
@@ -113,7 +118,7 @@ def assemble_index(
         bigrams=bigrams,
         terms=doc_frequency(postings),
         pairs=doc_frequency(bigrams, "t1", "t2"),
-        n_docs=_kept(pages).count(),
+        n_docs=n_docs,
         pages=pages,
         near_threshold=threshold,
     )
@@ -191,7 +196,11 @@ def _store_segment(
         ]
         if known is not None:
             layouts = [Layout(own.points, ranges) for own, ranges in zip(layouts, (known.term_ranges, known.pair_ranges))]
-        tokens = _kept_tokens(stored, pages)
+        tokens = _kept_tokens(stored, pages, n_docs)
+        if n_docs > BROADCAST_IDS:
+            # Shuffled once for both kinds of postings.
+            tokens.write.parquet(f"{scratch}/kept")
+            tokens = spark.read.schema(tokens.schema).parquet(f"{scratch}/kept")
         unigrams, bigrams = unigram_postings(tokens, layouts[0].points, layouts[0].ranges), bigram_postings(tokens, layouts[1].points, layouts[1].ranges)
         index_store.write_postings(unigrams, f"{path}/postings", rows_per_file, layouts[0])
         index_store.write_bigrams(bigrams, f"{path}/bigrams", rows_per_file, layouts[1])
