@@ -29,3 +29,13 @@ def test_query_equals_statement(spark, name):
     assert sorted(map(repr, ours.select(order).toPandas().values.tolist())) == sorted(
         map(repr, theirs.df()[order].values.tolist())
     )
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
+def test_scored_hits_lie_in_documents_of_the_rarest_term(spark):
+    """Far fewer rows than a full lookup gives, and the same documents after the AND."""
+    index = contract._index(spark, SF_DIR)
+    every, kept = (hits(spark, SF_DIR, index) for hits in (contract._hits, contract._hits_to_score))
+    assert 0 < 2 * kept.count() < every.count()
+    documents = [sorted(map(tuple, contract.matching.boolean_and(hits).collect())) for hits in (every, kept)]
+    assert documents[0] and documents[0] == documents[1]
