@@ -201,7 +201,8 @@ def _store_segment(
             # Shuffled once for both kinds of postings.
             tokens.write.parquet(f"{scratch}/kept")
             tokens = spark.read.schema(tokens.schema).parquet(f"{scratch}/kept")
-        unigrams, bigrams = unigram_postings(tokens, layouts[0].points, layouts[0].ranges), bigram_postings(tokens, layouts[1].points, layouts[1].ranges)
+        unigrams = unigram_postings(tokens, layouts[0].points, layouts[0].ranges, packed=True)
+        bigrams = bigram_postings(tokens, layouts[1].points, layouts[1].ranges, packed=True)
         index_store.write_postings(unigrams, f"{path}/postings", rows_per_file, layouts[0])
         index_store.write_bigrams(bigrams, f"{path}/bigrams", rows_per_file, layouts[1])
 

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordtrawl.operators.postings import PLACE, PLACE_RANGE, doc_frequency
+from wordtrawl.operators.postings import BLOCK, PLACE, PLACE_RANGE, doc_frequency, unpacked
 from wordtrawl.sources.key_ranges import KEY_RANGE, cut_points, place_among, range_keys, weighted_keys
 
 DOC_BLOCK = 10_000_000
@@ -83,8 +83,16 @@ def _write_ranged(
 ) -> None:
     """One part between two cut points of (first key, doc_id) per task, sorted, in directories by key range if there are any.
 
-    A table that was built for these points brings its places along.
+    A table that was built for these points brings its places along. Packed, its rows are sorted as they are unpacked; only
+    directories ask Spark for an order.
     """
+    if BLOCK in table.columns:
+        rows = unpacked(table.repartitionById(len(points) + 1, F.col(PLACE)), tuple(keys), ranges)
+        if ranges:
+            rows = rows.withColumnRenamed(PLACE_RANGE, KEY_RANGE).sortWithinPartitions(KEY_RANGE, *keys, "doc_id")
+        writer = rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+        (writer.partitionBy(KEY_RANGE) if ranges else writer).parquet(path)
+        return
     known = PLACE in table.columns
     place = F.col(PLACE) if known else place_among(points, F.col(keys[0]), F.col("doc_id"))
     placed = table.repartitionById(len(points) + 1, place)
