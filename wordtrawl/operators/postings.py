@@ -67,8 +67,14 @@ def _sorted_slices(width: int) -> Callable:
 
 
 def _in_ranges(ranges: tuple[str, ...]) -> Callable:
-    """Function from words to their key ranges; made on the driver, so that tasks need no module of this package."""
-    return lambda words: np.array([bisect_right(ranges, word or "") for word in words.to_pylist()], np.int32)
+    """Function from ascending words to their key ranges; made on the driver, so that tasks need no module of this package."""
+
+    def numbers(words):
+        plain = [word or "" for word in words.to_pylist()]
+        firsts = np.array([bisect_left(plain, key) for key in ranges], np.int64)
+        return np.searchsorted(firsts, np.arange(len(plain)), "right").astype(np.int32)
+
+    return numbers
 
 
 def _block_schema(keys: tuple[str, ...]) -> pa.Schema:
@@ -98,8 +104,10 @@ def _postings(
             if points is not None:
                 cut, number = [key for key, _ in points], ids.to_numpy()
                 plain = [word or "" for word in words.to_pylist()]
-                lows = np.array([bisect_left(cut, word) for word in plain])
-                highs = np.array([bisect_right(cut, word) for word in plain])
+                # Words are sorted: each cut is looked up among them, as there are far fewer cuts.
+                at_word, each = np.array([bisect_left(plain, key) for key in cut], np.int64), np.arange(len(plain))
+                after_word = np.array([bisect_right(plain, key) for key in cut], np.int64)
+                lows, highs = np.searchsorted(after_word, each, "right"), np.searchsorted(at_word, each, "right")
                 places = lows[codes[0]]
                 for split in np.flatnonzero(highs > lows):
                     own = slice(*np.searchsorted(codes[0], [split, split + 1]))
