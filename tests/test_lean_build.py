@@ -1,0 +1,74 @@
+"""What a build and its extensions read, shuffle and leave on the disk."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests import plain
+from wordtrawl.operators import duplicates, postings
+from wordtrawl.plans import build
+
+SCHEMA = "seq bigint, url string, disk_loc string, tokens array<string>"
+
+
+def pages(spark, numbers, url="u", word="w"):
+    rows = [(i, f"{url}{i % 30}", f"{i}", [f"{word}{(i * k) % 11}" for k in range(i % 7)]) for i in numbers]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.mark.parametrize("tokens_at_once", [1, 40, 1 << 19])
+def test_signatures_are_counted_without_a_row_a_token(spark, monkeypatch, tokens_at_once):
+    """Every token was a row of its own with 32 sums, and a build shuffled whole token lists before that."""
+    monkeypatch.setattr(duplicates, "VOTE_TOKENS", tokens_at_once)
+    lists = [[], None, ["", "a"], [None], [None, "b", None], ["é", "b"], ["a"] * 70_000 + ["b"] * 69_999, ["x", "y", "z"] * 9]
+    frame = spark.createDataFrame(list(enumerate(lists)), "seq bigint, tokens array<string>").repartition(2)
+    got = {row.seq: row.sig for row in duplicates.simhash64(frame).collect()}
+    assert got == {i: plain.simhash([t for t in tokens or [] if t is not None]) for i, tokens in enumerate(lists)}
+    twice = duplicates.simhash64(frame.union(frame.filter("seq = 5").select("seq", F.array(F.lit("q")).alias("tokens"))))
+    assert {row.seq: row.sig for row in twice.collect()} == got | {5: plain.simhash(["é", "b", "q"])}
+    plan = duplicates.simhash64(frame)._jdf.queryExecution().sparkPlan().toString()
+    assert "Generate" not in plan
+
+
+@pytest.mark.parametrize("limit", [1 << 23, 3])
+def test_pages_of_known_urls_are_not_tokenised(spark, tmp_path, monkeypatch, limit):
+    """All pages of a batch were tokenised, stored and counted, also those whose URL the index has."""
+    monkeypatch.setattr(build, "BROADCAST_IDS", limit)
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def split(text):
+        calls.add(1)
+        return text.split()
+
+    first = pages(spark, range(40))
+    rows = [(i, f"u{i}", f"{i}", f"v{i} v{i * i} common") for i in range(20, 36)] + [(90, "u35", "90", "again"), (None, "u50", "", "x")]
+    second = spark.createDataFrame(rows, "seq bigint, url string, disk_loc string, text string")
+    second = second.select("seq", "url", "disk_loc", split("text").alias("tokens"))
+    index = build.build_index(first, str(tmp_path / "0"))
+    calls.value = 0
+    grown = build.extend_index(index, second, str(tmp_path / "1"))
+    assert calls.value == 6 or limit == 3  # a join does not go below a Python function
+    whole = build.assemble_index(second.filter("seq IS NOT NULL"), known=index)
+    for table in ("docs", "postings", "bigrams", "terms", "pairs"):
+        got, expected = (getattr(i, table).drop("doc_block") for i in (grown, whole))
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
+
+
+def test_no_shuffle_file_is_left_by_a_build(spark, tmp_path):
+    """Shuffle files stayed until the driver happened to collect its garbage, one step's beside the other's."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    left = lambda: sum(manager.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(manager.getAllFiles().size()))
+    index = build.build_index(pages(spark, range(40)), str(tmp_path / "0"))
+    before, setting = left(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    configured = spark.conf.get(setting, None)
+    build.extend_index(index, pages(spark, range(100, 140), "v", "x"), str(tmp_path / "1"))
+    assert left() <= before + 6
+    assert spark.conf.get(setting, None) == configured
+
+
+def test_words_of_pages_that_fall_are_not_counted(spark):
+    frame = spark.createDataFrame([(3, ["a", "b", "a"]), (5, ["a"]), (9, ["c"]), (None, ["a"])], "doc_id bigint, tokens array<string>")
+    kept = postings.KeptPages(spark.sparkContext.broadcast(build.np.array([3, 9])), 100)
+    assert sorted(map(tuple, postings.word_counts(frame, kept).collect())) == [("a", 2, 1), ("b", 1, 1), ("c", 1, 1)]
+    none = postings.KeptPages(spark.sparkContext.broadcast(build.np.array([], "int64")), 0)
+    assert postings.word_counts(frame, none).collect() == []

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,17 +22,43 @@ PLACE, PLACE_RANGE, BLOCK = "_place", "_range", "_block"
 RUN_ROWS, SEND_ROWS = 1 << 22, 1 << 16
 
 
-def _sorted_slices(width: int) -> Callable:
+@dataclass(frozen=True)
+class KeptPages:
+    """The ascending numbers of the pages that are indexed, in every task; a page's id is its place among them from ``first`` on."""
+
+    numbers: Broadcast
+    first: int
+
+
+def _numbered(kept: KeptPages | None) -> Callable:
+    """Function from an Arrow batch (doc_id, tokens) to (ids, token lists): those of kept pages, if doc_id is a page's number."""
+    if kept is None:
+        return lambda batch: (batch.column("doc_id"), batch.column("tokens"))
+    numbers, first = kept.numbers, kept.first
+
+    def own(batch):
+        known, ids, lists = numbers.value, batch.column("doc_id"), batch.column("tokens")
+        values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.searchsorted(known, values)
+        found = known[np.minimum(at, len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+        found &= ids.is_valid().to_numpy(zero_copy_only=False)
+        return pa.array(first + at[found]), lists if found.all() else lists.filter(pa.array(found))
+
+    return own
+
+
+def _sorted_slices(width: int, kept: KeptPages | None = None) -> Callable:
     """Function from Arrow batches (doc_id, tokens) to the grams of ``width`` tokens of some documents, in order.
 
     A slice is (words, codes, doc, bounds, ids, positions): ascending words, a row per (gram, document) as its words' numbers
     and its document's, sorted by them, the bounds of its positions, and the slice's ids. Sorted slices make the rows of a
     word neighbours, which packs them well in a shuffle, and give the sort after it runs to merge.
     """
+    numbered = _numbered(kept)
 
     def slices(batches):
         for batch in batches:
-            ids, lists = batch.column("doc_id"), batch.column("tokens")
+            ids, lists = numbered(batch)
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             ends, at = np.cumsum(sizes), 0
             while at < len(sizes):
@@ -82,15 +110,16 @@ def _block_schema(keys: tuple[str, ...]) -> pa.Schema:
 
 
 def _postings(
-    docs: DataFrame, keys: tuple[str, ...], points: list[tuple[str, int]] | None, ranges: tuple[str, ...], packed: bool
-) -> DataFrame:
+    docs: DataFrame, keys: tuple[str, ...], points: list[tuple[str, int]] | None, ranges: tuple[str, ...], packed: bool,
+    kept: KeptPages | None,
+) -> DataFrame:
     """Group the grams of each document where they are, a slice of documents at a time, one row per gram and document.
 
     Building postings needs no shuffle and knows no hot term. With ``points`` rows say where they belong, as ``place_among``
     does, in a look at each distinct word instead of each row. ``packed`` gives (place, block) instead: the rows of a slice that
     belong to one place, in order, as one Arrow block, which takes a fraction of the bytes and of the time in a shuffle.
     """
-    slices = _sorted_slices(len(keys))
+    slices = _sorted_slices(len(keys), kept)
     place, place_range, block, block_schema, in_ranges = PLACE, PLACE_RANGE, BLOCK, _block_schema(keys), _in_ranges(ranges)
 
     def rows(batches):
@@ -190,25 +219,28 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
 
 
 def unigram_postings(
-    docs: DataFrame, points: list[tuple[str, int]] | None = None, ranges: tuple[str, ...] = (), packed: bool = False
-) -> DataFrame:
+    docs: DataFrame, points: list[tuple[str, int]] | None = None, ranges: tuple[str, ...] = (), packed: bool = False,
+    kept: KeptPages | None = None,
+) -> DataFrame:
     """(term, doc_id, tf, positions) with ascending positions; with ``points`` (may be empty) their places as well.
 
-    ``packed`` postings are (place, block) rows for ``write_postings``; ``unpacked`` gives their rows.
+    ``packed`` postings are (place, block) rows for ``write_postings``; ``unpacked`` gives their rows. With ``kept`` doc_id is the
+    number of a page: other pages are left out, and ids are given.
     """
-    return _postings(docs, ("term",), points, ranges, packed)
+    return _postings(docs, ("term",), points, ranges, packed, kept)
 
 
 def bigram_postings(
-    docs: DataFrame, points: list[tuple[str, int]] | None = None, ranges: tuple[str, ...] = (), packed: bool = False
-) -> DataFrame:
+    docs: DataFrame, points: list[tuple[str, int]] | None = None, ranges: tuple[str, ...] = (), packed: bool = False,
+    kept: KeptPages | None = None,
+) -> DataFrame:
     """(t1, t2, doc_id, tf, positions); a position is the ordinal of the left token. Places and packing as for unigrams."""
-    return _postings(docs, ("t1", "t2"), points, ranges, packed)
+    return _postings(docs, ("t1", "t2"), points, ranges, packed, kept)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def word_counts(docs: DataFrame, kept: KeptPages | None = None) -> DataFrame:
     """(term, occurrences, pages): how often a term occurs, and in how many documents; counted by slice before the shuffle."""
-    slices = _sorted_slices(1)
+    slices = _sorted_slices(1, kept)
 
     def counts(batches):
         for words, codes, _, bounds, _, _ in slices(batches):

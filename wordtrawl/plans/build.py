@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from wordtrawl.functions.markup import page_text
 from wordtrawl.functions.tokens import tokenize
 from wordtrawl.functions.urls import defragment
 from wordtrawl.operators.duplicates import assign_doc_ids, kept_signatures, near_kept, simhash64
 from wordtrawl.operators.postings import (
+    KeptPages,
     bigram_postings,
     doc_frequency,
     merge_frequencies,
@@ -23,10 +28,12 @@ from wordtrawl.operators.postings import (
 from wordtrawl.sources import index_store
 from wordtrawl.sources.index_store import Layout, SearchIndex, plan_layout
 from wordtrawl.sources.key_ranges import KEY_RANGE
-from wordtrawl.session import cut_lineage, owned_scratch
+from wordtrawl.session import cut_lineage, owned_scratch, short_lived_shuffles
 
-#: Ids of kept pages that are broadcast to the token lists, some 50 bytes each. Beyond, the lists are shuffled, once.
-BROADCAST_IDS = 1 << 21
+#: Numbers of pages that are broadcast to the token lists, eight bytes each. Beyond, the lists are shuffled, once.
+BROADCAST_IDS = 1 << 23
+#: The same for a lazy index, whose lists are joined with their ids, some 50 bytes each.
+LAZY_BROADCAST_IDS = 1 << 21
 
 
 def tokenize_pages(pages: DataFrame, sep: str = "", **token_options) -> DataFrame:
@@ -46,14 +53,8 @@ def tokenize_documents(documents: DataFrame, **token_options) -> DataFrame:
     )
 
 
-def judge_pages(tokenized: DataFrame, near_threshold: float | None = 0.98, known: SearchIndex | None = None) -> DataFrame:
-    """(url, seq, sig, doc_id): the first page of every URL that is new, its signature, and its id if it is indexed.
-
-    First page per URL, then near-duplicates among those (so a page that falls still blocks its URL), then ids. All pages come
-    after those of the index ``known``: a URL that it has seen falls, then a page near one that it keeps, then the same rule
-    decides among the rest, and ids go on from there. So adding pages in batches gives what one build over all of them gives.
-    Only keys and signatures are shuffled. ``near_threshold=None`` keeps near-duplicates and computes no signatures.
-    """
+def _first_pages(tokenized: DataFrame, known: SearchIndex | None) -> DataFrame:
+    """(url, seq): the first page of every URL that the index ``known`` has not seen; reads no text."""
     firsts = tokenized.groupBy("url").agg(F.min("seq").alias("seq"))
     if known is not None:
         # Of the many URLs of the index only those asked for are brought together with the batch.
@@ -61,12 +62,26 @@ def judge_pages(tokenized: DataFrame, near_threshold: float | None = 0.98, known
         seen = known.pages.select(F.col("url").alias("seen"))
         seen = seen.join(asked, F.col("seen").eqNullSafe(F.col("asked")), "left_semi")
         firsts = firsts.join(seen, F.col("url").eqNullSafe(F.col("seen")), "left_anti")
-    firsts = cut_lineage(firsts)
+    return cut_lineage(firsts)
+
+
+def judge_pages(
+    tokenized: DataFrame, near_threshold: float | None = 0.98, known: SearchIndex | None = None, firsts: DataFrame | None = None
+) -> DataFrame:
+    """(url, seq, sig, doc_id): the first page of every URL that is new, its signature, and its id if it is indexed.
+
+    First page per URL, then near-duplicates among those (so a page that falls still blocks its URL), then ids. All pages come
+    after those of the index ``known``: a URL that it has seen falls, then a page near one that it keeps, then the same rule
+    decides among the rest, and ids go on from there. So adding pages in batches gives what one build over all of them gives.
+    Only keys and signatures are shuffled. ``near_threshold=None`` keeps near-duplicates and computes no signatures. ``firsts``
+    are the first pages of new URLs, if they have been found already.
+    """
+    firsts = _first_pages(tokenized, known) if firsts is None else firsts
     if near_threshold is None:
         kept = firsts.select("seq")
         signatures = None
     else:
-        signatures = cut_lineage(simhash64(tokenized.select("seq", "tokens").join(firsts.select("seq"), "seq", "left_semi")))
+        signatures = cut_lineage(simhash64(tokenized).join(firsts.select("seq"), "seq", "left_semi"))
         fresh = signatures
         if known is not None:
             near = near_kept(signatures, known.pages.filter("doc_id IS NOT NULL").select("seq", "sig"), near_threshold)
@@ -88,10 +103,39 @@ def _kept(pages: DataFrame) -> DataFrame:
     return pages.filter("doc_id IS NOT NULL").select("seq", "doc_id")
 
 
-def _kept_tokens(tokenized: DataFrame, pages: DataFrame, n_docs: int) -> DataFrame:
-    """(doc_id, tokens) of the kept pages; token lists are long, so they are neither shuffled without need nor sorted."""
-    ids = _kept(pages).hint("broadcast" if n_docs <= BROADCAST_IDS else "shuffle_hash")
-    return tokenized.select("seq", "tokens").join(ids, "seq").select("doc_id", "tokens")
+def _page_numbers(pages: DataFrame, n: int | None = None) -> Broadcast | None:
+    """The ascending ``seq`` of pages in every task, or None if they are no integers or too many for that."""
+    whole = isinstance(pages.schema["seq"].dataType, IntegralType)
+    if not whole or (pages.count() if n is None else n) > BROADCAST_IDS:
+        return None
+    numbers = pages.select(F.col("seq").cast("bigint").alias("seq")).toArrow()["seq"].drop_null().to_numpy()
+    return pages.sparkSession.sparkContext.broadcast(np.sort(numbers))
+
+
+def _new_pages(tokenized: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The pages among ``firsts``. Others are left out before their text is read; nothing is shuffled if the numbers fit a broadcast."""
+    numbers = _page_numbers(firsts)
+    if numbers is None:
+        return tokenized.join(firsts.select("seq").hint("shuffle_hash"), "seq", "left_semi").select(*tokenized.columns)
+
+    @F.arrow_udf("boolean")
+    def asked(seq: pa.Array) -> pa.Array:
+        known = numbers.value
+        values = seq.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+        found = known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+        return pa.array(found & seq.is_valid().to_numpy(zero_copy_only=False))
+
+    return tokenized.filter(asked("seq"))
+
+
+def _kept_tokens(tokenized: DataFrame, pages: DataFrame, numbers: Broadcast | None) -> DataFrame:
+    """(doc_id, tokens) of the kept pages; token lists are long, so they are neither shuffled without need nor sorted.
+
+    With ``numbers`` these are the lists of all pages under their ``seq``, which tasks that get the numbers turn into ids.
+    """
+    if numbers is not None:
+        return tokenized.select(F.col("seq").cast("bigint").alias("doc_id"), "tokens")
+    return tokenized.select("seq", "tokens").join(_kept(pages).hint("shuffle_hash"), "seq").select("doc_id", "tokens")
 
 
 def _docs(tokenized: DataFrame, pages: DataFrame) -> DataFrame:
@@ -110,7 +154,8 @@ def assemble_index(
     tokenized = cut_lineage(tokenized)
     pages = judge_pages(tokenized, threshold, known)
     n_docs = _kept(pages).count()
-    tokens = cut_lineage(_kept_tokens(tokenized, pages, n_docs))
+    ids = _kept(pages).hint("broadcast" if n_docs <= LAZY_BROADCAST_IDS else "shuffle_hash")
+    tokens = cut_lineage(tokenized.select("seq", "tokens").join(ids, "seq").select("doc_id", "tokens"))
     postings, bigrams = unigram_postings(tokens), bigram_postings(tokens)
     own = SearchIndex(
         docs=_docs(tokenized, pages),
@@ -152,7 +197,7 @@ def build_index(
     """Build and store an index under ``path``; returns it opened.
 
     Tokens are written once, to a scratch folder beside the checkpoints that is removed at the end, so parsing and tokenising
-    happen once although signatures, unigrams and bigrams all read them. The postings go straight to where they stay: their
+    happen once although signatures, unigrams and bigrams all read them; shuffle files go as soon as a step has ended. The postings go straight to where they stay: their
     layout is planned from the frequencies of the terms, without a look at the postings.
     """
     return _store_segment(tokenized, path, None, near_threshold, rows_per_file, files_per_range)
@@ -162,7 +207,7 @@ def extend_index(index: SearchIndex, tokenized: DataFrame, path: str, rows_per_f
     """Add pages to a stored index as a new segment under ``path``; returns the whole index, opened.
 
     Equal to one build over the pages of all segments in their order. Pages whose URL the index has seen, and near-duplicates
-    of its pages, are not indexed. What is stored stays as it is, and the index opened from its old path still works; new are
+    of its pages, are not indexed; pages of known URLs are not even tokenised. What is stored stays as it is, and the index opened from its old path still works; new are
     the segment's own postings and documents, and the dictionaries of all segments together. ``seq`` may repeat numbers of
     earlier segments: a page is named by its segment and its ``seq``.
     """
@@ -178,16 +223,27 @@ def _store_segment(
 ) -> SearchIndex:
     spark = tokenized.sparkSession
     start = 0 if known is None else known.n_docs
-    with owned_scratch(spark) as scratch:
+    with owned_scratch(spark) as scratch, short_lived_shuffles(spark):
+        firsts = None
+        if known is not None:
+            firsts = _first_pages(tokenized, known)
+            tokenized = _new_pages(tokenized, firsts)
         tokenized.write.parquet(f"{scratch}/tokens")
         stored = spark.read.schema(tokenized.schema).parquet(f"{scratch}/tokens")
-        index_store.write_pages(judge_pages(stored, threshold, known), f"{path}/pages")
+        index_store.write_pages(judge_pages(stored, threshold, known, firsts), f"{path}/pages")
         pages = spark.read.parquet(f"{path}/pages")
         n_docs = _kept(pages).count()
         index_store.write_docs(_docs(stored, pages), f"{path}/docs")
 
-        # How often a term occurs, and in how many pages: nearly what the kept pages will have, and enough to plan by.
-        words = word_counts(stored.select(F.col("seq").alias("doc_id"), "tokens"))
+        numbers = _page_numbers(_kept(pages), n_docs)
+        tokens = _kept_tokens(stored, pages, numbers)
+        if numbers is None:
+            # Shuffled once for both kinds of postings.
+            tokens.write.parquet(f"{scratch}/kept")
+            tokens = spark.read.schema(tokens.schema).parquet(f"{scratch}/kept")
+        # Ids follow the numbers of the pages.
+        kept = None if numbers is None else KeptPages(numbers, start)
+        words = word_counts(tokens, kept)
         words.write.parquet(f"{scratch}/words")
         words = spark.read.parquet(f"{scratch}/words")
         layouts = [
@@ -196,23 +252,19 @@ def _store_segment(
         ]
         if known is not None:
             layouts = [Layout(own.points, ranges) for own, ranges in zip(layouts, (known.term_ranges, known.pair_ranges))]
-        tokens = _kept_tokens(stored, pages, n_docs)
-        if n_docs > BROADCAST_IDS:
-            # Shuffled once for both kinds of postings.
-            tokens.write.parquet(f"{scratch}/kept")
-            tokens = spark.read.schema(tokens.schema).parquet(f"{scratch}/kept")
-        unigrams = unigram_postings(tokens, layouts[0].points, layouts[0].ranges, packed=True)
-        bigrams = bigram_postings(tokens, layouts[1].points, layouts[1].ranges, packed=True)
+        unigrams = unigram_postings(tokens, layouts[0].points, layouts[0].ranges, True, kept)
+        bigrams = bigram_postings(tokens, layouts[1].points, layouts[1].ranges, True, kept)
         index_store.write_postings(unigrams, f"{path}/postings", rows_per_file, layouts[0])
         index_store.write_bigrams(bigrams, f"{path}/bigrams", rows_per_file, layouts[1])
 
-    terms = doc_frequency(spark.read.schema("term string").parquet(f"{path}/postings"))
-    pairs = doc_frequency(spark.read.schema("t1 string, t2 string").parquet(f"{path}/bigrams"), "t1", "t2")
-    if known is not None:
-        terms = merge_frequencies(known.terms.drop(KEY_RANGE), terms)
-        pairs = merge_frequencies(known.pairs.drop(KEY_RANGE), pairs, "t1", "t2")
-    index_store.write_terms(terms, f"{path}/terms")
-    index_store.write_pairs(pairs, f"{path}/pairs")
+    with short_lived_shuffles(spark):
+        terms = doc_frequency(spark.read.schema("term string").parquet(f"{path}/postings"))
+        pairs = doc_frequency(spark.read.schema("t1 string, t2 string").parquet(f"{path}/bigrams"), "t1", "t2")
+        if known is not None:
+            terms = merge_frequencies(known.terms.drop(KEY_RANGE), terms)
+            pairs = merge_frequencies(known.pairs.drop(KEY_RANGE), pairs, "t1", "t2")
+        index_store.write_terms(terms, f"{path}/terms")
+        index_store.write_pairs(pairs, f"{path}/pairs")
     before = () if known is None else known.paths
     starts = (0,) if known is None else (*known.starts, start)
     ranges = layouts[0].ranges, layouts[1].ranges
