@@ -51,3 +51,34 @@ def test_a_build_shuffles_blocks_and_no_rows(spark, tmp_path, monkeypatch):
     index = build.build_index(pages, str(tmp_path / "index"), near_threshold=None)
     assert len(shuffled) == 2 and max(shuffled) <= 8
     assert index.postings.count() > 200 and index.bigrams.count() > 500
+
+
+def test_packed_postings_take_few_bytes(spark):
+    """A block held whole strings, offsets and ids of eight bytes for every row."""
+    r = random.Random(10)
+    words = [f"{r.choice(['re', 'un', 'over'])}word{i}" for i in range(3_000)]
+    rows = [(i, r.choices(words, k=400)) for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>").repartition(1)
+    points = [(words[i * 60], 0) for i in range(50)]
+    blocks = postings.bigram_postings(frame, sorted(points), (), packed=True)
+    taken = sum(len(row[postings.BLOCK]) for row in blocks.collect())
+    assert taken < 12 * 100 * 399
+    got = {tuple(row)[:3]: row["positions"] for row in postings.unpacked(blocks, ("t1", "t2")).collect()}
+    assert got == {(row.t1, row.t2, row.doc_id): row.positions for row in postings.bigram_postings(frame).collect()}
+
+
+def test_dictionaries_of_a_build_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Frequencies were added up by hash and then dealt by range, in two shuffles."""
+    known = spark.createDataFrame([("a", None, 5), ("c", "c", 1)], "t1 string, t2 string, df bigint")
+    plans, real = [], type(known).sortWithinPartitions
+
+    def seen(self, *args):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return real(self, *args)
+
+    rows = [("b", "a"), ("a", None), ("b", "a"), (None, "a"), ("", "")] * 20
+    monkeypatch.setattr(type(known), "sortWithinPartitions", seen)
+    index_store.write_dictionary(spark.createDataFrame(rows, "t1 string, t2 string"), str(tmp_path / "pairs"), ["t1", "t2"], known)
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1
+    got = {(row.t1, row.t2): row.df for row in spark.read.parquet(str(tmp_path / "pairs")).collect()}
+    assert got == {("b", "a"): 40, ("a", None): 25, (None, "a"): 20, ("", ""): 20, ("c", "c"): 1}

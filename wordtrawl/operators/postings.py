@@ -105,8 +105,78 @@ def _in_ranges(ranges: tuple[str, ...]) -> Callable:
     return numbers
 
 
-def _block_schema(keys: tuple[str, ...]) -> pa.Schema:
-    return pa.schema([*[(key, pa.string()) for key in keys], ("doc_id", pa.int64()), ("positions", pa.list_(pa.int32()))])
+def _packing(width: int) -> tuple[Callable, Callable]:
+    """Functions (pack, unpack) for sorted rows of (words, document, positions) on their way through a shuffle.
+
+    A block has its distinct words once, and per row their places, the document and the number of positions, each in as few
+    bytes as the block needs, column by column, compressed. Made on the driver, so that tasks need no module of this package.
+    """
+    kinds = {size: np.dtype(f"<u{size}") for size in (1, 2, 4, 8)}
+
+    def small(values, most):
+        size = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+        return size, values.astype(kinds[size]).tobytes()
+
+    def distinct(run, codes, n_runs, n_words):
+        """The words of each run in order, where a run's begin, and for each row the place of its word among those of its run."""
+        n = len(codes)
+        keyed = run * n_words + codes
+        if n_runs * n_words * n < 1 << 62:  # the key and its place in one number sort several times faster
+            keyed, order = np.divmod(np.sort(keyed * n + np.arange(n)), n)
+        else:
+            order = np.argsort(keyed, kind="stable")
+            keyed = keyed[order]
+        new = np.concatenate([[True], keyed[1:] != keyed[:-1]])
+        found, at = keyed[new], np.empty(n, np.int64)
+        at[order] = np.cumsum(new) - 1
+        starts = np.searchsorted(found, np.arange(n_runs + 1) * n_words)
+        return found % n_words, starts, at - starts[run]
+
+    def pack(words, codes, ids, tf, positions, starts):
+        """Blocks of the rows from one of ``starts`` to the next."""
+        sizes = np.diff(starts, append=len(ids))
+        run, ends = np.repeat(np.arange(len(starts)), sizes), np.concatenate([[0], np.cumsum(tf)])
+        listed = []
+        for code in codes:
+            found, word_starts, at = distinct(run, code, len(starts), len(words))
+            named = words.take(pa.array(found))
+            lengths = pc.fill_null(pc.binary_length(named), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            data = memoryview(named.buffers()[2] or b"")
+            listed.append((word_starts, lengths + 1, np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))]), data, at))
+        least = np.minimum.reduceat(ids, starts)
+        spans, most_tf = np.maximum.reduceat(ids, starts) - least, np.maximum.reduceat(tf, starts)
+        for i, (a, n) in enumerate(zip(starts.tolist(), sizes.tolist())):
+            own, held = slice(a, a + n), positions[ends[a] : ends[a + n]]
+            columns = [small(ids[own] - least[i], spans[i]), small(tf[own], most_tf[i]), small(held, held.max())]
+            header = [n, int(least[i]), *[size for size, _ in columns], len(held)]
+            parts = [part for _, part in columns]
+            for word_starts, lengths, offsets, data, at in listed:
+                b, e = word_starts[i], word_starts[i + 1]
+                columns = [small(lengths[b:e], lengths[b:e].max()), small(at[own], e - b)]
+                header += [int(e - b), int(offsets[e] - offsets[b]), *[size for size, _ in columns]]
+                parts += [columns[0][1], data[offsets[b] : offsets[e]], columns[1][1]]
+            raw = b"".join([np.array(header, "<i8").tobytes(), *parts])
+            yield len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+    def unpack(block):
+        """(documents, numbers of positions, positions, and for each key lengths plus one, bytes and places of its words)."""
+        raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
+        n, least, id_size, tf_size, position_size, n_positions, *rest = np.frombuffer(raw, "<i8", 6 + 4 * width).tolist()
+        at = 8 * (6 + 4 * width)
+
+        def column(size, count):
+            nonlocal at
+            at += size * count
+            return np.frombuffer(raw, kinds[size], count, at - size * count)
+
+        rows = [column(id_size, n).astype(np.int64) + least, column(tf_size, n), column(position_size, n_positions)]
+        for n_words, n_bytes, length_size, place_size in zip(*[iter(rest)] * 4):
+            lengths = column(length_size, n_words)
+            at += n_bytes
+            rows.append((lengths, raw[at - n_bytes : at], column(place_size, n)))
+        return rows
+
+    return pack, unpack
 
 
 def _postings(
@@ -117,10 +187,36 @@ def _postings(
 
     Building postings needs no shuffle and knows no hot term. With ``points`` rows say where they belong, as ``place_among``
     does, in a look at each distinct word instead of each row. ``packed`` gives (place, block) instead: the rows of a slice that
-    belong to one place, in order, as one Arrow block, which takes a fraction of the bytes and of the time in a shuffle.
+    belong to one place, in order, as one block, which takes a fraction of the bytes and of the time in a shuffle.
     """
     slices = _sorted_slices(len(keys), kept)
-    place, place_range, block, block_schema, in_ranges = PLACE, PLACE_RANGE, BLOCK, _block_schema(keys), _in_ranges(ranges)
+    place, place_range, block, in_ranges, (pack, _) = PLACE, PLACE_RANGE, BLOCK, _in_ranges(ranges), _packing(len(keys))
+
+    def places_of(words, codes, number):
+        cut, plain = [key for key, _ in points], [word or "" for word in words.to_pylist()]
+        # Words are sorted: each cut is looked up among them, as there are far fewer cuts.
+        at_word, each = np.array([bisect_left(plain, key) for key in cut], np.int64), np.arange(len(plain))
+        after_word = np.array([bisect_right(plain, key) for key in cut], np.int64)
+        lows, highs = np.searchsorted(after_word, each, "right"), np.searchsorted(at_word, each, "right")
+        places = lows[codes[0]]
+        for split in np.flatnonzero(highs > lows):
+            own = slice(*np.searchsorted(codes[0], [split, split + 1]))
+            inner = np.array([i for _, i in points[lows[split] : highs[split]]])
+            places[own] += np.searchsorted(inner, number[own], "right")
+        return places
+
+    def blocks(batches):
+        for words, codes, doc, bounds, ids, positions in slices(batches):
+            number, tf = ids.to_numpy().astype(np.int64)[doc], np.diff(bounds)
+            places = places_of(words, codes, number)
+            if (places[1:] < places[:-1]).any():  # a word that is cut at ids
+                order = np.argsort(places, kind="stable")
+                first, tf = bounds[:-1][order], tf[order]
+                positions = positions[np.repeat(first - (np.cumsum(tf) - tf), tf) + np.arange(len(positions))]
+                codes, number, places = [code[order] for code in codes], number[order], places[order]
+            starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+            made = pa.array(pack(words, codes, number, tf, positions, starts), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(places[starts].astype(np.int32)), made], names=[place, block])
 
     def rows(batches):
         for words, codes, doc, bounds, ids, positions in slices(batches):
@@ -131,36 +227,14 @@ def _postings(
                 "positions": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(positions.astype(np.int32))),
             }
             if points is not None:
-                cut, number = [key for key, _ in points], ids.to_numpy()
-                plain = [word or "" for word in words.to_pylist()]
-                # Words are sorted: each cut is looked up among them, as there are far fewer cuts.
-                at_word, each = np.array([bisect_left(plain, key) for key in cut], np.int64), np.arange(len(plain))
-                after_word = np.array([bisect_right(plain, key) for key in cut], np.int64)
-                lows, highs = np.searchsorted(after_word, each, "right"), np.searchsorted(at_word, each, "right")
-                places = lows[codes[0]]
-                for split in np.flatnonzero(highs > lows):
-                    own = slice(*np.searchsorted(codes[0], [split, split + 1]))
-                    inner = np.array([i for _, i in points[lows[split] : highs[split]]])
-                    places[own] += np.searchsorted(inner, number[own], "right")
-                if packed:
-                    listed = [columns[name].cast(kind) for name, kind in zip(block_schema.names, block_schema.types)]
-                    listed = pa.RecordBatch.from_arrays(listed, schema=block_schema)
-                    if (places[1:] < places[:-1]).any():  # a word that is cut at ids
-                        order = np.argsort(places, kind="stable")
-                        listed, places = listed.take(pa.array(order)), places[order]
-                    starts = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
-                    sizes = np.diff(starts, append=len(places))
-                    blocks = [listed.slice(a, n).serialize().to_pybytes() for a, n in zip(starts.tolist(), sizes.tolist())]
-                    columns = {place: pa.array(places[starts].astype(np.int32)), block: pa.array(blocks, pa.binary())}
-                else:
-                    columns[place] = pa.array(places.astype(np.int32))
-                    columns[place_range] = pa.array(in_ranges(words)[codes[0]])
+                columns[place] = pa.array(places_of(words, codes, ids.to_numpy()).astype(np.int32))
+                columns[place_range] = pa.array(in_ranges(words)[codes[0]])
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
+    if packed:
+        return docs.select("doc_id", "tokens").mapInArrow(blocks, f"{place} int, {block} binary")
     schema = [*[f"{key} string" for key in keys], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}", "tf int", "positions array<int>"]
     schema += [f"{place} int", f"{place_range} int"] if points is not None else []
-    if packed:
-        schema = [f"{place} int", f"{block} binary"]
     return docs.select("doc_id", "tokens").mapInArrow(rows, ", ".join(schema))
 
 
@@ -169,18 +243,24 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
 
     Rows come sorted by keys and document. A task with more than ``RUN_ROWS`` rows gives several sorted runs.
     """
-    block, place_range, block_schema, in_ranges = BLOCK, PLACE_RANGE, _block_schema(keys), _in_ranges(ranges)
+    block, place_range, in_ranges, (_, unpack) = BLOCK, PLACE_RANGE, _in_ranges(ranges), _packing(len(keys))
     run_rows, send_rows = RUN_ROWS, SEND_ROWS
 
     def run(held):
-        table = pa.Table.from_batches(held, block_schema)
-        doc, coded = table["doc_id"].to_numpy(), []
-        for key in keys:
-            found = table[key].combine_chunks().dictionary_encode(null_encoding="encode")
+        documents, numbers, listed, *named = zip(*held)
+        doc, tf, coded = np.concatenate(documents), np.concatenate(numbers).astype(np.int64), []
+        for parts in named:
+            lengths = np.concatenate([part[0] for part in parts]).astype(np.int64) - 1
+            offsets = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))]).astype(np.int32)
+            there = pa.array(lengths >= 0).buffers()[1] if (lengths < 0).any() else None
+            words = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(b"".join([part[1] for part in parts])), there)
+            found = words.dictionary_encode(null_encoding="encode")
             ranked = pc.sort_indices(found.dictionary, null_placement="at_start").to_numpy()
             rank = np.empty(len(ranked), np.int64)
             rank[ranked] = np.arange(len(ranked))
-            coded.append((found.dictionary.take(pa.array(ranked)), rank[found.indices.to_numpy()]))
+            starts = np.cumsum([0, *[len(part[0]) for part in parts]])
+            places = np.concatenate([part[2].astype(np.int64) + at for part, at in zip(parts, starts.tolist())])
+            coded.append((found.dictionary.take(pa.array(ranked)), rank[found.indices.to_numpy()][places]))
         least = int(doc.min())
         span = int(doc.max()) - least + 1
         sizes = [len(words) for words, _ in coded]
@@ -191,7 +271,8 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
             order = np.argsort(number * span + (doc - least), kind="stable")
         else:
             order = np.lexsort([doc, *[code for _, code in reversed(coded)]])
-        positions = table["positions"].combine_chunks()
+        bounds = np.concatenate([[0], np.cumsum(tf)]).astype(np.int32)
+        positions = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(listed).astype(np.int32)))
         numbers = in_ranges(coded[0][0])
         for at in range(0, len(order), send_rows):
             own = order[at : at + send_rows]
@@ -206,8 +287,8 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
         held, n = [], 0
         for batch in batches:
             for packed in batch.column(block):
-                held.append(pa.ipc.read_record_batch(packed.as_buffer(), block_schema))
-                n += held[-1].num_rows
+                held.append(unpack(packed.as_py()))
+                n += len(held[-1][0])
                 if n >= run_rows:
                     yield from run(held)
                     held, n = [], 0

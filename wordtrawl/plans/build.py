@@ -258,13 +258,10 @@ def _store_segment(
         index_store.write_bigrams(bigrams, f"{path}/bigrams", rows_per_file, layouts[1])
 
     with short_lived_shuffles(spark):
-        terms = doc_frequency(spark.read.schema("term string").parquet(f"{path}/postings"))
-        pairs = doc_frequency(spark.read.schema("t1 string, t2 string").parquet(f"{path}/bigrams"), "t1", "t2")
-        if known is not None:
-            terms = merge_frequencies(known.terms.drop(KEY_RANGE), terms)
-            pairs = merge_frequencies(known.pairs.drop(KEY_RANGE), pairs, "t1", "t2")
-        index_store.write_terms(terms, f"{path}/terms")
-        index_store.write_pairs(pairs, f"{path}/pairs")
+        postings = spark.read.schema("term string").parquet(f"{path}/postings")
+        bigrams = spark.read.schema("t1 string, t2 string").parquet(f"{path}/bigrams")
+        index_store.write_dictionary(postings, f"{path}/terms", ["term"], known and known.terms)
+        index_store.write_dictionary(bigrams, f"{path}/pairs", ["t1", "t2"], known and known.pairs)
     before = () if known is None else known.paths
     starts = (0,) if known is None else (*known.starts, start)
     ranges = layouts[0].ranges, layouts[1].ranges
