@@ -248,7 +248,10 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
 
     def run(held):
         documents, numbers, listed, *named = zip(*held)
-        doc, tf, coded = np.concatenate(documents), np.concatenate(numbers).astype(np.int64), []
+        held.clear()
+        doc, tf, coded = np.concatenate(documents), np.concatenate(numbers), []
+        positions = pa.array(np.concatenate(listed).astype(np.int32))
+        del documents, numbers, listed
         for parts in named:
             lengths = np.concatenate([part[0] for part in parts]).astype(np.int64) - 1
             offsets = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))]).astype(np.int32)
@@ -256,7 +259,7 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
             words = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(b"".join([part[1] for part in parts])), there)
             found = words.dictionary_encode(null_encoding="encode")
             ranked = pc.sort_indices(found.dictionary, null_placement="at_start").to_numpy()
-            rank = np.empty(len(ranked), np.int64)
+            rank = np.empty(len(ranked), np.int32)
             rank[ranked] = np.arange(len(ranked))
             starts = np.cumsum([0, *[len(part[0]) for part in parts]])
             places = np.concatenate([part[2].astype(np.int64) + at for part, at in zip(parts, starts.tolist())])
@@ -265,14 +268,16 @@ def unpacked(blocks: DataFrame, keys: tuple[str, ...], ranges: tuple[str, ...] =
         span = int(doc.max()) - least + 1
         sizes = [len(words) for words, _ in coded]
         if span * int(np.prod([float(size) for size in sizes])) < 1 << 62:  # one number sorts several times faster
-            number = coded[0][1]
-            for size, (_, code) in zip(sizes[1:], coded[1:]):
-                number = number * size + code
-            order = np.argsort(number * span + (doc - least), kind="stable")
+            number = coded[0][1].astype(np.int64)
+            for size, (_, code) in zip([*sizes[1:], span], [*coded[1:], (None, doc - least)]):
+                number *= size
+                number += code
+            order = np.argsort(number, kind="stable")
+            del number
         else:
             order = np.lexsort([doc, *[code for _, code in reversed(coded)]])
-        bounds = np.concatenate([[0], np.cumsum(tf)]).astype(np.int32)
-        positions = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(listed).astype(np.int32)))
+        bounds = np.concatenate([[0], np.cumsum(tf, dtype=np.int64)]).astype(np.int32)
+        positions = pa.ListArray.from_arrays(pa.array(bounds), positions)
         numbers = in_ranges(coded[0][0])
         for at in range(0, len(order), send_rows):
             own = order[at : at + send_rows]
