@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests import plain
 from wordtrawl.operators import duplicates, postings
 from wordtrawl.plans import build
+from wordtrawl.session import BATCH_LIMIT, cut_lineage
 
 SCHEMA = "seq bigint, url string, disk_loc string, tokens array<string>"
 
@@ -66,6 +67,19 @@ def test_no_shuffle_file_is_left_by_a_build(spark, tmp_path):
     assert spark.conf.get(setting, None) == configured
 
 
+def test_python_gets_token_lists_in_small_batches(spark):
+    """Ten thousand token lists came at once, some hundred megabytes where documents are long."""
+    rows = spark.range(0, 4_000, 1, 1).select("id", F.expr("transform(sequence(1, 400), i -> concat('word', id, i)) AS tokens"))
+
+    def count(batches):
+        for batch in batches:
+            yield build.pa.RecordBatch.from_arrays([build.pa.array([batch.num_rows])], names=["n"])
+
+    sent = [row.n for row in cut_lineage(rows.mapInArrow(count, "n bigint")).collect()]
+    assert sum(sent) == 4_000 and max(sent) < 1_500
+    assert spark.conf.get(BATCH_LIMIT, None) is None
+
+
 def test_words_of_pages_that_fall_are_not_counted(spark):
     frame = spark.createDataFrame([(3, ["a", "b", "a"]), (5, ["a"]), (9, ["c"]), (None, ["a"])], "doc_id bigint, tokens array<string>")
     kept = postings.KeptPages(spark.sparkContext.broadcast(build.np.array([3, 9])), 100)

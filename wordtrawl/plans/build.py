@@ -28,7 +28,7 @@ from wordtrawl.operators.postings import (
 from wordtrawl.sources import index_store
 from wordtrawl.sources.index_store import Layout, SearchIndex, plan_layout
 from wordtrawl.sources.key_ranges import KEY_RANGE
-from wordtrawl.session import cut_lineage, owned_scratch, short_lived_shuffles
+from wordtrawl.session import cut_lineage, lean, owned_scratch
 
 #: Numbers of pages that are broadcast to the token lists, eight bytes each. Beyond, the lists are shuffled, once.
 BROADCAST_IDS = 1 << 23
@@ -223,7 +223,7 @@ def _store_segment(
 ) -> SearchIndex:
     spark = tokenized.sparkSession
     start = 0 if known is None else known.n_docs
-    with owned_scratch(spark) as scratch, short_lived_shuffles(spark):
+    with owned_scratch(spark) as scratch, lean(spark):
         firsts = None
         if known is not None:
             firsts = _first_pages(tokenized, known)
@@ -257,7 +257,7 @@ def _store_segment(
         index_store.write_postings(unigrams, f"{path}/postings", rows_per_file, layouts[0])
         index_store.write_bigrams(bigrams, f"{path}/bigrams", rows_per_file, layouts[1])
 
-    with short_lived_shuffles(spark):
+    with lean(spark):
         postings = spark.read.schema("term string").parquet(f"{path}/postings")
         bigrams = spark.read.schema("t1 string, t2 string").parquet(f"{path}/bigrams")
         index_store.write_dictionary(postings, f"{path}/terms", ["term"], known and known.terms)
