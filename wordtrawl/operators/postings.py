@@ -326,13 +326,24 @@ def bigram_postings(
 
 def word_counts(docs: DataFrame, kept: KeptPages | None = None) -> DataFrame:
     """(term, occurrences, pages): how often a term occurs, and in how many documents; counted by slice before the shuffle."""
-    slices = _sorted_slices(1, kept)
+    numbered, limit = _numbered(kept), SLICE_TOKENS
 
     def counts(batches):
-        for words, codes, _, bounds, _, _ in slices(batches):
-            occurrences = np.bincount(codes[0], np.diff(bounds), len(words)).astype(np.int64)
-            columns = [words, pa.array(occurrences), pa.array(np.bincount(codes[0], minlength=len(words)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["term", "occurrences", "pages"])
+        for batch in batches:
+            _, lists = numbered(batch)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, at = np.cumsum(sizes), 0
+            while at < len(sizes):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+                found = lists.slice(at, to - at).flatten().dictionary_encode(null_encoding="encode")
+                codes = found.indices.to_numpy().astype(np.int64)
+                if len(codes):
+                    # Only numbers are sorted: a word and its document.
+                    held = np.sort(codes * (to - at) + np.repeat(np.arange(to - at), sizes[at:to]))
+                    once = held[np.concatenate([[True], held[1:] != held[:-1]])] // (to - at)
+                    columns = [np.bincount(each, minlength=len(found.dictionary)) for each in (codes, once)]
+                    yield pa.RecordBatch.from_arrays([found.dictionary, *map(pa.array, columns)], names=["term", "occurrences", "pages"])
+                at = to
 
     counted = docs.select("doc_id", "tokens").mapInArrow(counts, "term string, occurrences bigint, pages bigint")
     return counted.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("pages").alias("pages"))
