@@ -55,6 +55,18 @@ def test_pages_of_known_urls_are_not_tokenised(spark, tmp_path, monkeypatch, lim
         assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
 
 
+@pytest.mark.parametrize("threshold", [None, 0.98])
+def test_ids_are_those_of_the_document_map(spark, tmp_path, threshold):
+    """A page without a number takes an id and is not indexed; a number that two URLs share is joined as before."""
+    rows = [(None, "n", "", ["x"]), (7, "a", "7", ["a", "b"]), (3, "b", "3", ["b", "b", "c"]), (-5, "c", "-5", ["d", None])]
+    for i, more in enumerate(([], [(3, "twice", "3", ["q"])])):
+        frame = spark.createDataFrame(rows + more, SCHEMA)
+        index, lazy = build.build_index(frame, str(tmp_path / str(i)), threshold), build.assemble_index(frame, threshold)
+        for table in ("docs", "postings", "bigrams", "terms", "pairs"):
+            got, expected = (getattr(each, table).drop("doc_block") for each in (index, lazy))
+            assert sorted(map(str, got.collect())) == sorted(map(str, expected.select(*got.columns).collect()))
+
+
 def test_no_shuffle_file_is_left_by_a_build(spark, tmp_path):
     """Shuffle files stayed until the driver happened to collect its garbage, one step's beside the other's."""
     manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()

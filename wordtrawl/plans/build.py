@@ -6,7 +6,6 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -103,13 +102,21 @@ def _kept(pages: DataFrame) -> DataFrame:
     return pages.filter("doc_id IS NOT NULL").select("seq", "doc_id")
 
 
-def _page_numbers(pages: DataFrame, n: int | None = None) -> Broadcast | None:
-    """The ascending ``seq`` of pages in every task, or None if they are no integers or too many for that."""
+def _page_numbers(pages: DataFrame, n: int | None = None) -> np.ndarray | None:
+    """The ascending ``seq`` of pages, or None if they are no integers or too many to be in every task."""
     whole = isinstance(pages.schema["seq"].dataType, IntegralType)
     if not whole or (pages.count() if n is None else n) > BROADCAST_IDS:
         return None
-    numbers = pages.select(F.col("seq").cast("bigint").alias("seq")).toArrow()["seq"].drop_null().to_numpy()
-    return pages.sparkSession.sparkContext.broadcast(np.sort(numbers))
+    return np.sort(pages.select(F.col("seq").cast("bigint").alias("seq")).toArrow()["seq"].drop_null().to_numpy())
+
+
+def _kept_pages(pages: DataFrame, n_docs: int) -> KeptPages | None:
+    """The numbers of the kept pages for tasks that give ids, or None if the ids have to be joined."""
+    numbers = _page_numbers(_kept(pages), n_docs)
+    if numbers is None or (numbers[1:] == numbers[:-1]).any():
+        return None
+    first = _kept(pages).agg(F.coalesce(F.min("doc_id"), F.lit(0)).alias("id")).first()["id"]
+    return KeptPages(pages.sparkSession.sparkContext.broadcast(numbers), first)
 
 
 def _new_pages(tokenized: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -117,6 +124,7 @@ def _new_pages(tokenized: DataFrame, firsts: DataFrame) -> DataFrame:
     numbers = _page_numbers(firsts)
     if numbers is None:
         return tokenized.join(firsts.select("seq").hint("shuffle_hash"), "seq", "left_semi").select(*tokenized.columns)
+    numbers = firsts.sparkSession.sparkContext.broadcast(numbers)
 
     @F.arrow_udf("boolean")
     def asked(seq: pa.Array) -> pa.Array:
@@ -128,12 +136,12 @@ def _new_pages(tokenized: DataFrame, firsts: DataFrame) -> DataFrame:
     return tokenized.filter(asked("seq"))
 
 
-def _kept_tokens(tokenized: DataFrame, pages: DataFrame, numbers: Broadcast | None) -> DataFrame:
+def _kept_tokens(tokenized: DataFrame, pages: DataFrame, kept: KeptPages | None) -> DataFrame:
     """(doc_id, tokens) of the kept pages; token lists are long, so they are neither shuffled without need nor sorted.
 
-    With ``numbers`` these are the lists of all pages under their ``seq``, which tasks that get the numbers turn into ids.
+    With ``kept`` these are the lists of all pages under their ``seq``, which tasks that get ``kept`` turn into ids.
     """
-    if numbers is not None:
+    if kept is not None:
         return tokenized.select(F.col("seq").cast("bigint").alias("doc_id"), "tokens")
     return tokenized.select("seq", "tokens").join(_kept(pages).hint("shuffle_hash"), "seq").select("doc_id", "tokens")
 
@@ -235,14 +243,12 @@ def _store_segment(
         n_docs = _kept(pages).count()
         index_store.write_docs(_docs(stored, pages), f"{path}/docs")
 
-        numbers = _page_numbers(_kept(pages), n_docs)
-        tokens = _kept_tokens(stored, pages, numbers)
-        if numbers is None:
+        kept = _kept_pages(pages, n_docs)
+        tokens = _kept_tokens(stored, pages, kept)
+        if kept is None:
             # Shuffled once for both kinds of postings.
             tokens.write.parquet(f"{scratch}/kept")
             tokens = spark.read.schema(tokens.schema).parquet(f"{scratch}/kept")
-        # Ids follow the numbers of the pages.
-        kept = None if numbers is None else KeptPages(numbers, start)
         words = word_counts(tokens, kept)
         words.write.parquet(f"{scratch}/words")
         words = spark.read.parquet(f"{scratch}/words")
